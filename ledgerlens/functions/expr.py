@@ -56,9 +56,7 @@ def safe_double(c: str | Column, default: float) -> Column:
 def clip01(c: Column, lo: float = 0.0, hi: float = 1.0) -> Column:
     """``max(lo, min(hi, x))`` in Python order: ``least`` first, so NaN -> hi
     (``min(1.0, nan)`` returns 1.0 in Python)."""
-    x = c.cast("double")
-    inner = F.when(F.isnan(x), F.lit(hi)).otherwise(F.least(F.lit(hi), x))
-    return F.greatest(F.lit(lo), inner)
+    return F.greatest(F.lit(lo), F.least(F.lit(hi), F.nanvl(c.cast("double"), F.lit(hi))))
 
 
 def bround0_int(c: Column) -> Column:
@@ -128,7 +126,7 @@ def safe_str(df: DataFrame, names: Sequence[str], default: str) -> Column:
     if name is None:
         return F.lit(default)
     s = py_strip(F.col(name).cast("string"))
-    return F.coalesce(F.when(s != "", s), F.lit(default))
+    return F.coalesce(F.nullif(s, F.lit("")), F.lit(default))
 
 
 def prob_from(df: DataFrame, names: Sequence[str], default: float) -> Column:

@@ -113,3 +113,25 @@ def bench_sql() -> str:
 
 def requests_sql() -> str:
     return f"SELECT\n  {sql_select_list(REQUEST_COLUMNS)}\nFROM orders"
+
+
+# F11 status events: two analyst updates per order-derived case.
+CASE_EVENT_COLUMNS: list[tuple[str, str]] = [
+    ("transaction_id", "concat('TXN_', CAST(o_orderkey AS STRING))"),
+    ("day_offset", "CAST(1 + o_orderkey % 3 AS INT)"),
+    ("status", "CASE o_orderstatus WHEN 'F' THEN 'RESOLVED_FRAUD' WHEN 'O' THEN 'ESCALATED' "
+               "ELSE 'RESOLVED_GENUINE' END"),
+]
+
+
+def case_events_orders(orders: DataFrame) -> DataFrame:
+    """Status-update events derived from `orders`: an UNDER_REVIEW event one
+    day after the order and a resolution 1-3 days later."""
+    base = orders.select("o_orderkey", "o_orderstatus", "o_orderdate")
+    first = base.select(F.expr("concat('TXN_', CAST(o_orderkey AS STRING))").alias("transaction_id"),
+                        F.lit("UNDER_REVIEW").alias("status"),
+                        F.expr("o_orderdate + INTERVAL 1 DAY").alias("ts"))
+    second = base.select(*[F.expr(e).alias(n) for n, e in CASE_EVENT_COLUMNS], "o_orderdate") \
+        .select("transaction_id", "status",
+                F.expr("o_orderdate + make_interval(0, 0, 0, 1 + day_offset)").alias("ts"))
+    return first.unionByName(second)
