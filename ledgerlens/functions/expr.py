@@ -156,5 +156,9 @@ def fmt3(c: Column) -> Column:
 
 
 def ordered_nonnull(items: Iterable[Column]) -> Column:
-    """Array of the non-null items, in order (list.append under if)."""
-    return F.filter(F.array(*items), lambda x: x.isNotNull())
+    """Array of the non-null items, in order, first occurrence of each
+    (list.append under if). ``array_except`` with a null-only array keeps
+    order and stays inside whole-stage codegen (a lambda ``filter`` would
+    be interpreted); every caller builds items that are distinct anyway."""
+    arr = F.array(*items)
+    return F.array_except(arr, F.array(F.lit(None)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.expr import (clip01, first_present, fmt3, ordered_nonnull, prob_from,
+from ledgerlens.functions.expr import (clip01, first_present, fmt3, ordered_nonnull, prob_from, py_strip,
                                        safe_str, to_double, truthy_text)
 
 # Evidence catalogue (flag -> type, description, severity) in order.
@@ -74,7 +74,7 @@ def evidence_column() -> Column:
 
 def priority_column(decision: Column, risk: Column, prob: Column, anomaly: Column, evidence: Column) -> Column:
     """CRITICAL / HIGH / MEDIUM / LOW."""
-    max_sev = F.coalesce(F.array_max(F.transform(evidence, lambda e: e["severity"])), F.lit(0))
+    max_sev = F.coalesce(F.array_max(evidence.getField("severity")), F.lit(0))
     return (F.when((decision == "BLOCK") & ((risk >= 0.90) | (prob >= 0.90) | (max_sev >= 85)), "CRITICAL")
             .when(decision == "BLOCK", "HIGH")
             .when((decision == "REVIEW") & ((risk >= 0.65) | (prob >= 0.65) | anomaly), "HIGH")
@@ -85,7 +85,7 @@ def priority_column(decision: Column, risk: Column, prob: Column, anomaly: Colum
 
 def recommended_action_column(decision: Column, priority: Column, anomaly: Column, evidence: Column) -> Column:
     """F6."""
-    has_ato = F.exists(evidence, lambda e: e["evidence_type"] == "account_takeover")
+    has_ato = F.array_contains(evidence.getField("evidence_type"), "account_takeover")
     return (F.when((decision == "BLOCK") & has_ato, ACTION_TEXT["block_ato"])
             .when((decision == "BLOCK") & (priority == "CRITICAL"), ACTION_TEXT["block_critical"])
             .when(decision == "BLOCK", ACTION_TEXT["block"])
@@ -103,31 +103,38 @@ def case_id_column(transaction_id: Column) -> Column:
 def normalize_case_input(records: DataFrame) -> DataFrame:
     """Resolve every alias chain once (plan time) into canonical columns:
     ids, decision, clipped probabilities, booleans for the ten rule flags,
-    and ``_create`` (the F9 case filter, which has its own alias order)."""
+    and ``_create`` (the F9 case filter, which has its own alias order).
+    Two projections: every alias value is computed once, and the derived
+    columns (and a pushed-down case filter) reference those results instead
+    of re-inlining the upstream expressions."""
     df = records
     tid = safe_str(df, TXN_ALIASES, "")
     if first_present(df, TXN_ALIASES) is None:
         tid = F.concat(F.lit("TXN-"), F.upper(F.substring(
             F.sha2(F.to_json(F.struct(*[F.col(c) for c in df.columns])), 256), 1, 8)))
-    decision_text = F.upper(safe_str(df, DECISION_ALIASES, "REVIEW"))
-    prob = prob_from(df, PROB_ALIASES, 0.0)
+    dname = first_present(df, DECISION_ALIASES)
+    dec_raw = F.upper(py_strip(F.col(dname).cast("string"))) if dname else F.lit(None).cast("string")
     risk_name = first_present(df, RISK_ALIASES)
-    anomaly = truthy_text(df, first_present(df, ANOMALY_ALIASES))
-    out = df.select(
+    filter_risk = first_present(df, ["risk_score", "fraud_probability"])
+    first = df.select(
         tid.alias("transaction_id"),
         safe_str(df, USER_ALIASES, "UNKNOWN_USER").alias("user_id"),
-        F.when(decision_text.isin("ALLOW", "REVIEW", "BLOCK"), decision_text).otherwise("REVIEW").alias("decision"),
-        prob.alias("fraud_probability"),
+        dec_raw.alias("_dec_raw"),
+        prob_from(df, PROB_ALIASES, 0.0).alias("fraud_probability"),
         (clip01(to_double(df, risk_name, 0.0)) if risk_name else F.lit(None).cast("double")).alias("_risk"),
-        anomaly.alias("anomaly_flag"),
+        (clip01(to_double(df, filter_risk, 0.0)) if filter_risk else F.lit(0.0)).alias("_frisk"),
+        truthy_text(df, first_present(df, ANOMALY_ALIASES)).alias("anomaly_flag"),
         prob_from(df, CONF_ALIASES, 1.0).alias("model_confidence"),
         safe_str(df, ["analyst_note"], "").alias("analyst_note"),
         *[truthy_text(df, name).alias(name) for name, _, _, _ in EVIDENCE_RULES],
-        (F.upper(safe_str(df, DECISION_ALIASES, "")).isin("REVIEW", "BLOCK") | anomaly
-         | (prob_from(df, ["risk_score", "fraud_probability"], 0.0) >= 0.35)).alias("_create"),
     )
-    risk = F.col("_risk") if risk_name else F.col("fraud_probability")
-    return out.withColumn("risk_score", risk).drop("_risk")
+    dec = F.coalesce(F.nullif(F.col("_dec_raw"), F.lit("")), F.lit("REVIEW"))
+    return first.withColumns({
+        "decision": F.when(dec.isin("ALLOW", "REVIEW", "BLOCK"), dec).otherwise(F.lit("REVIEW")),
+        "risk_score": F.col("_risk") if risk_name else F.col("fraud_probability"),
+        "_create": (F.coalesce(F.col("_dec_raw").isin("REVIEW", "BLOCK"), F.lit(False))
+                    | F.col("anomaly_flag") | (F.col("_frisk") >= 0.35)),
+    }).drop("_dec_raw", "_risk", "_frisk")
 
 
 def create_cases(records: DataFrame, as_of: str | None = None, only_flagged: bool = False) -> DataFrame:
@@ -171,7 +178,7 @@ def case_table(cases: DataFrame) -> DataFrame:
     """flat case table with evidence count and text."""
     return cases.withColumns({
         "evidence_count": F.size("evidence"),
-        "evidence_text": F.array_join(F.transform("evidence", lambda e: e["description"]), "; "),
+        "evidence_text": F.array_join(F.col("evidence.description"), "; "),
     })
 
 

@@ -79,9 +79,13 @@ def bin_edges(long: DataFrame, n_bins: int = 10, accuracy: int | None = None) ->
     return q.select("feature", inner.alias("inner_edges"))
 
 
-def bin_index(value: Column, inner_edges: Column) -> Column:
-    """Left-closed bins: number of inner edges <= value (last bin closed, +inf edge)."""
-    return F.size(F.filter(inner_edges, lambda e: e <= value))
+def bin_index(value: Column, inner_edges: Column, n_bins: int) -> Column:
+    """Left-closed bins: number of inner edges <= value (last bin closed,
+    +inf edge). A fixed sum over the at most n_bins - 1 edge slots keeps the
+    expression inside whole-stage codegen."""
+    terms = [F.when(F.try_element_at(inner_edges, F.lit(i)) <= value, F.lit(1)).otherwise(F.lit(0))
+             for i in range(1, n_bins)]
+    return sum(terms[1:], terms[0]) if terms else F.lit(0)
 
 
 def numeric_drift(reference: DataFrame, current: DataFrame, features: Sequence[str], n_bins: int = 10,
@@ -102,7 +106,7 @@ def numeric_drift_long(long: DataFrame, n_bins: int = 10, warn: float = 0.10, al
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"),
         F.stddev_pop("value").alias("std"), median.alias("median"))
     counts = (long.join(F.broadcast(edges), "feature")
-              .select("feature", "side", bin_index(F.col("value"), F.col("inner_edges")).alias("bin"))
+              .select("feature", "side", bin_index(F.col("value"), F.col("inner_edges"), n_bins).alias("bin"))
               .groupBy("feature", "side", "bin").agg(F.count(F.lit(1)).alias("c")))
     grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.size("inner_edges"))).alias("bin"))
     ref_c = counts.where(F.col("side") == REFERENCE).select("feature", "bin", F.col("c").alias("rc"))

@@ -95,8 +95,8 @@ def ordered_sources(ranked: DataFrame) -> DataFrame:
 def investigation_focus(cases: DataFrame) -> Column:
     """Sorted distinct focus tags (default standard_audit_review)."""
     c = F.col
-    etypes = F.transform(c("evidence"), lambda e: e["evidence_type"])
-    esrc = F.transform(c("evidence"), lambda e: e["source"])
+    etypes = c("evidence.evidence_type")
+    esrc = c("evidence.source")
     tags = ordered_nonnull([
         F.when(c("decision") == "BLOCK", F.lit("blocked_transaction")),
         F.when(c("priority").isin("HIGH", "CRITICAL"), F.lit("high_priority_case")),

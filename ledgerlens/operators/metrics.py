@@ -108,10 +108,12 @@ def reliability_bins(long: DataFrame, n_bins: int = 10, model: str = "model") ->
     """H7: equal-width bins, left-closed, last bin closed on both ends, empty
     bins emitted as zeros (bin grid x models, right-joined)."""
     edges = reliability_edges(n_bins)
-    inner = F.array(*[F.lit(e) for e in edges[1:-1]])
     p = clip_probability(F.col("p"))
+    # literal edges: a sum of comparisons stays in whole-stage codegen
+    bin_expr = sum((F.when(F.col("p") >= F.lit(e), F.lit(1)).otherwise(F.lit(0)) for e in edges[2:-1]),
+                   F.when(F.col("p") >= F.lit(edges[1]), F.lit(1)).otherwise(F.lit(0)))
     binned = long.select(model, F.col("y").cast("double").alias("y"), p.alias("p")) \
-        .withColumn("bin_index", F.size(F.filter(inner, lambda e: e <= F.col("p"))))
+        .withColumn("bin_index", bin_expr)
     agg = binned.groupBy(model, "bin_index").agg(
         F.count(F.lit(1)).alias("count"), F.avg("p").alias("mean_predicted_probability"),
         F.avg("y").alias("observed_fraud_rate"))

@@ -150,9 +150,16 @@ def ngrams_column(toks: Column, ngram_max: int = 2) -> Column:
 
 def explode_terms(df: DataFrame, key: str, text: Column, stop_words: Sequence[str] | None = None,
                   ngram_max: int = 2) -> DataFrame:
-    """(key, term) rows: tokens are materialised in one projection, n-grams
-    and the explode read that column (no per-element re-tokenisation)."""
-    toks = df.select(F.col(key).alias(key), tokens_column(text, stop_words).alias("_toks"))
+    """(key, term) rows: tokens are materialised in one projection, stop
+    words removed by Spark ML's hash-set ``StopWordsRemover`` (JVM, codegen),
+    then n-grams and the explode read that column."""
+    stops = english_stop_words() if stop_words is None else list(stop_words)
+    raw = df.select(F.col(key).alias(key), tokens_column(text, []).alias("_raw"))
+    if stops:
+        toks = StopWordsRemover(inputCol="_raw", outputCol="_toks", stopWords=stops,
+                                caseSensitive=True).transform(raw).drop("_raw")
+    else:
+        toks = raw.withColumnRenamed("_raw", "_toks")
     return toks.select(key, F.explode(ngrams_column(F.col("_toks"), ngram_max)).alias("term"))
 
 
