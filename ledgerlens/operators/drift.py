@@ -20,6 +20,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.quantiles import APPROX_ACCURACY, exact_is_bounded, percentile_fn
+
 REFERENCE, CURRENT = "reference", "current"
 ALERT_CODE = {"OK": 0, "WARN": 1, "ALERT": 2}
 
@@ -59,7 +61,7 @@ def categorical_long(tagged: DataFrame, features: Sequence[str]) -> DataFrame:
     return tagged.select("side", F.inline(pairs)).where(F.col("category").isNotNull())
 
 
-def bin_edges(long: DataFrame, n_bins: int = 10, accuracy: int | None = None) -> DataFrame:
+def bin_edges(long: DataFrame, n_bins: int = 10, accuracy: int | None | str = "auto") -> DataFrame:
     """Per feature, linear-interpolated quantile edges of the reference
     side, de-duplicated; fewer than 3 distinct edges -> equal-width bins over
     [min, max] (±0.5 when constant); outer edges ±inf. ``accuracy`` switches
@@ -67,9 +69,9 @@ def bin_edges(long: DataFrame, n_bins: int = 10, accuracy: int | None = None) ->
     default; exact ``percentile`` keeps a value->count map per group)."""
     levels = F.array(*[F.lit(q) for q in quantile_levels(n_bins)])
     ref = long.where(F.col("side") == REFERENCE)
-    qfun = (F.percentile(F.col("value"), levels) if accuracy is None
-            else F.percentile_approx(F.col("value"), levels, accuracy))
-    q = ref.groupBy("feature").agg(qfun.alias("qs"), F.min("value").alias("mn"), F.max("value").alias("mx"))
+    pct = _percentile_for(ref, ["feature"], accuracy)
+    q = ref.groupBy("feature").agg(pct("value", levels).alias("qs"), F.min("value").alias("mn"),
+                                   F.max("value").alias("mx"))
     uniq = F.array_distinct(F.col("qs"))
     lo = F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn"))
     hi = F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx"))
@@ -88,9 +90,17 @@ def bin_index(value: Column, inner_edges: Column, n_bins: int) -> Column:
     return sum(terms[1:], terms[0]) if terms else F.lit(0)
 
 
+def _percentile_for(long: DataFrame, groups, accuracy):
+    """accuracy: None = exact, int = approximate, "auto" = exact only when
+    every group's distinct-value count is bounded (checked by one aggregate)."""
+    if accuracy == "auto":
+        return percentile_fn(exact_is_bounded(long, "value", groups))
+    return percentile_fn(accuracy is None, accuracy or APPROX_ACCURACY)
+
+
 def numeric_drift(reference: DataFrame, current: DataFrame, features: Sequence[str], n_bins: int = 10,
                   warn: float = 0.10, alert: float = 0.25, epsilon: float = 1e-6,
-                  accuracy: int | None = None) -> DataFrame:
+                  accuracy: int | None | str = "auto") -> DataFrame:
     """One row per feature present in both frames."""
     feats = [f for f in features if f in reference.columns and f in current.columns]
     long = numeric_long(tag_sides(reference, current, feats), feats)
@@ -98,10 +108,9 @@ def numeric_drift(reference: DataFrame, current: DataFrame, features: Sequence[s
 
 
 def numeric_drift_long(long: DataFrame, n_bins: int = 10, warn: float = 0.10, alert: float = 0.25,
-                       epsilon: float = 1e-6, accuracy: int | None = None) -> DataFrame:
+                       epsilon: float = 1e-6, accuracy: int | None | str = "auto") -> DataFrame:
     edges = bin_edges(long, n_bins, accuracy)
-    median = (F.percentile("value", 0.5) if accuracy is None
-              else F.percentile_approx("value", 0.5, accuracy))
+    median = _percentile_for(long, ["feature", "side"], accuracy)("value", 0.5)
     stats = long.groupBy("feature", "side").agg(
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"),
         F.stddev_pop("value").alias("std"), median.alias("median"))
@@ -231,3 +240,72 @@ def monitoring_frames(reference: DataFrame, current: DataFrame, numeric_features
     if dec is not None:
         frames["decision_drift"] = dec
     return frames
+
+
+def windowed_numeric_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
+                           window_col: str, n_bins: int = 10, warn: float = 0.10, alert: float = 0.25,
+                           epsilon: float = 1e-6) -> DataFrame:
+    """PSI of every current window (e.g. a day or an event-time window
+    column) against one static reference. Edges come from the reference once
+    (broadcast, bounded by features x bins); current counts are grouped by
+    (window, feature, bin) in one pass, zero-filled from the bin grid."""
+    feats = [f for f in features if f in reference.columns and f in current.columns]
+    ref_long = numeric_long(reference.select(F.lit(REFERENCE).alias("side"), *feats), feats)
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).try_cast("double").alias("value"))
+                      for f in feats])
+    cur_long = (current.select(F.col(window_col).alias("window"), F.inline(pairs))
+                .where(F.col("value").isNotNull() & ~F.isnan("value")))
+    edges = F.broadcast(bin_edges(ref_long, n_bins))  # features x bins numbers
+    ref_counts = (ref_long.join(edges, "feature")
+                  .select("feature", bin_index(F.col("value"), F.col("inner_edges"), n_bins).alias("bin"))
+                  .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("rc")))
+    ref_n = ref_long.groupBy("feature").agg(F.count(F.lit(1)).alias("rn"))
+    cur_counts = (cur_long.join(edges, "feature")
+                  .select("window", "feature", bin_index(F.col("value"), F.col("inner_edges"), n_bins).alias("bin"))
+                  .groupBy("window", "feature", "bin").agg(F.count(F.lit(1)).alias("cc")))
+    cur_n = cur_long.groupBy("window", "feature").agg(F.count(F.lit(1)).alias("cn"))
+    grid = (cur_n.join(edges, "feature")
+            .select("window", "feature", "cn", F.explode(F.sequence(F.lit(0), F.size("inner_edges"))).alias("bin")))
+    eps = F.lit(epsilon)
+    props = (grid.join(cur_counts, ["window", "feature", "bin"], "left")
+             .join(F.broadcast(ref_counts), ["feature", "bin"], "left")
+             .join(F.broadcast(ref_n), "feature")
+             .select("window", "feature", "cn",
+                     F.greatest(F.coalesce("rc", F.lit(0)) / F.col("rn"), eps).alias("rp"),
+                     F.greatest(F.coalesce("cc", F.lit(0)) / F.col("cn"), eps).alias("cp")))
+    psi = props.groupBy("window", "feature").agg(
+        F.max("cn").alias("current_count"),
+        F.greatest(F.lit(0.0), F.sum((F.col("cp") - F.col("rp")) * F.ln(F.col("cp") / F.col("rp")))).alias("psi"))
+    return psi.select("window", F.col("feature").alias("feature_name"), "current_count",
+                      F.col("psi").alias("population_stability_index"),
+                      alert_level(F.col("psi"), warn, alert).alias("alert_level"))
+
+
+def monitoring_summary_text(frames: dict) -> DataFrame:
+    """The multi-line summary, from the (tiny, per-feature) report tables."""
+    num, cat, summ = frames["numeric_drift"], frames["categorical_drift"], frames["summary"]
+    rows = num.select("feature_name", "alert_level").unionByName(cat.select("feature_name", "alert_level"))
+    names = rows.agg(
+        F.array_join(F.collect_list(F.when(F.col("alert_level") == "ALERT", F.col("feature_name"))), ", ").alias("al"),
+        F.array_join(F.collect_list(F.when(F.col("alert_level") == "WARN", F.col("feature_name"))), ", ").alias("wa"))
+    dec = frames.get("decision_drift")
+    # single values from the tiny tables as scalar subqueries (no join needed)
+    base = summ.withColumns({
+        "al": names.select("al").scalar(), "wa": names.select("wa").scalar(),
+        "_tvd": dec.select("total_variation_distance").scalar() if dec is not None else F.lit(None).cast("double"),
+        "_dal": dec.select("alert_level").scalar() if dec is not None else F.lit(None).cast("string"),
+    })
+    lines = F.concat_ws(
+        "\n",
+        F.lit("Model monitoring summary:"),
+        F.concat(F.lit("- Overall status: "), F.col("overall_alert_level")),
+        F.concat(F.lit("- Numeric features checked: "), F.col("numeric_checked").cast("string")),
+        F.concat(F.lit("- Categorical features checked: "), F.col("categorical_checked").cast("string")),
+        F.when(F.col("_tvd").isNotNull(), F.concat(F.lit("- Decision distribution drift: "),
+                                                   F.format_string("%.4f", F.col("_tvd")),
+                                                   F.lit(" ("), F.col("_dal"), F.lit(")"))),
+        F.when(F.col("al") != "", F.concat(F.lit("- Alert features: "), F.col("al"))),
+        F.when(F.col("wa") != "", F.concat(F.lit("- Warning features: "), F.col("wa"))),
+        F.when((F.col("al") == "") & (F.col("wa") == "") & (F.col("_dal").isNull() | (F.col("_dal") == "OK")),
+               F.lit("- No major drift detected.")))
+    return base.select(F.col("overall_alert_level"), lines.alias("summary_text"))

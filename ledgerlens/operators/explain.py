@@ -207,3 +207,61 @@ def explanation_markdown(summary: DataFrame, context: Column, sources: Column) -
         F.lit("## Sources"), F.lit(""),
         F.coalesce(F.array_join(F.transform(sources, lambda s: F.concat(F.lit("- "), s)), "\n"),
                    F.lit("- No sources retrieved.")))
+
+
+# Policy-answer template sentences.
+ANSWER_TEXT = (
+    "Based on the retrieved LedgerLens policy context, the answer should be interpreted "
+    "within the platform's advisory boundaries. The analyst assistant can explain "
+    "risk policy, summarize evidence, and suggest review steps, but it cannot override "
+    "ALLOW, REVIEW, or BLOCK decisions.")
+NEXT_STEP_TEXT = ("Use the retrieved policy context to review the relevant transaction, preserve the "
+                  "audit trail, and document any analyst action taken.")
+NO_CONTEXT_TEXT = (
+    "I do not have enough retrieved LedgerLens policy context to answer that confidently. "
+    "Ask a question related to risk policy, fraud investigation, audit requirements, "
+    "model monitoring, calibration, or case handling.")
+
+
+def policy_answers(guarded: DataFrame, ranked: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Per question (q, text, allowed, reason, safe_alternative,
+    categories): guardrail refusal, or the policy answer built from its
+    top-k chunks ('Source / Relevance score / text' sections in rank order),
+    or the insufficient-context answer when nothing was retrieved."""
+    from ledgerlens.operators.guardrails import refusal_message
+    sec = (ranked.join(chunks.select(F.col("chunk_id").alias("unit"), "source", F.col("text").alias("chunk_text")),
+                       "unit")
+           .select("q", "rank", F.col("source").cast("string").alias("source"),
+                   F.concat(F.lit("Source: "), F.col("source").cast("string"), F.lit("\nRelevance score: "),
+                            F.format_string("%.3f", F.col("score")), F.lit("\n"), F.trim("chunk_text")).alias("s")))
+    per_q = sec.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("rank", "s", "source"))).alias("_r"))
+    j = guarded.join(per_q, "q", "left")
+    context = F.array_join(F.col("_r.s"), "\n\n---\n\n")
+    has = F.coalesce(F.size("_r"), F.lit(0)) > 0
+    answer = F.concat_ws("\n", F.lit("## LedgerLens Policy-Grounded Answer"), F.lit(""),
+                         F.concat(F.lit("Question: "), F.trim(F.col("text"))), F.lit(""),
+                         F.lit("### Retrieved Context"), F.lit(""), context, F.lit(""),
+                         F.lit("### Answer"), F.lit(""), F.lit(ANSWER_TEXT), F.lit(""),
+                         F.lit("### Safe Next Step"), F.lit(""), F.lit(NEXT_STEP_TEXT))
+    rtype = (F.when(~F.col("allowed"), "GUARDRAIL_REFUSAL").when(~has, "INSUFFICIENT_CONTEXT")
+             .otherwise("POLICY_ANSWER"))
+    return j.select(
+        "q", "allowed", rtype.alias("response_type"),
+        F.when(~F.col("allowed"), refusal_message(F.col("allowed"), F.col("reason"), F.col("safe_alternative")))
+        .when(~has, F.lit(NO_CONTEXT_TEXT)).otherwise(answer).alias("answer"),
+        F.when(F.col("allowed") & has, F.array_distinct(F.col("_r.source")))
+        .otherwise(F.array().cast("array<string>")).alias("retrieved_sources"),
+        F.when(~F.col("allowed"), F.col("categories")).otherwise(F.array().cast("array<string>"))
+        .alias("guardrail_categories"),
+        F.when(~F.col("allowed"), F.lit("Blocked by guardrails before retrieval."))
+        .when(~has, F.lit("No relevant policy context retrieved."))
+        .otherwise(F.lit("Answer is grounded in retrieved LedgerLens policy context.")).alias("confidence_note"))
+
+
+def copilot_card(responses: DataFrame, title: str = "LedgerLens Analyst Copilot") -> DataFrame:
+    """Dashboard card fields and the sources display text."""
+    src = F.when(F.size("retrieved_sources") == 0, F.lit("No retrieved sources.")).otherwise(
+        F.array_join(F.transform("retrieved_sources", lambda s: F.concat(F.lit("- "), s)), "\n"))
+    return responses.select("q", F.lit(title).alias("title"), "response_type", "allowed", "answer",
+                            "confidence_note", "retrieved_sources", "guardrail_categories",
+                            src.alias("sources_text"))

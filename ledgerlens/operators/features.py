@@ -52,13 +52,15 @@ def failed_login_count(tx: DataFrame, logins: DataFrame, account: str = "account
     """L2: failed logins of the account in [ts - minutes, ts] for every
     transaction, by a conditional count over the unioned event stream."""
     look = minutes * 60_000_000
-    u = (tx.select(key, account, ts, F.lit(1).alias("_is_tx"), F.lit(0).alias("_is_fail"))
-         .unionByName(logins.select(key, account, ts, F.lit(0).alias("_is_tx"), F.lit(1).alias("_is_fail"))))
+    # transactions keep all their columns; logins are padded with nulls, so no join back is needed
+    u = (tx.withColumns({"_is_tx": F.lit(1), "_is_fail": F.lit(0)})
+         .unionByName(logins.select(key, account, ts).withColumns({"_is_tx": F.lit(0), "_is_fail": F.lit(1)}),
+                      allowMissingColumns=True))
     h = halo_bucketed(u, ts, look, bucket_minutes * 60_000_000).withColumn("_t", _micros(ts))
     w = Window.partitionBy(account, "_bucket").orderBy("_t").rangeBetween(-look, 0)
-    c = (h.withColumn(out, F.sum("_is_fail").over(w).cast("int"))
-         .where(F.col("_own") & (F.col("_is_tx") == 1)).select(key, out))
-    return tx.join(c, key)
+    return (h.withColumn(out, F.sum("_is_fail").over(w).cast("int"))
+            .where(F.col("_own") & (F.col("_is_tx") == 1))
+            .drop("_bucket", "_own", "_t", "_is_tx", "_is_fail"))
 
 
 def daily_total_before(tx: DataFrame, account: str = "account_id", ts: str = "timestamp",

@@ -261,3 +261,23 @@ def apply_calibrator(model, target: DataFrame, prob: str = "p") -> DataFrame:
     else:
         out = model.setPredictionCol("p_calibrated").transform(t)
     return out.withColumn("p_calibrated", clip_probability(F.col("p_calibrated"))).drop("_pc", "features")
+
+
+def calibration_text(summary: DataFrame, model: str = "model") -> DataFrame:
+    """The ten-line calibration summary per model (and stage)."""
+    f4 = lambda c: F.format_string("%.4f", F.col(c))
+    na = lambda c: F.coalesce(F.format_string("%.4f", F.col(c)), F.lit("N/A"))
+    text = F.concat_ws(
+        "\n",
+        F.concat(F.lit("Calibration summary for "), F.col(model), F.lit(":")),
+        F.concat(F.lit("- Samples: "), F.col("sample_count").cast("string")),
+        F.concat(F.lit("- Positives: "), F.col("positive_count").cast("string")),
+        F.concat(F.lit("- Negatives: "), F.col("negative_count").cast("string")),
+        F.concat(F.lit("- Brier score: "), f4("brier_score")),
+        F.concat(F.lit("- Log loss: "), f4("log_loss")),
+        F.concat(F.lit("- ROC-AUC: "), na("roc_auc")),
+        F.concat(F.lit("- Average precision: "), na("average_precision")),
+        F.concat(F.lit("- Expected calibration error: "), f4("expected_calibration_error")),
+        F.concat(F.lit("- Maximum calibration error: "), f4("maximum_calibration_error")))
+    keep = [model] + (["stage"] if "stage" in summary.columns else [])
+    return summary.select(*keep, text.alias("summary_text"))

@@ -171,3 +171,39 @@ def q_lineitem_categorical_drift(spark, sf):
     ref, cur = _li_sides(spark, sf)
     d = G.categorical_drift(ref, cur, LI_CATEGORICAL)
     return d.withColumn("total_variation_distance", F.bround("total_variation_distance", R9))
+
+
+WIN_CUT = "1996-01-01"
+
+
+@register("windowed_drift", f"""WITH src AS (SELECT * FROM lineitem),
+nl AS (SELECT * FROM ({' UNION ALL '.join(f"SELECT CASE WHEN l_shipdate < TIMESTAMP '{WIN_CUT}' THEN NULL ELSE year(l_shipdate) END AS w, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM src" for f in LI_NUMERIC)})
+      WHERE value IS NOT NULL AND NOT isnan(value)),
+q AS (SELECT feature, quantile_cont(value, [{', '.join(_lit(q) for q in G.quantile_levels(N_BINS))}]) AS qs, min(value) AS mn, max(value) AS mx
+      FROM nl WHERE w IS NULL GROUP BY feature),
+q2 AS (SELECT *, list_sort(list_distinct(qs)) AS uq,
+         CASE WHEN mn = mx THEN mn - 0.5e0 ELSE mn END AS lo, CASE WHEN mn = mx THEN mx + 0.5e0 ELSE mx END AS hi FROM q),
+e AS (SELECT feature, CASE WHEN len(uq) >= 3 THEN uq[2:len(uq) - 1]
+         ELSE list_transform(range(1, {N_BINS}), lambda i: i * ((hi - lo) / {N_BINS}e0) + lo) END AS inner_edges FROM q2),
+b AS (SELECT w, nl.feature, len(list_filter(e.inner_edges, lambda x: x <= nl.value)) AS bin FROM nl JOIN e ON nl.feature = e.feature),
+rc AS (SELECT feature, bin, count(*) AS c FROM b WHERE w IS NULL GROUP BY ALL),
+rn AS (SELECT feature, count(*) AS n FROM b WHERE w IS NULL GROUP BY ALL),
+cc AS (SELECT w, feature, bin, count(*) AS c FROM b WHERE w IS NOT NULL GROUP BY ALL),
+cn AS (SELECT w, feature, count(*) AS n FROM b WHERE w IS NOT NULL GROUP BY ALL),
+grid AS (SELECT cn.w, cn.feature, cn.n, unnest(range(0, len(e.inner_edges) + 1)) AS bin FROM cn JOIN e ON cn.feature = e.feature),
+pr AS (SELECT g.w, g.feature, g.n,
+         greatest(coalesce(r.c, 0) / CAST(rn.n AS DOUBLE), 1e-6) AS rp, greatest(coalesce(c.c, 0) / CAST(g.n AS DOUBLE), 1e-6) AS cp
+       FROM grid g LEFT JOIN cc c ON c.w = g.w AND c.feature = g.feature AND c.bin = g.bin
+       LEFT JOIN rc r ON r.feature = g.feature AND r.bin = g.bin JOIN rn ON rn.feature = g.feature)
+SELECT CAST(w AS INTEGER) AS window, feature AS feature_name, max(n) AS current_count,
+  round_even(greatest(0e0, sum((cp - rp) * ln(cp / rp))), {R9}) AS population_stability_index
+FROM pr GROUP BY w, feature""")
+def q_windowed_drift(spark, sf):
+    """Lineitem PSI per shipping year against the rows shipped before 1996."""
+    li = read_table(spark, sf, "lineitem")
+    cut = F.lit(WIN_CUT).cast("timestamp_ntz")
+    ref = li.where(F.col("l_shipdate") < cut)
+    cur = li.where(F.col("l_shipdate") >= cut).withColumn("ship_year", F.year("l_shipdate"))
+    d = G.windowed_numeric_drift(ref, cur, LI_NUMERIC, "ship_year", N_BINS)
+    return d.select("window", "feature_name", "current_count",
+                    F.bround("population_stability_index", R9).alias("population_stability_index"))

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.quantiles import exact_is_bounded, percentile_fn
 from ledgerlens.operators import models as M
 from ledgerlens.plans import decisions as D
 from ledgerlens.plans.registry import register
@@ -74,7 +75,9 @@ SELECT round_even(t, 9) AS threshold, count_if(amount_to_avg_ratio >= t) AS n_fl
 def q_quantile_threshold(spark, sf):
     """95th percentile (linear) of the normal rows' score; rows >= flagged."""
     r = D.rule_scored(spark, sf)
-    t = r.where("is_fraud = 0").select(F.percentile("amount_to_avg_ratio", 0.95)).scalar()
+    normal = r.where("is_fraud = 0")
+    pct = percentile_fn(exact_is_bounded(normal, "amount_to_avg_ratio"))
+    t = normal.select(pct("amount_to_avg_ratio", 0.95)).scalar()
     return (r.agg(F.count_if(F.col("amount_to_avg_ratio") >= t).alias("n_flagged"))
             .select(F.bround(t, 9).alias("threshold"), "n_flagged"))
 
@@ -94,7 +97,8 @@ def q_pca_anomaly(spark, sf):
     tr = M.pca_autoencoder(normal, normal, "features", k=6)
     lo = tr.select(F.min("reconstruction_error")).scalar()
     hi = tr.select(F.max("reconstruction_error")).scalar()
-    th = tr.select(F.percentile("reconstruction_error", 0.95)).scalar()
+    pct = percentile_fn(exact_is_bounded(tr, "reconstruction_error"))
+    th = tr.select(pct("reconstruction_error", 0.95)).scalar()
     return scored.select("vec_id", "label", "reconstruction_error",
                          F.bround(M.minmax_normalize(F.col("reconstruction_error"), lo, hi) * 100, 0)
                          .cast("int").alias("autoencoder_anomaly_score"),

@@ -65,3 +65,17 @@ def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, output
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+
+
+def run_state_table(stream: DataFrame, table_path: str, checkpoint: str) -> None:
+    """Drain a stateful aggregation (complete output) into a table: each
+    micro-batch's full result replaces the table, written by the executors
+    (``foreachBatch``; nothing goes through the driver)."""
+    def write(batch: DataFrame, _batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(table_path)
+
+    q = (stream.writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
