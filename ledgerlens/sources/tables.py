@@ -16,10 +16,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A1: Parquet scan. Column pruning and filter pushdown happen in Catalyst,
-    so callers simply ``select``/``filter`` what they need."""
-    return spark.read.parquet(table_path(sf_dir, name))
+def read_table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
+    """A1: Parquet scan. Column pruning and filter pushdown happen in Catalyst
+    (both pass through the optional round-robin repartition), so callers
+    simply ``select``/``filter`` what they need."""
+    return ensure_parallel(spark.read.parquet(table_path(sf_dir, name)), min_partitions)
+
+
+def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer input splits than the cluster's
+    parallelism (e.g. one large Parquet row group) over ``min_partitions``
+    tasks with a round-robin repartition. A no-op for big inputs, whose files
+    already give many more splits than cores."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def read_transactions(spark: SparkSession, path: str, fmt: str = "parquet",
