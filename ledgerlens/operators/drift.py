@@ -39,6 +39,12 @@ def quantile_levels(n_bins: int) -> list[float]:
     return [float(x) for x in np.linspace(0.0, 1.0, n_bins + 1)]
 
 
+def tag_by_condition(df: DataFrame, is_reference, columns: Sequence[str]) -> DataFrame:
+    """One-pass side tag when both sides come from the same table (e.g. a
+    date split): no second scan and no union."""
+    return df.select(F.when(is_reference, F.lit(REFERENCE)).otherwise(F.lit(CURRENT)).alias("side"), *columns)
+
+
 def tag_sides(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Union the two frames with a side tag (only the needed columns)."""
     cols = list(columns)
@@ -92,7 +98,10 @@ def bin_index(value: Column, inner_edges: Column, n_bins: int) -> Column:
 
 def _percentile_for(long: DataFrame, groups, accuracy):
     """accuracy: None = exact, int = approximate, "auto" = exact only when
-    every group's distinct-value count is bounded (checked by one aggregate)."""
+    every group's distinct-value count is bounded (checked by one aggregate),
+    or an already-made decision (a percentile function)."""
+    if callable(accuracy):
+        return accuracy
     if accuracy == "auto":
         return percentile_fn(exact_is_bounded(long, "value", groups))
     return percentile_fn(accuracy is None, accuracy or APPROX_ACCURACY)
@@ -109,8 +118,11 @@ def numeric_drift(reference: DataFrame, current: DataFrame, features: Sequence[s
 
 def numeric_drift_long(long: DataFrame, n_bins: int = 10, warn: float = 0.10, alert: float = 0.25,
                        epsilon: float = 1e-6, accuracy: int | None | str = "auto") -> DataFrame:
-    edges = bin_edges(long, n_bins, accuracy)
-    median = _percentile_for(long, ["feature", "side"], accuracy)("value", 0.5)
+    # one size check over (feature, side) groups decides for the edges (the
+    # reference groups) and the medians alike
+    pct = _percentile_for(long, ["feature", "side"], accuracy)
+    edges = bin_edges(long, n_bins, pct)
+    median = pct("value", 0.5)
     stats = long.groupBy("feature", "side").agg(
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"),
         F.stddev_pop("value").alias("std"), median.alias("median"))

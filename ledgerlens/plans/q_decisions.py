@@ -186,7 +186,10 @@ def q_audit_documents(spark, sf):
 
 
 def _dash(spark, sf):
-    return K.audit_lookup_join(D.final_decisions(spark, sf), D.audit_flat(spark, sf))
+    # one decision-flow DataFrame feeds both sides (built once; identical
+    # exchanges below it are reused by the planner)
+    final = D.final_decisions(spark, sf)
+    return K.audit_lookup_join(final, A.audit_view(A.audit_records(final)))
 
 
 @register("audit_lookup_join", with_(AUDIT_CTE, "SELECT transaction_id, final_action, severity, decision_source FROM dash"))

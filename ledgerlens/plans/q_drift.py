@@ -104,17 +104,24 @@ DRIFT_CTE = _drift_sql(FINAL_CTE, "timestamp", NUMERIC, CATEGORICAL + [DECISION]
 LI_CTE = _drift_sql("li0 AS (SELECT * FROM lineitem)", "l_shipdate", LI_NUMERIC, LI_CATEGORICAL, "li0")
 
 
+def _tagged(spark, sf, features):
+    """Both sides from one pass over the decision flow (date split as a tag)."""
+    final = D.final_decisions(spark, sf)
+    cut = F.lit(DRIFT_CUT).cast("timestamp_ntz")
+    return G.tag_by_condition(final, F.col("timestamp") < cut, features)
+
+
 @register("numeric_drift", with_(DRIFT_CTE, _NUM_SELECT))
 def q_numeric_drift(spark, sf):
-    ref, cur = _sides(spark, sf)
-    return _round_num(G.numeric_drift(ref, cur, NUMERIC, N_BINS))
+    long = G.numeric_long(_tagged(spark, sf, NUMERIC), NUMERIC)
+    return _round_num(G.numeric_drift_long(long, N_BINS))
 
 
 @register("psi_by_feature", with_(DRIFT_CTE, f"""SELECT feature AS feature_name,
   round_even(psi, {R9}) AS population_stability_index FROM psi"""))
 def q_psi_by_feature(spark, sf):
-    ref, cur = _sides(spark, sf)
-    return G.numeric_drift(ref, cur, NUMERIC, N_BINS).select(
+    long = G.numeric_long(_tagged(spark, sf, NUMERIC), NUMERIC)
+    return G.numeric_drift_long(long, N_BINS).select(
         "feature_name", F.bround("population_stability_index", R9).alias("population_stability_index"))
 
 
@@ -122,8 +129,7 @@ def q_psi_by_feature(spark, sf):
   round_even(total_variation_distance, {R9}) AS total_variation_distance, changed_categories, alert_level
 FROM catd WHERE feature_name IN ({', '.join(repr(c) for c in CATEGORICAL)})"""))
 def q_categorical_drift(spark, sf):
-    ref, cur = _sides(spark, sf)
-    d = G.categorical_drift(ref, cur, CATEGORICAL)
+    d = G.categorical_drift_long(G.categorical_long(_tagged(spark, sf, CATEGORICAL), CATEGORICAL))
     return d.withColumn("total_variation_distance", F.bround("total_variation_distance", R9))
 
 
