@@ -265,3 +265,78 @@ def copilot_card(responses: DataFrame, title: str = "LedgerLens Analyst Copilot"
     return responses.select("q", F.lit(title).alias("title"), "response_type", "allowed", "answer",
                             "confidence_note", "retrieved_sources", "guardrail_categories",
                             src.alias("sources_text"))
+
+
+def case_context_text() -> Column:
+    """The case context block (evidence lines, action, note)."""
+    c = F.col
+    ev = F.when(F.size("evidence") > 0, F.array_join(F.transform("evidence", lambda e: F.concat(
+        F.lit("- ["), e["evidence_type"], F.lit("] "), e["description"], F.lit(" (severity="),
+        e["severity"].cast("string"), F.lit("/100, source="), e["source"], F.lit(")"))), "\n")) \
+        .otherwise(F.lit("- No additional evidence items recorded."))
+    return F.concat_ws(
+        "\n",
+        F.concat(F.lit("Case ID: "), c("case_id")), F.concat(F.lit("Transaction ID: "), c("transaction_id")),
+        F.concat(F.lit("User ID: "), c("user_id")), F.concat(F.lit("Decision: "), c("decision")),
+        F.concat(F.lit("Priority: "), c("priority")), F.concat(F.lit("Status: "), c("status")),
+        F.concat(F.lit("Risk Score: "), fmt3(c("risk_score"))),
+        F.concat(F.lit("Fraud Probability: "), fmt3(c("fraud_probability"))),
+        F.concat(F.lit("Model Confidence: "), fmt3(c("model_confidence"))),
+        F.concat(F.lit("Anomaly Flag: "), F.when(c("anomaly_flag"), "True").otherwise("False")),
+        F.lit("Evidence:"), ev,
+        F.concat(F.lit("Recommended Action: "), c("recommended_action")),
+        F.concat(F.lit("Analyst Note: "), F.coalesce(F.nullif(c("analyst_note"), F.lit("")),
+                                                     F.lit("No analyst note recorded."))))
+
+
+def retrieval_query_text(question: str) -> Column:
+    """Retrieval query built from the case and its focus tags."""
+    return F.concat(F.lit(f"{question} decision "), F.col("decision"), F.lit(" priority "), F.col("priority"),
+                    F.lit(" fraud probability anomaly risk policy audit investigation "),
+                    F.array_join(F.col("investigation_focus"), " "))
+
+
+def investigation_summaries(inv: DataFrame, chunks: DataFrame, question: str = "Investigate this case.",
+                            k: int = 3) -> DataFrame:
+    """Guarded investigation summaries for every case.
+
+    Retrieval runs once per *distinct* query text (the text depends only on
+    decision, priority and focus tags, so there are few), then joins back to
+    the cases on that text: the retrieval cost does not grow with the number
+    of cases."""
+    from ledgerlens.operators import guardrails as GR
+    from ledgerlens.operators import retrieval as R
+    g = GR.guardrail_columns(F.lit(question))
+    cases = inv.withColumns({"_qtext": retrieval_query_text(question), "_ctx": case_context_text()})
+    queries = cases.select(F.col("_qtext").alias("q")).distinct()
+    ranked = R.retrieve(queries, "q", "q", chunks, "chunk_id", k=k)
+    sec = (ranked.join(chunks.select(F.col("chunk_id").alias("unit"), "source", F.col("text").alias("_t")), "unit")
+           .groupBy("q").agg(F.sort_array(F.collect_list(F.struct(
+               "rank", F.col("source").cast("string").alias("source"),
+               F.concat(F.lit("Source: "), F.col("source").cast("string"), F.lit("\nScore: "),
+                        F.format_string("%.3f", "score"), F.lit("\n"), F.trim("_t")).alias("s")))).alias("_r")))
+    j = cases.join(sec, cases["_qtext"] == sec["q"], "left")
+    context = F.coalesce(F.array_join(F.col("_r.s"), "\n\n---\n\n"), F.lit(""))
+    bullets = lambda arr: F.array_join(F.transform(arr, lambda x: F.concat(F.lit("- "), x)), "\n")
+    summary = F.concat_ws(
+        "\n",
+        F.concat(F.lit("# Investigation Summary: "), F.col("case_id")), F.lit(""),
+        F.lit("## Case Context"), F.lit(""), F.col("_ctx"), F.lit(""),
+        F.lit("## Investigation Focus"), F.lit(""), bullets(F.col("investigation_focus")), F.lit(""),
+        F.lit("## Retrieved Policy Context"), F.lit(""),
+        F.when(context != "", context).otherwise(F.lit("No retrieved policy context was available.")), F.lit(""),
+        F.lit("## Recommended Actions"), F.lit(""), bullets(F.col("recommended_actions")))
+    allowed = g["allowed"]
+    refusal = F.concat(F.lit("This investigation request was blocked by LedgerLens guardrails. Reason: "),
+                       g["reason"], F.lit(" Safe alternative: "), F.coalesce(g["safe_alternative"], F.lit("None")))
+    return j.select(
+        "case_id", "transaction_id", "decision", "priority", "status", allowed.alias("allowed"),
+        F.when(allowed, "investigation_summary").otherwise("guardrail_refusal").alias("response_type"),
+        F.when(allowed, F.col("investigation_focus")).otherwise(F.array().cast("array<string>"))
+        .alias("investigation_focus"),
+        F.when(allowed, summary).otherwise(refusal).alias("summary"),
+        F.when(allowed, F.col("recommended_actions")).otherwise(F.array(g["safe_alternative"]))
+        .alias("recommended_actions"),
+        F.when(allowed, F.coalesce(F.array_distinct(F.col("_r.source")), F.array().cast("array<string>")))
+        .otherwise(F.array().cast("array<string>")).alias("retrieved_sources"),
+        F.when(allowed, F.array().cast("array<string>")).otherwise(g["categories"]).alias("guardrail_categories"))

@@ -273,3 +273,9 @@ def isolation_forest_score(df: DataFrame, forest: dict, psi: int, vec_col: str,
         return pd.Series(np.power(2.0, -h / cpsi))
 
     return df.withColumn(out, score(vector_to_array(vec_col)))
+
+
+def save_model(model, path: str) -> str:
+    """Persist a fitted Spark ML model / pipeline (overwrite)."""
+    model.write().overwrite().save(path)
+    return path

@@ -12,6 +12,7 @@ from ledgerlens.operators import models as M
 from ledgerlens.plans import decisions as D
 from ledgerlens.plans.registry import register
 from ledgerlens.plans.sql_twins import RULES_CTE, with_
+from ledgerlens.session import ensure_checkpoint_dir
 from ledgerlens.sources.tables import read_table
 
 R6 = 6
@@ -121,6 +122,7 @@ def _train_frames(spark, sf):
 
 
 def _model_scores(spark, sf, name):
+    ensure_checkpoint_dir(spark)  # GBT checkpoints its lineage every 10 iterations
     train, full = _train_frames(spark, sf)
     _, scored = M.fit_and_score(train, full, name)
     s = M.slug(name)

@@ -70,3 +70,13 @@ def q_stream_case_status(spark, sf):
     path = os.path.join(base, "out")
     S.run_state_table(S.latest_status_stream(ev), path, os.path.join(base, "ckpt"))
     return spark.read.parquet(path)
+
+
+@register("investigation_reports")
+def q_investigation_reports(spark, sf):
+    """Guarded investigation summaries for every case, policy
+    context retrieved once per distinct query text from the chunked documents."""
+    from ledgerlens.plans import q_cost_cases as QC
+    inv = X.investigations(QC._cases(spark, sf))
+    chunks = R.chunk_documents(QT._docs(spark, sf))
+    return X.investigation_summaries(inv, chunks, "Investigate this suspicious transaction.")

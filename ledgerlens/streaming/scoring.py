@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators.cost import score_requests
 from ledgerlens.operators.rules import apply_rules
-from ledgerlens.session import CHECKPOINT_CONF
+from ledgerlens.session import ensure_checkpoint_dir
 
 
 def scoring_stream(transactions: DataFrame) -> DataFrame:
@@ -49,10 +49,9 @@ def latest_status_stream(status_events: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``."""
-    base = spark.conf.get(CHECKPOINT_CONF, None)
-    if not base:
-        raise RuntimeError(f"{CHECKPOINT_CONF} must be set to a shared folder")
+    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``
+    (read from the session; a scratch folder is set only when it is unset)."""
+    base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
