@@ -89,10 +89,12 @@ def supervised_estimators(seed: int = 42) -> dict:
             featuresCol="scaled", labelCol=TARGET_COLUMN, weightCol="weight", maxIter=2000, regParam=0.0)]),
         "Random Forest": RandomForestClassifier(
             featuresCol="features", labelCol=TARGET_COLUMN, weightCol="weight", numTrees=250, maxDepth=12,
-            minInstancesPerNode=4, featureSubsetStrategy="sqrt", seed=seed),
+            minInstancesPerNode=4, featureSubsetStrategy="sqrt", seed=seed,
+            # engine knobs only: more nodes per pass over the data, node ids cached between levels
+            maxMemoryInMB=1024, cacheNodeIds=True),
         "Gradient Boosting": GBTClassifier(
             featuresCol="features", labelCol=TARGET_COLUMN, weightCol="weight", maxIter=250, stepSize=0.06,
-            maxDepth=5, maxBins=256, seed=seed, checkpointInterval=10),
+            maxDepth=5, maxBins=256, seed=seed, checkpointInterval=10, maxMemoryInMB=1024),
         "MLP Neural Network": Pipeline(stages=[scaler, MultilayerPerceptronClassifier(
             featuresCol="scaled", labelCol=TARGET_COLUMN, layers=[len(FEATURE_COLUMNS), 64, 32, 16, 2],
             maxIter=500, seed=seed)]),
