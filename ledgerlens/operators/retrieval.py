@@ -153,6 +153,7 @@ def explode_terms(df: DataFrame, key: str, text: Column, stop_words: Sequence[st
     """(key, term) rows: tokens are materialised in one projection, stop
     words removed by Spark ML's hash-set ``StopWordsRemover`` (JVM, codegen),
     then n-grams and the explode read that column."""
+    from pyspark.ml.feature import NGram
     stops = english_stop_words() if stop_words is None else list(stop_words)
     raw = df.select(F.col(key).alias(key), tokens_column(text, []).alias("_raw"))
     if stops:
@@ -160,23 +161,39 @@ def explode_terms(df: DataFrame, key: str, text: Column, stop_words: Sequence[st
                                 caseSensitive=True).transform(raw).drop("_raw")
     else:
         toks = raw.withColumnRenamed("_raw", "_toks")
-    return toks.select(key, F.explode(ngrams_column(F.col("_toks"), ngram_max)).alias("term"))
-
-
-def tfidf_index(units: DataFrame, unit_col: str, text_col: str = "text",
-                stop_words: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Returns (weights(unit, term, weight), idf(term, df, idf)) with
-    raw tf, smooth idf = ln((1+n)/(1+df)) + 1 and L2-normalised rows."""
-    terms = explode_terms(units.select(F.col(unit_col).alias("unit"), F.col(text_col).alias("_t")),
-                          "unit", F.col("_t"), stop_words)
+    grams = [F.col("_toks")]
+    for n in range(2, ngram_max + 1):
+        # Spark ML's NGram: space-joined n-grams of the surviving tokens (empty when too short)
+        toks = NGram(n=n, inputCol="_toks", outputCol=f"_g{n}").transform(toks)
+        grams.append(F.col(f"_g{n}"))
+    return toks.select(key, F.explode(F.concat(*grams)).alias("term"))
+
+
+def tfidf_raw(units: DataFrame, unit_col: str, text_col: str = "text",
+              stop_words: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """J5 building blocks: (raw(unit, term, raw = tf*idf), idf(term, df, idf),
+    norms(unit, norm)). Units are hash-partitioned by id first, so the
+    (unit, term) term-frequency aggregate needs no further shuffle; ``raw`` is
+    left partitioned by term (its join key with idf), and ``norms`` is a
+    partially aggregated per-unit sum of squares."""
+    docs = units.select(F.col(unit_col).alias("unit"), F.col(text_col).alias("_t")).repartition("unit")
+    terms = explode_terms(docs, "unit", F.col("_t"), stop_words)
     tf = terms.groupBy("unit", "term").agg(F.count(F.lit(1)).alias("tf"))
     # corpus size as a scalar subquery (one value, no join needed)
     n = units.select(F.count_distinct(F.col(unit_col))).scalar()
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = df.select("term", "df", (F.ln((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
-    w = tf.join(idf, "term").select("unit", "term", (F.col("tf") * F.col("idf")).alias("raw"))
-    norm = w.groupBy("unit").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    weights = w.join(norm, "unit").select("unit", "term", (F.col("raw") / F.col("norm")).alias("weight"))
+    raw = tf.join(idf, "term").select("unit", "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    norms = raw.groupBy("unit").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
+    return raw, idf, norms
+
+
+def tfidf_index(units: DataFrame, unit_col: str, text_col: str = "text",
+                stop_words: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(weights(unit, term, weight), idf(term, df, idf)) with raw tf,
+    smooth idf = ln((1+n)/(1+df)) + 1 and L2-normalised rows."""
+    raw, idf, norms = tfidf_raw(units, unit_col, text_col, stop_words)
+    weights = raw.join(norms, "unit").select("unit", "term", (F.col("raw") / F.col("norm")).alias("weight"))
     return weights, idf
 
 
@@ -198,6 +215,16 @@ def cosine_scores(qvec: DataFrame, weights: DataFrame) -> DataFrame:
             .groupBy("q", "unit").agg(F.sum(F.col("qw") * F.col("weight")).alias("score")))
 
 
+def cosine_scores_raw(qvec: DataFrame, raw: DataFrame, norms: DataFrame) -> DataFrame:
+    """J6 without normalising the whole index: sum(qw * raw) per (q, unit)
+    over the inverted-index join (``raw`` stays partitioned by term; only the
+    question side moves), then divide by the unit norm on the few matched
+    pairs."""
+    dots = (qvec.join(raw, "term")
+            .groupBy("q", "unit").agg(F.sum(F.col("qw") * F.col("raw")).alias("_dot")))
+    return dots.join(norms, "unit").select("q", "unit", (F.col("_dot") / F.col("norm")).alias("score"))
+
+
 def top_k(scores: DataFrame, k: int = 3, min_score: float = 0.0, tie_col: str = "unit",
           score_digits: int = 12) -> DataFrame:
     """Top k per question by score desc (tie-break ``tie_col`` desc),
@@ -217,11 +244,11 @@ def retrieve(questions: DataFrame, q_col: str, q_text: str, units: DataFrame, un
              stop_words: Sequence[str] | None = None, source_filter: DataFrame | None = None) -> DataFrame:
     """J3-J7 composed; ``source_filter`` (a one-column frame of allowed unit
     ids) is applied as a left-semi join before ranking."""
-    weights, idf = tfidf_index(units, unit_col, unit_text, stop_words)
+    raw, idf, norms = tfidf_raw(units, unit_col, unit_text, stop_words)
     if source_filter is not None:
-        weights = weights.join(source_filter.toDF("unit"), "unit", "left_semi")
+        raw = raw.join(source_filter.toDF("unit"), "unit", "left_semi")
     qv = query_vectors(questions, q_col, q_text, idf, stop_words)
-    return top_k(cosine_scores(qv, weights), k, min_score)
+    return top_k(cosine_scores_raw(qv, raw, norms), k, min_score)
 
 
 def build_context(ranked: DataFrame, chunks: DataFrame, max_context_chars: int = 2500,
