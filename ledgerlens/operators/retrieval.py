@@ -116,7 +116,8 @@ def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     norm, located, fold = chunk_column(F.col(text_col), max_chars, overlap_chars)
     staged = (docs.select(F.col(id_col).alias("source"), norm.alias("_norm"))
               .withColumn("_paras", located))
-    chunks = staged.select("source", F.posexplode(fold).alias("chunk_ordinal", "c"))
+    chunks = (staged.select("source", F.posexplode_outer(fold).alias("chunk_ordinal", "c"))
+              .where(F.col("chunk_ordinal").isNotNull()))
     return chunks.select(
         "source", "chunk_ordinal",
         F.concat(F.col("source").cast("string"), F.lit(":"), F.col("chunk_ordinal").cast("string")).alias("chunk_id"),
@@ -166,7 +167,8 @@ def explode_terms(df: DataFrame, key: str, text: Column, stop_words: Sequence[st
         # Spark ML's NGram: space-joined n-grams of the surviving tokens (empty when too short)
         toks = NGram(n=n, inputCol="_toks", outputCol=f"_g{n}").transform(toks)
         grams.append(F.col(f"_g{n}"))
-    return toks.select(key, F.explode(F.concat(*grams)).alias("term"))
+    # explode_outer: a plain explode would infer size(...) > 0 and rebuild the term array in a pushed filter
+    return toks.select(key, F.explode_outer(F.concat(*grams)).alias("term")).where(F.col("term").isNotNull())
 
 
 def tfidf_raw(units: DataFrame, unit_col: str, text_col: str = "text",
