@@ -307,13 +307,15 @@ def investigation_summaries(inv: DataFrame, chunks: DataFrame, question: str = "
     from ledgerlens.operators import guardrails as GR
     from ledgerlens.operators import retrieval as R
     g = GR.guardrail_columns(F.lit(question))
-    from ledgerlens.session import ensure_checkpoint_dir
+    from ledgerlens.streaming.scoring import shared_dir
     cases = inv.withColumns({"_qtext": retrieval_query_text(question), "_ctx": case_context_text()})
-    # the distinct query texts are few (bounded by decision x priority x focus combinations); checkpointing
-    # them to the shared checkpoint folder cuts the case lineage, which the retrieval self-joins would
-    # otherwise re-evaluate several times
-    ensure_checkpoint_dir(inv.sparkSession)
-    queries = cases.select(F.col("_qtext").alias("q")).distinct().checkpoint(eager=True)
+    # the distinct query texts are few (bounded by decision x priority x focus combinations); writing
+    # them as a table in the shared checkpoint folder cuts the case lineage, which the retrieval
+    # self-joins would otherwise re-evaluate several times
+    spark = inv.sparkSession
+    qpath = shared_dir(spark, "investigation_queries")
+    cases.select(F.col("_qtext").alias("q")).distinct().write.mode("overwrite").parquet(qpath)
+    queries = spark.read.parquet(qpath)
     ranked = R.retrieve(queries, "q", "q", chunks, "chunk_id", k=k)
     sec = (ranked.join(chunks.select(F.col("chunk_id").alias("unit"), "source", F.col("text").alias("_t")), "unit")
            .groupBy("q").agg(F.sort_array(F.collect_list(F.struct(
