@@ -11,32 +11,20 @@ tables of documents and questions (SURVEY §2.J, J1-J9).
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
 from collections.abc import Sequence
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.stopwords import ENGLISH
+
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
-@functools.lru_cache(maxsize=1)
 def english_stop_words() -> list[str]:
-    """Spark ML's public default English stop-word list, read from the
-    spark-mllib jar resource (no JVM needed); falls back to the JVM call."""
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            try:
-                return z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split()
-            except KeyError:
-                continue
-    return list(StopWordsRemover.loadDefaultStopWords("english"))
+    """The public default English stop words of Spark ML (no JVM needed)."""
+    return list(ENGLISH)
 
 
 def normalize_whitespace(c: Column) -> Column:

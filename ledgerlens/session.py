@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -11,13 +13,19 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) create a scratch folder for it."""
+    """The cluster's shared ``spark.checkpoint.dir``. Only a local master (one
+    machine, as in tests) may leave it unset; it then gets a scratch folder that
+    is removed at exit. On a cluster an unset folder is an error, since executors
+    do not see each other's disks."""
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir="/tmp")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set(CHECKPOINT_CONF, path)
-    spark.sparkContext.setCheckpointDir(path)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
