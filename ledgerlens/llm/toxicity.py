@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import held_out, written
+from ledgerlens.llm.common import held_out, small, written
 
 SAMPLE = 16_000
 MAX_FEATURES = 4_096
@@ -154,17 +154,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_features
     """Fit on documents whose id is labelled and outside the held-out fold."""
     known = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")))
-    rows = docs.select("doc_id", "text").join(known, "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "label")
-    rows = rows.withColumn("h", F.xxhash64("text"))
-    # Copies count once: the first pass sees hashes only.
-    sizes = rows.groupBy("h").agg(F.max("label").alias("label")).groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()
-    sizes = {r["label"]: r["n"] for r in sizes}
+    # Ids and text hashes alone are shuffled; copies of a text count once, with their largest label.
+    plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    distinct = plain.select("doc_id", "h").join(known, "doc_id").groupBy("h").agg(F.max("label").alias("label"), F.min("doc_id").alias("doc_id"))
+    distinct = written(distinct, "toxicity-labelled")
+    sizes = {r["label"]: r["n"] for r in distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         share = float(next(iter(sizes), 0))
         return Model({}, np.zeros(0), -6.0, constant=share)
     part = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, sample / 2 / n)))])[F.col("label")]
-    picked = rows.filter(F.pmod(F.col("h"), F.lit(1 << 30)) / float(1 << 30) < part)
-    picked = written(picked.dropDuplicates(["h", "label"]).select("text", "label"), "toxicity-sample")
+    chosen = distinct.filter(F.pmod(F.col("h"), F.lit(1 << 30)) / float(1 << 30) < part)  # about ``sample`` rows at most
+    picked = plain.join(small(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]).select("text", "label")
+    picked = written(picked, "toxicity-sample")
     size = {r["label"]: r["n"] for r in picked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos_n, neg_n = max(1, size.get(1, 0)), max(1, size.get(0, 0))
     rate, base = (F.col("pos") + 0.5) / (pos_n + 1.0), (F.col("neg") + 0.5) / (neg_n + 1.0)
