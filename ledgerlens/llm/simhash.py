@@ -44,9 +44,9 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 BITS = 64
-SAMPLE = 20_000
+SAMPLE = 8_192
 BLOCK = 4096
-MAX_MASKS = 3000  # probes of one fingerprint in one partition; plans beyond are not considered
+MAX_MASKS = 600  # probes of one fingerprint in one partition; plans beyond are not considered
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -110,12 +110,14 @@ def project(fps: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return out
 
 
+def ring(width: int, t: int) -> np.ndarray:
+    """All masks with exactly ``t`` of ``width`` bits set."""
+    return np.array([sum(1 << b for b in own) for own in itertools.combinations(range(width), t)], dtype=np.uint64)
+
+
 def ball(width: int, t: int) -> np.ndarray:
     """All masks with at most ``t`` of ``width`` bits set; the empty one first."""
-    masks = [0]
-    for k in range(1, t + 1):
-        masks += [sum(1 << b for b in own) for own in itertools.combinations(range(width), k)]
-    return np.array(masks, dtype=np.uint64)
+    return np.concatenate([ring(width, k) for k in range(t + 1)])
 
 
 def allocate(costs: list[list[float]], total: int) -> tuple[float, list[int]]:
@@ -144,13 +146,13 @@ def plan_index(sample: np.ndarray, n: int, max_bits: int = MAX_BITS, probe_cost:
             own = [0.0]
             values, counts = np.unique(project(sample, bits), return_counts=True)
             counts = counts.astype(np.float64)
+            pairs, masks = 0.0, 0
             for t in range(max_bits + 1):
-                masks = sum(math.comb(len(bits), k) for k in range(t + 1))
+                masks += math.comb(len(bits), t)
                 if masks > MAX_MASKS:
                     own.append(float("inf"))
                     continue
-                pairs = 0.0
-                for m in ball(len(bits), t):
+                for m in ring(len(bits), t):
                     at = np.searchsorted(values, values ^ m)
                     hit = at < len(values)
                     hit[hit] = values[at[hit]] == (values[hit] ^ m)
