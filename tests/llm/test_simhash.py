@@ -25,6 +25,7 @@ def classes(prints, most):
 
     def find(x):
         while parent[x] != x:
+            parent[x] = parent[parent[x]]
             x = parent[x]
         return x
     for i, a in enumerate(fps):
