@@ -1,36 +1,74 @@
-"""Exact-or-approximate percentiles with a size check.
+"""Exact quantiles and running sums without a whole group in one task.
 
-Spark's exact ``percentile`` keeps a value -> count map per group and merges
-it in one task, so on a continuous column with billions of distinct values
-a single group would not fit. One cheap ``approx_count_distinct`` pass
-decides: exact when every group is below ``max_distinct`` distinct values
-(the map is then bounded), ``percentile_approx`` (bounded sketch) otherwise.
+A group is reduced to one row per distinct value, its values are cut into
+ranges by approximate quantiles, range totals give offsets, and running sums
+are windows within one range. The same path runs at every size; the
+approximate cut points only balance the ranges, results are exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_EXACT_DISTINCT = 1_000_000
-APPROX_ACCURACY = 100_000
 
+def ranked_prefix_sums(d: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str],
+                       descending: bool = True, buckets: int = 256) -> DataFrame:
+    """Inclusive running sums of ``sums`` over ``order`` within ``keys``,
+    without a window over a whole key group (see module docstring).
+    ``d`` must have one row per (keys, order) value."""
+    keys = list(keys)
+    o = F.col(order) * (-1.0 if descending else 1.0)
+    d = d.withColumn("_o", o)
+    levels = [float(x) for x in np.linspace(0.0, 1.0, buckets + 1)[1:-1]]
+    bounds = d.groupBy(*keys).agg(F.percentile_approx("_o", levels, 10000).alias("_b"))
+    d = (d.join(F.broadcast(bounds), keys)
+         .withColumn("_bucket", F.size(F.filter(F.col("_b"), lambda b: b < F.col("_o")))).drop("_b"))
+    totals = d.groupBy(*keys, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    w_tot = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "_bucket", *[F.coalesce(F.sum(f"_t_{s}").over(w_tot), F.lit(0))
+                                                .alias(f"_off_{s}") for s in sums])
+    w_in = Window.partitionBy(*keys, "_bucket").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.join(F.broadcast(offsets), keys + ["_bucket"])
+    return d.select(*[c for c in d.columns if not c.startswith("_")],
+                    *[(F.sum(s).over(w_in) + F.col(f"_off_{s}")).alias(f"cum_{s}") for s in sums])
 
-def exact_is_bounded(df: DataFrame, value: str, groups: Sequence[str] = (),
-                     max_distinct: int = MAX_EXACT_DISTINCT) -> bool:
-    """True when every group has fewer than ``max_distinct`` distinct values
-    (one aggregate; the result has one row per group, collected as a max)."""
-    g = df.groupBy(*groups) if groups else df.groupBy()
-    per = g.agg(F.approx_count_distinct(value, 0.05).alias("_d"))
-    worst = per.agg(F.max("_d").alias("m")).first()["m"]
-    return worst is None or worst < max_distinct
 
+def exact_quantiles(df: DataFrame, value: str, levels: Sequence[float], groups: Sequence[str] = (),
+                    buckets: int = 256) -> DataFrame:
+    """groups..., qs (array, linear interpolation between the two ranks around
+    each level), n, mn, mx. Null values are left out; groups without values have
+    no row."""
+    keys = list(groups) or ["_all"]
+    d = df.where(F.col(value).isNotNull())
+    if not groups:
+        d = d.withColumn("_all", F.lit(1))
+    counts = (d.groupBy(*[F.col(k).alias(f"g{i}") for i, k in enumerate(keys)], F.col(value).alias("v"))
+              .agg(F.count(F.lit(1)).alias("c")))
+    gs = [f"g{i}" for i in range(len(keys))]
+    cum = ranked_prefix_sums(counts, gs, "v", ["c"], descending=False, buckets=buckets)
+    totals = counts.groupBy(*gs).agg(F.sum("c").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+    cum = cum.join(F.broadcast(totals), gs)  # one row per group
 
-def percentile_fn(exact: bool, accuracy: int = APPROX_ACCURACY):
-    """``(column, level(s)) -> aggregate Column`` of the chosen kind."""
-    def fn(col: str | Column, levels) -> Column:
-        c = F.col(col) if isinstance(col, str) else col
-        return F.percentile(c, levels) if exact else F.percentile_approx(c, levels, accuracy)
-    return fn
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("cum_c") - F.col("c") <= rank) & (rank < F.col("cum_c")), F.col("v")))
+
+    n = F.col("n") - F.lit(1)
+    aggs = []
+    for k, q in enumerate(levels):
+        pos = n * F.lit(float(q))
+        aggs += [at(F.floor(pos)).alias(f"lo{k}"), at(F.ceil(pos)).alias(f"hi{k}")]
+    per = cum.groupBy(*gs, "n", "mn", "mx").agg(*aggs)
+
+    def level(k: int, q: float) -> Column:
+        pos = n * F.lit(float(q))
+        lo, hi = F.col(f"lo{k}"), F.col(f"hi{k}")
+        between = (F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi
+        return F.when((F.floor(pos) == F.ceil(pos)) | (lo == hi), lo).otherwise(between)
+
+    out = per.select(*[F.col(f"g{i}").alias(k) for i, k in enumerate(keys)], "n", "mn", "mx",
+                     F.array(*[level(k, q) for k, q in enumerate(levels)]).alias("qs"))
+    return out if groups else out.drop("_all")

@@ -144,7 +144,10 @@ def create_cases(records: DataFrame, as_of: str | None = None, only_flagged: boo
     used (``current_timestamp`` is fixed per query)."""
     base = normalize_case_input(records)
     if only_flagged:
-        base = base.where("_create")
+        # The condition rests on the whole scoring chain. Pushed below the projections it
+        # would be written out in full (hundreds of kB) and planned for most of a minute, to
+        # evaluate that chain twice; the row number, which is never negative, holds it here.
+        base = base.withColumn("_row", F.monotonically_increasing_id()).where(F.col("_create") & (F.col("_row") >= 0)).drop("_row")
     now = (F.lit(as_of) if as_of is not None
            else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX"))
     c = F.col
@@ -184,8 +187,10 @@ def case_table(cases: DataFrame) -> DataFrame:
 
 def evidence_items(cases: DataFrame) -> DataFrame:
     """F3 flat form: one row per evidence item with its position."""
-    return cases.select("case_id", "transaction_id", F.posexplode("evidence").alias("pos", "e")) \
-        .select("case_id", "transaction_id", "pos", "e.*")
+    # The outer form keeps the optimizer from filtering on the array's size, which would
+    # compute the whole scoring chain a second time below.
+    return (cases.select("case_id", "transaction_id", F.posexplode_outer("evidence").alias("pos", "e"))
+            .where(F.col("pos").isNotNull()).select("case_id", "transaction_id", "pos", "e.*"))
 
 
 def latest_status(cases: DataFrame, status_events: DataFrame) -> DataFrame:

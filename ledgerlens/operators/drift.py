@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.quantiles import APPROX_ACCURACY, exact_is_bounded, percentile_fn
+from ledgerlens.functions.quantiles import exact_quantiles
 
 REFERENCE, CURRENT = "reference", "current"
 ALERT_CODE = {"OK": 0, "WARN": 1, "ALERT": 2}
@@ -67,17 +67,11 @@ def categorical_long(tagged: DataFrame, features: Sequence[str]) -> DataFrame:
     return tagged.select("side", F.inline(pairs)).where(F.col("category").isNotNull())
 
 
-def bin_edges(long: DataFrame, n_bins: int = 10, accuracy: int | None | str = "auto") -> DataFrame:
+def bin_edges(long: DataFrame, n_bins: int = 10) -> DataFrame:
     """Per feature, linear-interpolated quantile edges of the reference
     side, de-duplicated; fewer than 3 distinct edges -> equal-width bins over
-    [min, max] (±0.5 when constant); outer edges ±inf. ``accuracy`` switches
-    to ``percentile_approx`` for very high-cardinality features (exact by
-    default; exact ``percentile`` keeps a value->count map per group)."""
-    levels = F.array(*[F.lit(q) for q in quantile_levels(n_bins)])
-    ref = long.where(F.col("side") == REFERENCE)
-    pct = _percentile_for(ref, ["feature"], accuracy)
-    q = ref.groupBy("feature").agg(pct("value", levels).alias("qs"), F.min("value").alias("mn"),
-                                   F.max("value").alias("mx"))
+    [min, max] (±0.5 when constant); outer edges ±inf."""
+    q = exact_quantiles(long.where(F.col("side") == REFERENCE), "value", quantile_levels(n_bins), ["feature"])
     uniq = F.array_distinct(F.col("qs"))
     lo = F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn"))
     hi = F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx"))
@@ -96,36 +90,21 @@ def bin_index(value: Column, inner_edges: Column, n_bins: int) -> Column:
     return sum(terms[1:], terms[0]) if terms else F.lit(0)
 
 
-def _percentile_for(long: DataFrame, groups, accuracy):
-    """accuracy: None = exact, int = approximate, "auto" = exact only when
-    every group's distinct-value count is bounded (checked by one aggregate),
-    or an already-made decision (a percentile function)."""
-    if callable(accuracy):
-        return accuracy
-    if accuracy == "auto":
-        return percentile_fn(exact_is_bounded(long, "value", groups))
-    return percentile_fn(accuracy is None, accuracy or APPROX_ACCURACY)
-
-
 def numeric_drift(reference: DataFrame, current: DataFrame, features: Sequence[str], n_bins: int = 10,
-                  warn: float = 0.10, alert: float = 0.25, epsilon: float = 1e-6,
-                  accuracy: int | None | str = "auto") -> DataFrame:
+                  warn: float = 0.10, alert: float = 0.25, epsilon: float = 1e-6) -> DataFrame:
     """One row per feature present in both frames."""
     feats = [f for f in features if f in reference.columns and f in current.columns]
     long = numeric_long(tag_sides(reference, current, feats), feats)
-    return numeric_drift_long(long, n_bins, warn, alert, epsilon, accuracy)
+    return numeric_drift_long(long, n_bins, warn, alert, epsilon)
 
 
 def numeric_drift_long(long: DataFrame, n_bins: int = 10, warn: float = 0.10, alert: float = 0.25,
-                       epsilon: float = 1e-6, accuracy: int | None | str = "auto") -> DataFrame:
-    # one size check over (feature, side) groups decides for the edges (the
-    # reference groups) and the medians alike
-    pct = _percentile_for(long, ["feature", "side"], accuracy)
-    edges = bin_edges(long, n_bins, pct)
-    median = pct("value", 0.5)
+                       epsilon: float = 1e-6) -> DataFrame:
+    edges = bin_edges(long, n_bins)
+    medians = exact_quantiles(long, "value", [0.5], ["feature", "side"]).select("feature", "side", F.col("qs")[0].alias("median"))
     stats = long.groupBy("feature", "side").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std"), median.alias("median"))
+        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+    stats = stats.join(medians, ["feature", "side"])
     counts = (long.join(F.broadcast(edges), "feature")
               .select("feature", "side", bin_index(F.col("value"), F.col("inner_edges"), n_bins).alias("bin"))
               .groupBy("feature", "side", "bin").agg(F.count(F.lit(1)).alias("c")))

@@ -150,7 +150,7 @@ def investigation_rollup(inv: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.count_if(F.col("priority") == "HIGH").alias("high_priority_cases"),
         F.count_if(F.col("decision") == "REVIEW").alias("review_cases"),
         F.count_if(F.col("decision") == "BLOCK").alias("blocked_cases"))
-    focus = (inv.select(F.explode("investigation_focus").alias("focus"))
+    focus = (inv.select(F.explode_outer("investigation_focus").alias("focus")).where(F.col("focus").isNotNull())
              .groupBy("focus").agg(F.count(F.lit(1)).alias("n")).orderBy("focus"))
     return totals, focus
 

@@ -38,15 +38,13 @@ FINAL_TRACE_COLUMNS = [
 ]
 
 
-def merge_benchmark_scores(scored: DataFrame, bench: DataFrame, bench_unique: bool = True,
-                           broadcast_max_rows: int | None = None) -> DataFrame:
+def merge_benchmark_scores(scored: DataFrame, bench: DataFrame, bench_unique: bool = True) -> DataFrame:
     """Left equi-join on transaction_id, scores null -> 0 then truncated
     to int, reconstruction error null -> 0.
 
     ``bench_unique=False`` de-duplicates the right side first (one arbitrary
     but deterministic row per id: the max score tuple) so the join never fans
-    out. The join strategy is Catalyst/AQE's choice; a broadcast hint is only
-    added when the caller proves the right side's row bound.
+    out. The join strategy is Catalyst/AQE's choice.
     """
     require_columns(scored, REQUIRED_COLUMNS)
     right = project_declared(bench, BENCHMARK_COLUMNS)
@@ -54,8 +52,6 @@ def merge_benchmark_scores(scored: DataFrame, bench: DataFrame, bench_unique: bo
         right = (right.groupBy("transaction_id")
                  .agg(F.max(F.struct(*BENCHMARK_COLUMNS[1:])).alias("_s"))
                  .select("transaction_id", "_s.*"))
-    if broadcast_max_rows is not None:
-        right = F.broadcast(right)
     overlap = [c for c in BENCHMARK_COLUMNS[1:] if c in scored.columns]
     merged = scored.drop(*overlap).join(right, "transaction_id", "left")
     fills = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)).cast("int") for c in SCORE_COLUMNS}

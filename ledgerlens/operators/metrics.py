@@ -20,6 +20,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.quantiles import ranked_prefix_sums
+
 P_LO, P_HI = 1e-9, 1.0 - 1e-9
 
 
@@ -59,28 +61,6 @@ def brier_logloss(long: DataFrame, model: str = "model") -> DataFrame:
         (-F.avg(y * F.ln(p) + (F.lit(1.0) - y) * F.ln(F.lit(1.0) - p))).alias("log_loss"))
 
 
-def ranked_prefix_sums(d: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str],
-                       descending: bool = True, buckets: int = 256) -> DataFrame:
-    """Inclusive running sums of ``sums`` over ``order`` within ``keys``,
-    without a window over a whole key group (see module docstring).
-    ``d`` must have one row per (keys, order) value."""
-    keys = list(keys)
-    o = F.col(order) * (-1.0 if descending else 1.0)
-    d = d.withColumn("_o", o)
-    levels = [float(x) for x in np.linspace(0.0, 1.0, buckets + 1)[1:-1]]
-    bounds = d.groupBy(*keys).agg(F.percentile_approx("_o", levels, 10000).alias("_b"))
-    d = (d.join(F.broadcast(bounds), keys)
-         .withColumn("_bucket", F.size(F.filter(F.col("_b"), lambda b: b < F.col("_o")))).drop("_b"))
-    totals = d.groupBy(*keys, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    w_tot = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_bucket", *[F.coalesce(F.sum(f"_t_{s}").over(w_tot), F.lit(0))
-                                                .alias(f"_off_{s}") for s in sums])
-    w_in = Window.partitionBy(*keys, "_bucket").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
-    d = d.join(F.broadcast(offsets), keys + ["_bucket"])
-    return d.select(*[c for c in d.columns if not c.startswith("_")],
-                    *[(F.sum(s).over(w_in) + F.col(f"_off_{s}")).alias(f"cum_{s}") for s in sums])
-
-
 def ranking_metrics(long: DataFrame, model: str = "model", buckets: int = 256) -> DataFrame:
     """H5, H6: exact ROC-AUC (ties count 1/2) and step-wise average precision
     per model; null when a model has a single class."""

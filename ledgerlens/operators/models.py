@@ -77,8 +77,10 @@ def slug(name: str) -> str:
     return name.lower().replace(" ", "_").replace("-", "_").replace("/", "_")
 
 
-def supervised_estimators(seed: int = 42) -> dict:
-    """I3-I6 with the reference hyper-parameters mapped to Spark ML."""
+def supervised_estimators(seed: int = 42, weight_sum: float | None = None) -> dict:
+    """I3-I6 with the reference hyper-parameters mapped to Spark ML. ``weight_sum`` (the
+    training weights' sum) turns the default L2 strength C = 1 into Spark's regParam,
+    which applies to the mean loss."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                            RandomForestClassifier)
@@ -86,7 +88,7 @@ def supervised_estimators(seed: int = 42) -> dict:
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
     return {
         "Logistic Regression": Pipeline(stages=[scaler, LogisticRegression(
-            featuresCol="scaled", labelCol=TARGET_COLUMN, weightCol="weight", maxIter=2000, regParam=0.0)]),
+            featuresCol="scaled", labelCol=TARGET_COLUMN, weightCol="weight", maxIter=2000, regParam=1.0 / weight_sum if weight_sum else 0.0)]),
         "Random Forest": RandomForestClassifier(
             featuresCol="features", labelCol=TARGET_COLUMN, weightCol="weight", numTrees=250, maxDepth=12,
             minInstancesPerNode=4, featureSubsetStrategy="sqrt", seed=seed,
@@ -105,7 +107,10 @@ def fit_and_score(train: DataFrame, score_on: DataFrame, name: str, seed: int =
     """Fit one supervised model on ``train`` (needs features + weight) and
     return (model, scored frame with ``<slug>_probability`` / ``<slug>_score``)."""
     from pyspark.ml.functions import vector_to_array
-    est = supervised_estimators(seed)[name]
+    weight_sum = None
+    if name == "Logistic Regression":
+        weight_sum = train.agg(F.sum("weight")).first()[0]
+    est = supervised_estimators(seed, weight_sum)[name]
     model = est.fit(train)
     s = slug(name)
     scored = model.transform(score_on)
@@ -200,42 +205,36 @@ def _grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int):
     return feat, thr, left, right, size
 
 
+FOREST_POOL = 16  # rows drawn for all trees together, as a multiple of the sample size
+
+
 def isolation_forest_fit(normal: DataFrame, id_col: str, vec_col: str, n_trees: int = 250,
                          sample_size: int = 256, seed: int = 42) -> tuple[dict, int]:
-    """Grow ``n_trees`` trees on hash-drawn samples of ~``sample_size`` rows.
+    """Grow ``n_trees`` trees on exactly ``psi = min(sample_size, n)`` distinct rows each.
 
-    One count, then each row is kept with probability n_trees*psi/n (rows are
-    replicated when the table is smaller than that) and assigned to a tree by a
-    second hash; groups are capped by construction at the per-tree sample."""
+    One uniform pool of ``FOREST_POOL * sample_size`` rows (smallest hashes of the id,
+    a per-partition top-k) is the only data that leaves the table; every tree draws
+    its rows from it without replacement, in parallel tasks. The pool's size does not
+    depend on the table's."""
     from pyspark.ml.functions import vector_to_array
-    n = normal.count()
-    if n == 0:
+    pool = (normal.select(vector_to_array(vec_col).alias("_x"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("_h"), F.col(id_col).alias("_id"))
+            .orderBy("_h", "_id").limit(FOREST_POOL * sample_size).toPandas())
+    if len(pool) == 0:
         raise ValueError("isolation forest needs at least one normal row")
-    psi = min(sample_size, n)
-    reps = max(1, math.ceil(n_trees * psi / n))
-    keep = min(1.0, n_trees * psi / (n * reps))
-    x = normal.select(F.col(id_col).alias("_id"), vector_to_array(vec_col).alias("_x"))
-    if reps > 1:
-        x = x.withColumn("_rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
-    else:
-        x = x.withColumn("_rep", F.lit(0))
-    u = (F.pmod(F.xxhash64("_id", "_rep", F.lit(seed)), F.lit(1_000_000)) / 1_000_000.0)
-    x = (x.where(u < keep)
-         .withColumn("tree", F.pmod(F.xxhash64("_id", "_rep", F.lit(seed + 1)), F.lit(n_trees)).cast("int"))
-         .dropDuplicates(["tree", "_id"]))
+    psi = min(sample_size, len(pool))
+    data = np.vstack(pool["_x"].to_numpy()).astype(float)
     depth = int(math.ceil(math.log2(max(psi, 2))))
     schema = "tree int, node int, feature int, threshold double, left int, right int, size int"
 
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_id").head(psi)  # rows ordered by id: partition-independent
-        tree = int(pdf["tree"].iloc[0])
-        data = np.vstack(pdf["_x"].to_numpy()).astype(float)
-        rng = np.random.default_rng([seed, tree])
-        f, t, l_, r_, s = _grow_tree(data, rng, depth)
-        return pd.DataFrame({"tree": tree, "node": np.arange(len(f)), "feature": f, "threshold": t,
-                             "left": l_, "right": r_, "size": s})
+    def grow(batches):
+        for pdf in batches:
+            for tree in pdf["id"].tolist():
+                rng = np.random.default_rng([seed, tree])
+                f, t, l_, r_, s = _grow_tree(data[rng.choice(len(data), psi, replace=False)], rng, depth)
+                yield pd.DataFrame({"tree": tree, "node": np.arange(len(f)), "feature": f, "threshold": t,
+                                    "left": l_, "right": r_, "size": s})
 
-    nodes = x.groupBy("tree").applyInPandas(grow, schema).toPandas()  # <= n_trees * (2*psi-1) rows
+    nodes = normal.sparkSession.range(n_trees).mapInPandas(grow, schema).toPandas()  # <= n_trees * (2*psi-1) rows
     forest = {t: g.sort_values("node") for t, g in nodes.groupby("tree")}
     return forest, psi
 

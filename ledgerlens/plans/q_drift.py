@@ -105,8 +105,10 @@ LI_CTE = _drift_sql("li0 AS (SELECT * FROM lineitem)", "l_shipdate", LI_NUMERIC,
 
 
 def _tagged(spark, sf, features):
-    """Both sides from one pass over the decision flow (date split as a tag)."""
-    final = D.final_decisions(spark, sf)
+    """Both sides from one pass (date split as a tag): over the transactions, or over
+    the decision flow when a feature is made by it."""
+    plain = D.transactions(spark, sf)
+    final = plain if set(features) <= set(plain.columns) else D.final_decisions(spark, sf)
     cut = F.lit(DRIFT_CUT).cast("timestamp_ntz")
     return G.tag_by_condition(final, F.col("timestamp") < cut, features)
 

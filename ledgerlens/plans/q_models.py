@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.quantiles import exact_is_bounded, percentile_fn
+from ledgerlens.functions.quantiles import exact_quantiles
 from ledgerlens.operators import models as M
 from ledgerlens.plans import decisions as D
 from ledgerlens.plans.registry import register
@@ -77,8 +77,7 @@ def q_quantile_threshold(spark, sf):
     """95th percentile (linear) of the normal rows' score; rows >= flagged."""
     r = D.rule_scored(spark, sf)
     normal = r.where("is_fraud = 0")
-    pct = percentile_fn(exact_is_bounded(normal, "amount_to_avg_ratio"))
-    t = normal.select(pct("amount_to_avg_ratio", 0.95)).scalar()
+    t = exact_quantiles(normal, "amount_to_avg_ratio", [0.95]).select(F.col("qs")[0]).scalar()
     return (r.agg(F.count_if(F.col("amount_to_avg_ratio") >= t).alias("n_flagged"))
             .select(F.bround(t, 9).alias("threshold"), "n_flagged"))
 
@@ -95,11 +94,10 @@ def q_pca_anomaly(spark, sf):
     e = _embeddings(spark, sf)
     normal = e.where("label = 0")
     scored = M.pca_autoencoder(normal, e, "features", k=6)
-    tr = M.pca_autoencoder(normal, normal, "features", k=6)
+    tr = scored.where("label = 0")
     lo = tr.select(F.min("reconstruction_error")).scalar()
     hi = tr.select(F.max("reconstruction_error")).scalar()
-    pct = percentile_fn(exact_is_bounded(tr, "reconstruction_error"))
-    th = tr.select(pct("reconstruction_error", 0.95)).scalar()
+    th = exact_quantiles(tr, "reconstruction_error", [0.95]).select(F.col("qs")[0]).scalar()
     return scored.select("vec_id", "label", "reconstruction_error",
                          F.bround(M.minmax_normalize(F.col("reconstruction_error"), lo, hi) * 100, 0)
                          .cast("int").alias("autoencoder_anomaly_score"),

@@ -17,6 +17,7 @@ from ledgerlens.operators import retrieval as R
 from ledgerlens.plans import q_drift as QD
 from ledgerlens.plans import q_metrics as QM
 from ledgerlens.plans import q_text as QT
+from ledgerlens.plans.q_streaming import _stream
 from ledgerlens.plans.registry import register
 from ledgerlens.sources.fixtures import case_events_orders
 from ledgerlens.sources.tables import read_table, table_path
@@ -60,16 +61,13 @@ def q_copilot_cards(spark, sf):
 @register("stream_case_status")
 def q_stream_case_status(spark, sf):
     """Latest case status from a stream of status events derived from orders."""
-    schema = read_table(spark, sf, "orders").schema
-    orders = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", "orders.parquet").parquet(os.path.dirname(table_path(sf, "orders"))))
+    orders = _stream(spark, sf, "orders")
     ev = case_events_orders(orders).select(
         CS.case_id_column(F.col("transaction_id")).alias("case_id"), "status",
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("updated_at"))
     base = S.shared_dir(spark, "stream_case_status")
     path = os.path.join(base, "out")
-    S.run_state_table(S.latest_status_stream(ev), path, os.path.join(base, "ckpt"))
-    return spark.read.parquet(path)
+    return S.run_state_table(S.latest_status_stream(ev), path, os.path.join(base, "ckpt"), "case_id")
 
 
 @register("investigation_reports")

@@ -16,17 +16,17 @@ from ledgerlens.streaming import scoring as S
 
 
 def _stream(spark, sf, name):
-    schema = read_table(spark, sf, name).schema
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-            .option("pathGlobFilter", f"{name}.parquet")
-            .parquet(os.path.dirname(table_path(sf, name))))
+    """A file stream of a table, be it one file or a folder of part files (a file must be
+    named by a pattern: the source takes a plain path for a folder)."""
+    path = table_path(sf, name)
+    return spark.readStream.schema(read_table(spark, sf, name).schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def _drain(spark, stream, name, mode="append"):
     base = S.shared_dir(spark, name)
     sink, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
     S.run_available_now(stream, sink, ckpt, mode)
-    return spark.read.parquet(sink)
+    return spark.read.schema(stream.schema).parquet(sink), ckpt
 
 
 @register("stream_scoring")
@@ -34,14 +34,17 @@ def q_stream_scoring(spark, sf):
     """Rule engine + cost engine on a stream of orders-derived rows."""
     orders = _stream(spark, sf, "orders")
     tx = S.scoring_stream(orders.select(*[F.expr(e).alias(n) for n, e in TXN_COLUMNS]))
-    out = _drain(spark, tx.select("transaction_id", "rule_risk_score", "rule_action", "reason_codes"), "stream_rules")
+    out = _drain(spark, tx.select("transaction_id", "rule_risk_score", "rule_action", "reason_codes"), "stream_rules")[0]
     req = S.request_scoring_stream(orders.select(*[F.expr(e).alias(n) for n, e in REQUEST_COLUMNS]))
-    cost = _drain(spark, req.select("transaction_id", "decision", "adjusted_risk_score"), "stream_cost")
+    cost = _drain(spark, req.select("transaction_id", "decision", "adjusted_risk_score"), "stream_cost")[0]
     return out.join(cost, "transaction_id")
 
 
-@register("stream_velocity")
+@register("stream_velocity", """SELECT w AS window_start, w + INTERVAL 2 MINUTE AS window_end, user_id, count(*) AS n
+FROM (SELECT user_id, unnest([date_trunc('minute', ts), date_trunc('minute', ts) - INTERVAL 1 MINUTE]) AS w FROM events) GROUP BY ALL""")
 def q_stream_velocity(spark, sf):
-    """Watermarked sliding-window counts per user over the events stream."""
-    ev = _stream(spark, sf, "events")
-    return _drain(spark, S.velocity_stream(ev), "stream_velocity")
+    """Watermarked sliding-window counts per user over the events stream: the windows
+    that the watermark closed, and those still open when the stream was drained."""
+    closed, ckpt = _drain(spark, S.velocity_stream(_stream(spark, sf, "events")), "stream_velocity")
+    every = closed.unionByName(S.open_windows(spark, ckpt, "user_id"))
+    return every.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})

@@ -16,22 +16,10 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, min_partitions: int | None = None) -> DataFrame:
-    """A1: Parquet scan. Column pruning and filter pushdown happen in Catalyst
-    (both pass through the optional round-robin repartition), so callers
-    simply ``select``/``filter`` what they need."""
-    return ensure_parallel(spark.read.parquet(table_path(sf_dir, name)), min_partitions)
-
-
-def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer input splits than the cluster's
-    parallelism (e.g. one large Parquet row group) over ``min_partitions``
-    tasks with a round-robin repartition. A no-op for big inputs, whose files
-    already give many more splits than cores."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A1: Parquet scan. Column pruning and filter pushdown happen in Catalyst;
+    split sizes are the session's (``spark.sql.files.maxPartitionBytes``)."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def read_transactions(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -107,12 +95,14 @@ TEXT_SUFFIX_GLOB = "*.{md,MD,Md,mD,txt,TXT,Txt,tXt,txT,TXt,TxT,tXT}"
 def read_text_corpus(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Recursive .md/.txt discovery, one row per file, utf-8 decoded with
     undecodable bytes dropped (binaryFile + decode keeps bad bytes from failing
-    the scan). Output: (source_path, text), de-duplicated and sorted by path."""
+    the scan). Output: (source_path, text), one row per path: roots that repeat or
+    lie within another root are dropped before the scan, so no content is shuffled."""
+    roots = sorted({p.rstrip("/") for p in paths})
+    roots = [p for p in roots if not any(p.startswith(q + "/") for q in roots)]
     df = (spark.read.format("binaryFile")
           .option("recursiveFileLookup", True)
           .option("pathGlobFilter", TEXT_SUFFIX_GLOB)
-          .load(list(paths)))
+          .load(roots))
     # errors="ignore": repair to U+FFFD, then drop the replacement characters.
     text = F.regexp_replace(F.make_valid_utf8(F.col("content").cast("string")), "\uFFFD", "")
-    return (df.select(F.col("path").alias("source_path"), text.alias("text"))
-            .dropDuplicates(["source_path"]))
+    return df.select(F.col("path").alias("source_path"), text.alias("text"))

@@ -14,6 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.operators.cost import score_requests
 from ledgerlens.operators.rules import apply_rules
@@ -66,15 +67,30 @@ def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str, output
         raise q.exception()
 
 
-def run_state_table(stream: DataFrame, table_path: str, checkpoint: str) -> None:
-    """Drain a stateful aggregation (complete output) into a table: each
-    micro-batch's full result replaces the table, written by the executors
-    (``foreachBatch``; nothing goes through the driver)."""
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(table_path)
+def run_state_table(stream: DataFrame, table_path: str, checkpoint: str, key: str) -> DataFrame:
+    """Drain a keyed stateful aggregation into a table of changes: every micro-batch
+    writes the keys it changed into a folder of its own (written again, not twice, if
+    the batch is retried), and the returned table is each key's latest change. No
+    batch rewrites what earlier ones wrote."""
+    spark = stream.sparkSession
 
-    q = (stream.writeStream.outputMode("complete").foreachBatch(write)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(os.path.join(table_path, f"batch={batch_id}"))
+
+    q = (stream.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+    rest = [c for c in stream.columns if c != key]
+    changes = spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).parquet(table_path)
+    return (changes.groupBy(key).agg(F.max_by(F.struct(*rest), F.col("batch")).alias("_e"))
+            .select(*[F.col(c) if c == key else F.col(f"_e.{c}").alias(c) for c in stream.columns]))
+
+
+def open_windows(spark: SparkSession, checkpoint: str, key: str) -> DataFrame:
+    """The windows that a drained ``velocity_stream`` still holds in its state (those the
+    watermark has not closed), read with Spark's state data source."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(F.col("key.window.start").alias("window_start"), F.col("key.window.end").alias("window_end"),
+                        F.col("key")[key].alias(key), F.col("value.count").alias("n"))
