@@ -38,7 +38,7 @@ def ranked_prefix_sums(d: DataFrame, keys: Sequence[str], order: str, sums: Sequ
 
 
 def exact_quantiles(df: DataFrame, value: str, levels: Sequence[float], groups: Sequence[str] = (),
-                    buckets: int = 256) -> DataFrame:
+                    buckets: int = 64) -> DataFrame:
     """groups..., qs (array, linear interpolation between the two ranks around
     each level), n, mn, mx. Null values are left out; groups without values have
     no row."""

@@ -71,7 +71,11 @@ def bin_edges(long: DataFrame, n_bins: int = 10) -> DataFrame:
     """Per feature, linear-interpolated quantile edges of the reference
     side, de-duplicated; fewer than 3 distinct edges -> equal-width bins over
     [min, max] (±0.5 when constant); outer edges ±inf."""
-    q = exact_quantiles(long.where(F.col("side") == REFERENCE), "value", quantile_levels(n_bins), ["feature"])
+    return _edges(exact_quantiles(long.where(F.col("side") == REFERENCE), "value", quantile_levels(n_bins), ["feature"]), n_bins)
+
+
+def _edges(q: DataFrame, n_bins: int) -> DataFrame:
+    """Quantile rows (feature, qs, mn, mx) -> feature, inner_edges."""
     uniq = F.array_distinct(F.col("qs"))
     lo = F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn"))
     hi = F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx"))
@@ -100,8 +104,10 @@ def numeric_drift(reference: DataFrame, current: DataFrame, features: Sequence[s
 
 def numeric_drift_long(long: DataFrame, n_bins: int = 10, warn: float = 0.10, alert: float = 0.25,
                        epsilon: float = 1e-6) -> DataFrame:
-    edges = bin_edges(long, n_bins)
-    medians = exact_quantiles(long, "value", [0.5], ["feature", "side"]).select("feature", "side", F.col("qs")[0].alias("median"))
+    # One value count serves the reference side's edges and both sides' medians.
+    q = exact_quantiles(long, "value", [*quantile_levels(n_bins), 0.5], ["feature", "side"])
+    edges = _edges(q.where(F.col("side") == REFERENCE).withColumn("qs", F.slice("qs", 1, n_bins + 1)), n_bins)
+    medians = q.select("feature", "side", F.col("qs")[n_bins + 1].alias("median"))
     stats = long.groupBy("feature", "side").agg(
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
     stats = stats.join(medians, ["feature", "side"])

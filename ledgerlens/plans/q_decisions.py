@@ -264,7 +264,9 @@ HIGH_RISK_COLS = ["transaction_id", "account_id", "timestamp", "risk_type", "amo
 WHERE final_action IN ('BLOCK', 'LOCK')
 ORDER BY final_risk_score DESC, ml_fraud_score DESC, transaction_id LIMIT 100"""))
 def q_high_risk_top100(spark, sf):
-    return K.high_risk_review(_dash(spark, sf), 100).select(*HIGH_RISK_COLS)
+    # The order does not need the audit columns: take the top rows first, look up only those.
+    top = K.high_risk_review(D.final_decisions(spark, sf), 100)
+    return K.high_risk_review(K.audit_lookup_join(top, A.audit_view(A.audit_records(top))), 100).select(*HIGH_RISK_COLS)
 
 
 _FILTER_SQL = "risk_type = '2-HIGH' AND final_action = 'BLOCK' AND final_risk_score >= 50"
