@@ -193,6 +193,17 @@ def evidence_items(cases: DataFrame) -> DataFrame:
             .where(F.col("pos").isNotNull()).select("case_id", "transaction_id", "pos", "e.*"))
 
 
+def case_records(cases: DataFrame) -> DataFrame:
+    """The case as a transaction record: its scores under the record's names and a
+    ``flags`` map that is true for every (non-empty) source of its evidence. The flags stay
+    in a map, as a source may be called like a score (``model_confidence``)."""
+    sources = F.array_distinct(F.filter("evidence.source", lambda s: s.isNotNull() & (s != "")))
+    return cases.select(
+        "transaction_id", "user_id", F.col("decision").alias("final_decision"), "risk_score", "fraud_probability",
+        "model_confidence", "anomaly_flag",
+        F.map_from_arrays(sources, F.transform(sources, lambda _: F.lit(True))).alias("flags"))
+
+
 def latest_status(cases: DataFrame, status_events: DataFrame) -> DataFrame:
     """apply status-update events (case_id, status, updated_at[, analyst_note]):
     the latest event per case wins (``max_by``, partial aggregation before

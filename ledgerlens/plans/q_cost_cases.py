@@ -181,6 +181,15 @@ def q_case_evidence(spark, sf):
     return CS.evidence_items(_cases(spark, sf))
 
 
+@register("case_records", with_(EVIDENCE_CTE, """SELECT c.transaction_id, c.decision AS final_decision, coalesce(s.sources, '') AS sources
+FROM cases c LEFT JOIN (SELECT transaction_id, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM ev GROUP BY transaction_id) s
+ON c.transaction_id = s.transaction_id"""))
+def q_case_records(spark, sf):
+    """Cases as records; the flags' names as one sorted text."""
+    r = CS.case_records(_cases(spark, sf))
+    return r.select("transaction_id", "final_decision", F.array_join(F.array_sort(F.map_keys("flags")), ",").alias("sources"))
+
+
 @register("case_priority", with_(CASE_CTE, "SELECT transaction_id, priority FROM cases"))
 def q_case_priority(spark, sf):
     return _cases(spark, sf).select("transaction_id", "priority")
