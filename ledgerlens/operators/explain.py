@@ -1,5 +1,5 @@
-"""Transaction explanations, case investigations and copilot routing as
-projections over record / case tables (SURVEY §2.J, J13-J29)."""
+"""Evidence, focus, actions and rollups of records and cases as projections over
+record / case tables (SURVEY §2.J, J13, J14, J19, J22, J24, J28)."""
 
 from __future__ import annotations
 
@@ -43,14 +43,15 @@ def triggered_rules_column(df: DataFrame) -> Column:
     return ordered_nonnull([F.when(truthy_text(df, n), F.lit(n)) for n in RULE_DESCRIPTIONS])
 
 
-def evidence_summary(records: DataFrame) -> DataFrame:
+def evidence_summary(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Normalised evidence fields and ordered evidence sentences. The
     risk alias order here is adjusted -> risk -> final (falls back to the
-    clipped probability)."""
+    clipped probability). ``keep`` names record columns to carry."""
     df = records
     prob = prob_from(df, ["fraud_probability", "ml_fraud_probability", "fraud_score"], 0.0)
     rname = first_present(df, ["adjusted_risk_score", "risk_score", "final_risk_score"])
     base = df.select(
+        *keep,
         safe_str(df, ["transaction_id", "txn_id", "id"], "UNKNOWN_TRANSACTION").alias("transaction_id"),
         safe_str(df, ["user_id", "customer_id", "account_id"], "UNKNOWN_USER").alias("user_id"),
         F.upper(safe_str(df, ["final_decision", "decision", "final_action"], "REVIEW")).alias("final_decision"),
@@ -61,6 +62,7 @@ def evidence_summary(records: DataFrame) -> DataFrame:
         triggered_rules_column(df).alias("triggered_rules"))
     base = base.withColumn("risk_score", F.col("_risk") if rname else F.col("fraud_probability")).drop("_risk")
     p, r, c = F.col("fraud_probability"), F.col("risk_score"), F.col("model_confidence")
+    # The evidence sentences.
     desc = F.create_map(*[x for k, v in RULE_DESCRIPTIONS.items() for x in (F.lit(k), F.lit(v))])
     points = F.concat(
         F.array(
@@ -79,19 +81,6 @@ def evidence_summary(records: DataFrame) -> DataFrame:
     return base.withColumn("evidence_points", points)
 
 
-def analyst_note(evidence_points: Column, action: Column) -> Column:
-    """First four evidence points plus the recommended action."""
-    return F.concat(F.lit("Analyst note: "), F.array_join(F.slice(evidence_points, 1, 4), " "),
-                    F.lit(" Recommended action: "), action)
-
-
-def ordered_sources(ranked: DataFrame) -> DataFrame:
-    """Per question, distinct retrieved sources in rank order."""
-    return ranked.groupBy("q").agg(F.array_distinct(F.transform(
-        F.sort_array(F.collect_list(F.struct("rank", F.col("source").cast("string").alias("source")))),
-        lambda s: s["source"])).alias("retrieved_sources"))
-
-
 def investigation_focus(cases: DataFrame) -> Column:
     """Sorted distinct focus tags (default standard_audit_review)."""
     c = F.col
@@ -155,21 +144,6 @@ def investigation_rollup(inv: DataFrame) -> tuple[DataFrame, DataFrame]:
     return totals, focus
 
 
-def route_requests(requests: DataFrame) -> DataFrame:
-    """Response type per request: guardrail refusal first, then case
-    record > transaction record > policy question (presence of a case id /
-    transaction id decides)."""
-    c = F.col
-    has_case = c("case_id").isNotNull() if "case_id" in requests.columns else F.lit(False)
-    has_txn = c("transaction_id").isNotNull() if "transaction_id" in requests.columns else F.lit(False)
-    return requests.withColumn(
-        "response_type",
-        F.when(~c("allowed"), "GUARDRAIL_REFUSAL")
-        .when(has_case, "CASE_INVESTIGATION")
-        .when(has_txn, "TRANSACTION_EXPLANATION")
-        .otherwise("POLICY_ANSWER"))
-
-
 def normalize_record(df: DataFrame) -> DataFrame:
     """Alias + type normalisation of any scored row to the request shape."""
     def fl(names, default):
@@ -184,166 +158,3 @@ def normalize_record(df: DataFrame) -> DataFrame:
         fl(["model_confidence", "ml_confidence", "confidence_score"], 1.0).alias("model_confidence"),
         truthy_text(df, first_present(df, ["anomaly_flag", "is_anomaly", "anomaly_detected"])).alias("anomaly_flag"),
         *[truthy_text(df, n).alias(n) for n in RULE_FLAG_NAMES])
-
-
-def explanation_markdown(summary: DataFrame, context: Column, sources: Column) -> Column:
-    """Markdown explanation by decision (evidence + policy context)."""
-    c = F.col
-    headline = (F.when(c("final_decision") == "BLOCK", "The transaction was blocked because the combined evidence "
-                       "reached block-level risk.")
-                .when(c("final_decision") == "REVIEW", "The transaction was routed to review because the evidence "
-                      "warrants analyst verification.")
-                .otherwise("The transaction was allowed because the evidence stayed below review thresholds."))
-    return F.concat_ws(
-        "\n",
-        F.concat(F.lit("# Transaction Explanation: "), c("transaction_id")), F.lit(""),
-        F.concat(F.lit("- Decision: `"), c("final_decision"), F.lit("`")),
-        F.concat(F.lit("- User ID: `"), c("user_id"), F.lit("`")), F.lit(""),
-        F.lit("## Summary"), F.lit(""), headline, F.lit(""),
-        F.lit("## Evidence"), F.lit(""),
-        F.array_join(F.transform(c("evidence_points"), lambda e: F.concat(F.lit("- "), e)), "\n"), F.lit(""),
-        F.lit("## Policy Context"), F.lit(""),
-        F.coalesce(context, F.lit("No retrieved policy context was available.")), F.lit(""),
-        F.lit("## Sources"), F.lit(""),
-        F.coalesce(F.array_join(F.transform(sources, lambda s: F.concat(F.lit("- "), s)), "\n"),
-                   F.lit("- No sources retrieved.")))
-
-
-# Policy-answer template sentences.
-ANSWER_TEXT = (
-    "Based on the retrieved LedgerLens policy context, the answer should be interpreted "
-    "within the platform's advisory boundaries. The analyst assistant can explain "
-    "risk policy, summarize evidence, and suggest review steps, but it cannot override "
-    "ALLOW, REVIEW, or BLOCK decisions.")
-NEXT_STEP_TEXT = ("Use the retrieved policy context to review the relevant transaction, preserve the "
-                  "audit trail, and document any analyst action taken.")
-NO_CONTEXT_TEXT = (
-    "I do not have enough retrieved LedgerLens policy context to answer that confidently. "
-    "Ask a question related to risk policy, fraud investigation, audit requirements, "
-    "model monitoring, calibration, or case handling.")
-
-
-def policy_answers(guarded: DataFrame, ranked: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Per question (q, text, allowed, reason, safe_alternative,
-    categories): guardrail refusal, or the policy answer built from its
-    top-k chunks ('Source / Relevance score / text' sections in rank order),
-    or the insufficient-context answer when nothing was retrieved."""
-    from ledgerlens.operators.guardrails import refusal_message
-    sec = (ranked.join(chunks.select(F.col("chunk_id").alias("unit"), "source", F.col("text").alias("chunk_text")),
-                       "unit")
-           .select("q", "rank", F.col("source").cast("string").alias("source"),
-                   F.concat(F.lit("Source: "), F.col("source").cast("string"), F.lit("\nRelevance score: "),
-                            F.format_string("%.3f", F.col("score")), F.lit("\n"), F.trim("chunk_text")).alias("s")))
-    per_q = sec.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("rank", "s", "source"))).alias("_r"))
-    j = guarded.join(per_q, "q", "left")
-    context = F.array_join(F.col("_r.s"), "\n\n---\n\n")
-    has = F.coalesce(F.size("_r"), F.lit(0)) > 0
-    answer = F.concat_ws("\n", F.lit("## LedgerLens Policy-Grounded Answer"), F.lit(""),
-                         F.concat(F.lit("Question: "), F.trim(F.col("text"))), F.lit(""),
-                         F.lit("### Retrieved Context"), F.lit(""), context, F.lit(""),
-                         F.lit("### Answer"), F.lit(""), F.lit(ANSWER_TEXT), F.lit(""),
-                         F.lit("### Safe Next Step"), F.lit(""), F.lit(NEXT_STEP_TEXT))
-    rtype = (F.when(~F.col("allowed"), "GUARDRAIL_REFUSAL").when(~has, "INSUFFICIENT_CONTEXT")
-             .otherwise("POLICY_ANSWER"))
-    return j.select(
-        "q", "allowed", rtype.alias("response_type"),
-        F.when(~F.col("allowed"), refusal_message(F.col("allowed"), F.col("reason"), F.col("safe_alternative")))
-        .when(~has, F.lit(NO_CONTEXT_TEXT)).otherwise(answer).alias("answer"),
-        F.when(F.col("allowed") & has, F.array_distinct(F.col("_r.source")))
-        .otherwise(F.array().cast("array<string>")).alias("retrieved_sources"),
-        F.when(~F.col("allowed"), F.col("categories")).otherwise(F.array().cast("array<string>"))
-        .alias("guardrail_categories"),
-        F.when(~F.col("allowed"), F.lit("Blocked by guardrails before retrieval."))
-        .when(~has, F.lit("No relevant policy context retrieved."))
-        .otherwise(F.lit("Answer is grounded in retrieved LedgerLens policy context.")).alias("confidence_note"))
-
-
-def copilot_card(responses: DataFrame, title: str = "LedgerLens Analyst Copilot") -> DataFrame:
-    """Dashboard card fields and the sources display text."""
-    src = F.when(F.size("retrieved_sources") == 0, F.lit("No retrieved sources.")).otherwise(
-        F.array_join(F.transform("retrieved_sources", lambda s: F.concat(F.lit("- "), s)), "\n"))
-    return responses.select("q", F.lit(title).alias("title"), "response_type", "allowed", "answer",
-                            "confidence_note", "retrieved_sources", "guardrail_categories",
-                            src.alias("sources_text"))
-
-
-def case_context_text() -> Column:
-    """The case context block (evidence lines, action, note)."""
-    c = F.col
-    ev = F.when(F.size("evidence") > 0, F.array_join(F.transform("evidence", lambda e: F.concat(
-        F.lit("- ["), e["evidence_type"], F.lit("] "), e["description"], F.lit(" (severity="),
-        e["severity"].cast("string"), F.lit("/100, source="), e["source"], F.lit(")"))), "\n")) \
-        .otherwise(F.lit("- No additional evidence items recorded."))
-    return F.concat_ws(
-        "\n",
-        F.concat(F.lit("Case ID: "), c("case_id")), F.concat(F.lit("Transaction ID: "), c("transaction_id")),
-        F.concat(F.lit("User ID: "), c("user_id")), F.concat(F.lit("Decision: "), c("decision")),
-        F.concat(F.lit("Priority: "), c("priority")), F.concat(F.lit("Status: "), c("status")),
-        F.concat(F.lit("Risk Score: "), fmt3(c("risk_score"))),
-        F.concat(F.lit("Fraud Probability: "), fmt3(c("fraud_probability"))),
-        F.concat(F.lit("Model Confidence: "), fmt3(c("model_confidence"))),
-        F.concat(F.lit("Anomaly Flag: "), F.when(c("anomaly_flag"), "True").otherwise("False")),
-        F.lit("Evidence:"), ev,
-        F.concat(F.lit("Recommended Action: "), c("recommended_action")),
-        F.concat(F.lit("Analyst Note: "), F.coalesce(F.nullif(c("analyst_note"), F.lit("")),
-                                                     F.lit("No analyst note recorded."))))
-
-
-def retrieval_query_text(question: str) -> Column:
-    """Retrieval query built from the case and its focus tags."""
-    return F.concat(F.lit(f"{question} decision "), F.col("decision"), F.lit(" priority "), F.col("priority"),
-                    F.lit(" fraud probability anomaly risk policy audit investigation "),
-                    F.array_join(F.col("investigation_focus"), " "))
-
-
-def investigation_summaries(inv: DataFrame, chunks: DataFrame, question: str = "Investigate this case.",
-                            k: int = 3) -> DataFrame:
-    """Guarded investigation summaries for every case.
-
-    Retrieval runs once per *distinct* query text (the text depends only on
-    decision, priority and focus tags, so there are few), then joins back to
-    the cases on that text: the retrieval cost does not grow with the number
-    of cases."""
-    from ledgerlens.operators import guardrails as GR
-    from ledgerlens.operators import retrieval as R
-    g = GR.guardrail_columns(F.lit(question))
-    from ledgerlens.streaming.scoring import shared_dir
-    cases = inv.withColumns({"_qtext": retrieval_query_text(question), "_ctx": case_context_text()})
-    # the distinct query texts are few (bounded by decision x priority x focus combinations); writing
-    # them as a table in the shared checkpoint folder cuts the case lineage, which the retrieval
-    # self-joins would otherwise re-evaluate several times
-    spark = inv.sparkSession
-    qpath = shared_dir(spark, "investigation_queries")
-    cases.select(F.col("_qtext").alias("q")).distinct().write.mode("overwrite").parquet(qpath)
-    queries = spark.read.parquet(qpath)
-    ranked = R.retrieve(queries, "q", "q", chunks, "chunk_id", k=k)
-    sec = (ranked.join(chunks.select(F.col("chunk_id").alias("unit"), "source", F.col("text").alias("_t")), "unit")
-           .groupBy("q").agg(F.sort_array(F.collect_list(F.struct(
-               "rank", F.col("source").cast("string").alias("source"),
-               F.concat(F.lit("Source: "), F.col("source").cast("string"), F.lit("\nScore: "),
-                        F.format_string("%.3f", "score"), F.lit("\n"), F.trim("_t")).alias("s")))).alias("_r")))
-    j = cases.join(sec, cases["_qtext"] == sec["q"], "left")
-    context = F.coalesce(F.array_join(F.col("_r.s"), "\n\n---\n\n"), F.lit(""))
-    bullets = lambda arr: F.array_join(F.transform(arr, lambda x: F.concat(F.lit("- "), x)), "\n")
-    summary = F.concat_ws(
-        "\n",
-        F.concat(F.lit("# Investigation Summary: "), F.col("case_id")), F.lit(""),
-        F.lit("## Case Context"), F.lit(""), F.col("_ctx"), F.lit(""),
-        F.lit("## Investigation Focus"), F.lit(""), bullets(F.col("investigation_focus")), F.lit(""),
-        F.lit("## Retrieved Policy Context"), F.lit(""),
-        F.when(context != "", context).otherwise(F.lit("No retrieved policy context was available.")), F.lit(""),
-        F.lit("## Recommended Actions"), F.lit(""), bullets(F.col("recommended_actions")))
-    allowed = g["allowed"]
-    refusal = F.concat(F.lit("This investigation request was blocked by LedgerLens guardrails. Reason: "),
-                       g["reason"], F.lit(" Safe alternative: "), F.coalesce(g["safe_alternative"], F.lit("None")))
-    return j.select(
-        "case_id", "transaction_id", "decision", "priority", "status", allowed.alias("allowed"),
-        F.when(allowed, "investigation_summary").otherwise("guardrail_refusal").alias("response_type"),
-        F.when(allowed, F.col("investigation_focus")).otherwise(F.array().cast("array<string>"))
-        .alias("investigation_focus"),
-        F.when(allowed, summary).otherwise(refusal).alias("summary"),
-        F.when(allowed, F.col("recommended_actions")).otherwise(F.array(g["safe_alternative"]))
-        .alias("recommended_actions"),
-        F.when(allowed, F.coalesce(F.array_distinct(F.col("_r.source")), F.array().cast("array<string>")))
-        .otherwise(F.array().cast("array<string>")).alias("retrieved_sources"),
-        F.when(allowed, F.array().cast("array<string>")).otherwise(g["categories"]).alias("guardrail_categories"))

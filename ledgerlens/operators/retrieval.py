@@ -17,6 +17,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.expr import py_strip
 from ledgerlens.functions.stopwords import ENGLISH
 
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
@@ -113,28 +114,9 @@ def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("c.end_char").alias("end_char"))
 
 
-def tokens_column(text: Column, stop_words: Sequence[str] | None = None) -> Column:
-    """J4 (tokens): lower-case runs of >= 2 word characters, stop words removed."""
-    stops = english_stop_words() if stop_words is None else list(stop_words)
-    toks = F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
-    if stops:
-        stop_arr = F.array(*[F.lit(s) for s in sorted(set(stops))])
-        toks = F.filter(toks, lambda t: ~F.array_contains(stop_arr, t))
-    return toks
-
-
-def ngrams_column(toks: Column, ngram_max: int = 2) -> Column:
-    """J4 (n-grams): 1..n-grams over the surviving tokens. ``toks`` must be a
-    materialised column (it is read once per element inside the lambda)."""
-    def gram_of(n: int):
-        # one-argument lambda: a second parameter would receive the element index
-        return lambda i: F.array_join(F.slice(toks, i, n), " ")
-
-    out = toks
-    for n in range(2, ngram_max + 1):
-        grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(toks) - (n - 1), F.lit(1))), gram_of(n))
-        out = F.concat(out, F.when(F.size(toks) >= n, grams).otherwise(F.array().cast("array<string>")))
-    return out
+def tokens_column(text: Column) -> Column:
+    """J4 (tokens): lower-case runs of >= 2 word characters."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
 
 
 def explode_terms(df: DataFrame, key: str, text: Column, stop_words: Sequence[str] | None = None,
@@ -144,7 +126,7 @@ def explode_terms(df: DataFrame, key: str, text: Column, stop_words: Sequence[st
     then n-grams and the explode read that column."""
     from pyspark.ml.feature import NGram
     stops = english_stop_words() if stop_words is None else list(stop_words)
-    raw = df.select(F.col(key).alias(key), tokens_column(text, []).alias("_raw"))
+    raw = df.select(F.col(key).alias(key), tokens_column(text).alias("_raw"))
     if stops:
         toks = StopWordsRemover(inputCol="_raw", outputCol="_toks", stopWords=stops,
                                 caseSensitive=True).transform(raw).drop("_raw")
@@ -199,12 +181,6 @@ def query_vectors(questions: DataFrame, q_col: str, text_col: str, idf: DataFram
     return w.join(norm, "q").select("q", "term", (F.col("raw") / F.col("norm")).alias("qw"))
 
 
-def cosine_scores(qvec: DataFrame, weights: DataFrame) -> DataFrame:
-    """Sparse dot product via an inverted-index join on term."""
-    return (qvec.join(weights, "term")
-            .groupBy("q", "unit").agg(F.sum(F.col("qw") * F.col("weight")).alias("score")))
-
-
 def cosine_scores_raw(qvec: DataFrame, raw: DataFrame, norms: DataFrame) -> DataFrame:
     """J6 without normalising the whole index: sum(qw * raw) per (q, unit)
     over the inverted-index join (``raw`` stays partitioned by term; only the
@@ -229,31 +205,54 @@ def top_k(scores: DataFrame, k: int = 3, min_score: float = 0.0, tie_col: str =
             .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
 
 
+def fill_top_k(ranked: DataFrame, questions: DataFrame, units: DataFrame, k: int) -> DataFrame:
+    """Questions with fewer than k matching units get units of score 0 up to k, in the
+    order of the ties (largest id first). The k largest ids always hold enough of them, so
+    at most 2k rows per question are ranked again; blank questions get nothing.
+    ``questions``: (q, text); ``units``: (unit)."""
+    last = units.select("unit").orderBy(F.desc("unit")).limit(k).agg(F.collect_list("unit")).scalar()
+    zero = (questions.where(F.coalesce(normalize_whitespace(F.col("text")), F.lit("")) != "")
+            .select("q", last.alias("_u")).select("q", F.explode_outer("_u").alias("unit"), F.lit(0.0).alias("score"))
+            .where(F.col("unit").isNotNull()))
+    both = ranked.select("q", "unit", "score").unionByName(zero).groupBy("q", "unit").agg(F.max("score").alias("score"))
+    return top_k(both, k)
+
+
 def retrieve(questions: DataFrame, q_col: str, q_text: str, units: DataFrame, unit_col: str,
              unit_text: str = "text", k: int = 3, min_score: float = 0.0,
              stop_words: Sequence[str] | None = None, source_filter: DataFrame | None = None) -> DataFrame:
-    """J3-J7 composed; ``source_filter`` (a one-column frame of allowed unit
-    ids) is applied as a left-semi join before ranking."""
+    """J3-J7 composed: (q, unit, score, rank). Units that share no term with the question
+    have score 0 and fill up the k places unless ``min_score`` is above 0. ``source_filter``
+    (a one-column frame of allowed unit ids) is applied as a left-semi join before ranking;
+    the index covers all units."""
     raw, idf, norms = tfidf_raw(units, unit_col, unit_text, stop_words)
+    ids = units.select(F.col(unit_col).alias("unit"))
     if source_filter is not None:
         raw = raw.join(source_filter.toDF("unit"), "unit", "left_semi")
+        ids = ids.join(source_filter.toDF("unit"), "unit", "left_semi")
     qv = query_vectors(questions, q_col, q_text, idf, stop_words)
-    return top_k(cosine_scores_raw(qv, raw, norms), k, min_score)
+    ranked = top_k(cosine_scores_raw(qv, raw, norms), k, min_score)
+    if min_score > 0:
+        return ranked
+    return fill_top_k(ranked, questions.select(F.col(q_col).alias("q"), F.col(q_text).alias("text")), ids, k)
 
 
 def build_context(ranked: DataFrame, chunks: DataFrame, max_context_chars: int = 2500,
                   unit_col: str = "chunk_id") -> DataFrame:
     """Per question, '[Source: .. | Score: ..]\\n<text>' sections in rank
-    order while the running length (separators not counted) fits."""
-    sec = ranked.join(chunks.select(F.col(unit_col).alias("unit"), F.col("source"), F.col("text")), "unit") \
-        .withColumn("section", F.concat(F.lit("[Source: "), F.col("source").cast("string"), F.lit(" | Score: "),
-                                        F.format_string("%.3f", F.col("score")), F.lit("]\n"),
-                                        F.trim(F.col("text"))))
+    order while the running length (separators not counted) fits; empty when the first does not."""
+    return context_sections(ranked.join(chunks.select(F.col(unit_col).alias("unit"), "source", "text"), "unit"),
+                            max_context_chars)
+
+
+def context_sections(hits: DataFrame, max_context_chars: int = 2500) -> DataFrame:
+    """J8 over hits that already hold their chunks: (q, rank, score, source, text)."""
+    sec = hits.withColumn("section", F.concat(
+        F.lit("[Source: "), F.col("source").cast("string"), F.lit(" | Score: "),
+        F.format_string("%.3f", F.col("score")), F.lit("]\n"), py_strip(F.col("text"))))
     w = Window.partitionBy("q").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     sec = sec.withColumn("_run", F.sum(F.length("section")).over(w))
-    # stop at the first section that does not fit: keep rank < first overflow rank
-    first_over = sec.where(F.col("_run") > max_context_chars).groupBy("q").agg(F.min("rank").alias("_stop"))
-    kept = sec.join(first_over, "q", "left").where(F.col("_stop").isNull() | (F.col("rank") < F.col("_stop")))
-    return kept.groupBy("q").agg(F.array_join(F.transform(
-        F.sort_array(F.collect_list(F.struct("rank", "section"))), lambda s: s["section"]),
-        "\n\n---\n\n").alias("context"))
+    # running lengths only grow, so the sections before the first that does not fit are those within the limit
+    fits = F.when(F.col("_run") <= max_context_chars, F.struct("rank", "section"))
+    return sec.groupBy("q").agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list(fits)), lambda s: s["section"]), "\n\n---\n\n").alias("context"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.plans import q_cost_cases, q_decisions, q_drift, q_features, q_metrics, q_models, q_reports, q_streaming, q_text  # noqa: F401
+from ledgerlens.plans import q_answers, q_cost_cases, q_decisions, q_drift, q_features, q_metrics, q_models, q_reports, q_streaming, q_text  # noqa: F401
 from ledgerlens.plans.registry import ORACLES, QUERIES
 
 

@@ -250,9 +250,3 @@ def q_case_latest_status(spark, sf):
     ev = ev.select(CS.case_id_column(F.col("transaction_id")).alias("case_id"), "status",
                    F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("updated_at"))
     return CS.latest_status(_cases(spark, sf), ev).select("case_id", "status", "updated_at")
-
-
-@register("case_reports")
-def q_case_reports(spark, sf):
-    """Markdown case reports as a table column (rows-only check)."""
-    return CS.case_reports(_cases(spark, sf))

@@ -1,5 +1,4 @@
-"""Registered report / copilot queries: summary texts, policy answers,
-copilot cards and the streaming case-status state (rows-only checks: free
+"""Registered report queries: summary texts and the streaming case-status state (rows-only checks: free
 text, or streaming drains compared to batch in the tests)."""
 
 from __future__ import annotations
@@ -10,13 +9,9 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import cases as CS
 from ledgerlens.operators import drift as G
-from ledgerlens.operators import explain as X
-from ledgerlens.operators import guardrails as GR
 from ledgerlens.operators import metrics as H
-from ledgerlens.operators import retrieval as R
 from ledgerlens.plans import q_drift as QD
 from ledgerlens.plans import q_metrics as QM
-from ledgerlens.plans import q_text as QT
 from ledgerlens.plans.q_streaming import _stream
 from ledgerlens.plans.registry import register
 from ledgerlens.sources.fixtures import case_events_orders
@@ -38,26 +33,6 @@ def q_calibration_text(spark, sf):
     return H.calibration_text(H.calibration_summary(QM.score_long(spark, sf), QM.N_BINS))
 
 
-def _policy(spark, sf):
-    chunks = R.chunk_documents(QT._docs(spark, sf))
-    turns = QT._user_turns(spark, sf)
-    guarded = GR.check_requests(turns)
-    ranked = R.retrieve(guarded.where("allowed"), "q", "text", chunks, "chunk_id", k=QT.TOP_K)
-    return X.policy_answers(guarded, ranked, chunks)
-
-
-@register("policy_answers")
-def q_policy_answers(spark, sf):
-    """Guardrail -> retrieval over chunked documents -> answer, per user turn."""
-    return _policy(spark, sf)
-
-
-@register("copilot_cards")
-def q_copilot_cards(spark, sf):
-    """Dashboard cards for the policy answers."""
-    return X.copilot_card(_policy(spark, sf))
-
-
 @register("stream_case_status")
 def q_stream_case_status(spark, sf):
     """Latest case status from a stream of status events derived from orders."""
@@ -68,13 +43,3 @@ def q_stream_case_status(spark, sf):
     base = S.shared_dir(spark, "stream_case_status")
     path = os.path.join(base, "out")
     return S.run_state_table(S.latest_status_stream(ev), path, os.path.join(base, "ckpt"), "case_id")
-
-
-@register("investigation_reports")
-def q_investigation_reports(spark, sf):
-    """Guarded investigation summaries for every case, policy
-    context retrieved once per distinct query text from the chunked documents."""
-    from ledgerlens.plans import q_cost_cases as QC
-    inv = X.investigations(QC._cases(spark, sf))
-    chunks = R.chunk_documents(QT._docs(spark, sf))
-    return X.investigation_summaries(inv, chunks, "Investigate this suspicious transaction.")

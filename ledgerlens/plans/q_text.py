@@ -28,7 +28,6 @@ GUARD_PROBES = [
 
 STOPS = sorted(set(R.english_stop_words()))
 R9 = 9
-TOP_K = 3
 
 
 def _stop_sql() -> str:
@@ -45,8 +44,7 @@ def _grams_sql(toks: str) -> str:
             f"lambda i: {toks}[i] || ' ' || {toks}[i + 1]) ELSE [] END)")
 
 
-TFIDF_CTE = f"""docs AS (SELECT doc_id AS unit, text FROM documents),
-dtk AS (SELECT unit, {_toks_sql('text')} AS toks FROM docs),
+_INDEX_CTE = f"""dtk AS (SELECT unit, {_toks_sql('text')} AS toks FROM docs),
 dt AS (SELECT unit, unnest({_grams_sql('toks')}) AS term FROM dtk),
 tf AS (SELECT unit, term, count(*) AS tf FROM dt GROUP BY ALL),
 nd AS (SELECT count(DISTINCT unit) AS n FROM docs),
@@ -55,6 +53,46 @@ w0 AS (SELECT unit, tf.term, tf * idf AS raw FROM tf JOIN idf ON tf.term = idf.t
 nrm AS (SELECT unit, sqrt(sum(raw * raw)) AS norm FROM w0 GROUP BY unit),
 w AS (SELECT w0.unit, term, raw / norm AS weight FROM w0 JOIN nrm ON w0.unit = nrm.unit)"""
 
+TFIDF_CTE = "docs AS (SELECT doc_id AS unit, text FROM documents),\n" + _INDEX_CTE
+
+# the documents hold no blank lines, so every chunk is a piece of 900 characters
+CHUNK_CTE = f"""ch0 AS (SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS t FROM documents),
+ch1 AS (SELECT doc_id, t, unnest(range(0, length(t), 900)) AS st FROM ch0),
+chunks AS (SELECT doc_id AS source, concat(doc_id, ':', st // 900) AS chunk_id, substr(t, st + 1, 900) AS text FROM ch1),
+docs AS (SELECT chunk_id AS unit, text FROM chunks),
+{_INDEX_CTE}"""
+
+TOP_K = 3
+
+
+def topk_sql(allowed: str = "docs") -> str:
+    """Ranked CTE ``rk(q, unit, score, rank)`` for a relation qs(q, text) over the index;
+    ``allowed`` is the relation of the units that may be returned."""
+    return f"""qtk AS (SELECT q, {_toks_sql("trim(regexp_replace(text, '\\s+', ' ', 'g'))")} AS toks FROM qs),
+qt AS (SELECT q, unnest({_grams_sql('toks')}) AS term FROM qtk),
+qtf AS (SELECT q, term, count(*) AS tf FROM qt GROUP BY ALL),
+qw0 AS (SELECT q, qtf.term, tf * idf AS raw FROM qtf JOIN idf ON qtf.term = idf.term),
+qn AS (SELECT q, sqrt(sum(raw * raw)) AS norm FROM qw0 GROUP BY q),
+qw AS (SELECT qw0.q, term, raw / norm AS qw FROM qw0 JOIN qn ON qw0.q = qn.q),
+sc0 AS (SELECT q, unit, sum(qw * weight) AS score FROM qw JOIN w ON qw.term = w.term
+  WHERE unit IN (SELECT unit FROM {allowed}) GROUP BY ALL
+  UNION ALL SELECT q, unit, 0e0 FROM qs, (SELECT unit FROM {allowed} ORDER BY unit DESC LIMIT {TOP_K}) WHERE trim(text) <> ''),
+sc AS (SELECT q, unit, max(score) AS score FROM sc0 GROUP BY ALL),
+rk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round_even(score, 12) DESC, unit DESC) AS rank FROM sc)
+  WHERE rank <= {TOP_K})"""
+
+
+def hits_sql(label: str, name: str = "hits") -> str:
+    """CTE ``<name>(q, sources, ctx)`` over ``rk`` and ``chunks``: the distinct sources by rank and
+    the sections joined by rules."""
+    return f"""{name}_t AS (SELECT q, rank, score, CAST(source AS VARCHAR) AS source, regexp_replace(c.text, '^\\s+|\\s+$', '', 'g') AS text
+  FROM rk JOIN chunks c ON rk.unit = c.chunk_id),
+{name}_s AS (SELECT q, string_agg(source, ',' ORDER BY rank) AS sources
+  FROM (SELECT q, source, min(rank) AS rank FROM {name}_t GROUP BY ALL) GROUP BY q),
+{name}_x AS (SELECT q, string_agg('Source: ' || source || E'\\n{label}: ' || printf('%.3f', score) || E'\\n' || text,
+  E'\\n\\n---\\n\\n' ORDER BY rank) AS ctx FROM {name}_t GROUP BY q),
+{name} AS (SELECT x.q, sources, ctx FROM {name}_x x JOIN {name}_s s ON x.q = s.q)"""
+
 
 def _docs(spark, sf):
     return read_table(spark, sf, "documents").select("doc_id", "text")
@@ -76,33 +114,46 @@ def q_chunk_stats(spark, sf):
     return c.agg(F.count(F.lit(1)).alias("n_chunks"), F.sum(F.length("text")).cast("long").alias("n_chars"))
 
 
-@register("tfidf_terms", with_(TFIDF_CTE, f"""SELECT unit AS doc_id, count(*) AS n_terms,
-  round_even(max(weight), {R9}) AS max_weight FROM w GROUP BY unit"""))
+@register("tfidf_terms", with_(TFIDF_CTE, f"""SELECT docs.unit AS doc_id, count(term) AS n_terms,
+  round_even(coalesce(max(weight), 0e0), {R9}) AS max_weight FROM docs LEFT JOIN w ON docs.unit = w.unit GROUP BY docs.unit"""))
 def q_tfidf_terms(spark, sf):
     """Per document, number of distinct terms and the largest
-    normalised TF-IDF weight."""
+    normalised TF-IDF weight (0 and 0 for a document without a term)."""
     weights, _ = R.tfidf_index(_docs(spark, sf), "doc_id")
-    return weights.groupBy(F.col("unit").alias("doc_id")).agg(
-        F.count(F.lit(1)).alias("n_terms"), F.bround(F.max("weight"), R9).alias("max_weight"))
+    per_doc = weights.groupBy(F.col("unit").alias("doc_id")).agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("w"))
+    return _docs(spark, sf).select("doc_id").join(per_doc, "doc_id", "left").select(
+        "doc_id", F.coalesce("n", F.lit(0)).alias("n_terms"),
+        F.bround(F.coalesce("w", F.lit(0.0)), R9).alias("max_weight"))
+
+
+def _ranked(r):
+    return r.select(F.col("q").alias("item_id"), F.col("unit").alias("doc_id"), "rank",
+                    F.bround("score", R9).alias("score"))
+
+
+_TOPK_BODY = f"SELECT q AS item_id, unit AS doc_id, CAST(rank AS INTEGER) AS rank, round_even(score, {R9}) AS score FROM rk"
 
 
 @register("tfidf_topk", with_(TFIDF_CTE, f""",
-qs AS (SELECT item_id AS q, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM benchmark),
-qtk AS (SELECT q, {_toks_sql('text')} AS toks FROM qs),
-qt AS (SELECT q, unnest({_grams_sql('toks')}) AS term FROM qtk),
-qtf AS (SELECT q, term, count(*) AS tf FROM qt GROUP BY ALL),
-qw0 AS (SELECT q, qtf.term, tf * idf AS raw FROM qtf JOIN idf ON qtf.term = idf.term),
-qn AS (SELECT q, sqrt(sum(raw * raw)) AS norm FROM qw0 GROUP BY q),
-qw AS (SELECT qw0.q, term, raw / norm AS qw FROM qw0 JOIN qn ON qw0.q = qn.q),
-sc AS (SELECT q, unit, sum(qw * weight) AS score FROM qw JOIN w ON qw.term = w.term GROUP BY ALL),
-rk AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round_even(score, 12) DESC, unit DESC) AS rank FROM sc)
-SELECT q AS item_id, unit AS doc_id, CAST(rank AS INTEGER) AS rank, round_even(score, {R9}) AS score FROM rk WHERE rank <= {TOP_K}"""))
+qs AS (SELECT item_id AS q, text FROM benchmark),
+{topk_sql()}
+{_TOPK_BODY}"""))
 def q_tfidf_topk(spark, sf):
     """Top-3 documents per benchmark item by TF-IDF cosine."""
     qs = read_table(spark, sf, "benchmark")
-    r = R.retrieve(qs, "item_id", "text", _docs(spark, sf), "doc_id", k=TOP_K)
-    return r.select(F.col("q").alias("item_id"), F.col("unit").alias("doc_id"), "rank",
-                    F.bround("score", R9).alias("score"))
+    return _ranked(R.retrieve(qs, "item_id", "text", _docs(spark, sf), "doc_id", k=TOP_K))
+
+
+@register("tfidf_topk_filtered", with_(TFIDF_CTE, f""",
+qs AS (SELECT item_id AS q, text FROM benchmark),
+allowed AS (SELECT doc_id AS unit FROM documents WHERE lang = 'fr'),
+{topk_sql('allowed')}
+{_TOPK_BODY}"""))
+def q_tfidf_topk_filtered(spark, sf):
+    """J7 with a source filter: the index covers all documents, the ranking only those in French."""
+    qs = read_table(spark, sf, "benchmark")
+    allowed = read_table(spark, sf, "documents").where(F.col("lang") == "fr").select("doc_id")
+    return _ranked(R.retrieve(qs, "item_id", "text", _docs(spark, sf), "doc_id", k=TOP_K, source_filter=allowed))
 
 
 def _user_turns(spark, sf):
@@ -111,17 +162,6 @@ def _user_turns(spark, sf):
                 "text")
 
 
-@register("context")
-def q_context(spark, sf):
-    """Policy context and ordered sources for every user turn,
-    retrieved from the chunked documents; rows-only check."""
-    chunks = R.chunk_documents(_docs(spark, sf))
-    ranked = R.retrieve(_user_turns(spark, sf), "q", "text", chunks, "chunk_id", k=TOP_K)
-    ctx = R.build_context(ranked, chunks)
-    src = X.ordered_sources(ranked.join(chunks.select(F.col("chunk_id").alias("unit"), "source"), "unit"))
-    return ctx.join(src, "q", "left")
-
-
 def _requests_union(spark, sf):
     conv = read_table(spark, sf, "conversations").select(
         F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")).alias("request_id"),
@@ -149,17 +189,6 @@ def q_guardrails(spark, sf):
     return g.select("request_id", "allowed", F.array_join("categories", ",").alias("categories"))
 
 
-@register("guardrail_refusals")
-def q_guardrail_refusals(spark, sf):
-    """Refusal text and the guarded prompt per request; rows-only."""
-    g = GR.check_requests(_requests_union(spark, sf))
-    return g.select("request_id",
-                    GR.refusal_message(F.col("allowed"), F.col("reason"), F.col("safe_alternative")).alias("refusal"),
-                    GR.guarded_prompt(F.col("text"), F.col("allowed"), F.col("reason"), F.col("categories"),
-                                      F.col("safe_alternative"), F.lit(None).cast("string"),
-                                      F.lit(None).cast("string")).alias("prompt"))
-
-
 _RULES_SQL = ", ".join(f"CASE WHEN {n} THEN '{n}' END" for n in X.RULE_DESCRIPTIONS)
 
 
@@ -249,39 +278,9 @@ def q_investigation_focus_counts(spark, sf):
     return focus
 
 
-@register("request_routing", with_(FOCUS_CTE, f""",
-n AS (SELECT trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS nt FROM conversations WHERE role = 'user'),
-g AS (SELECT nt <> '' AND concat_ws(',', {_GUARD_SQL_CATS}) = '' AS allowed FROM n),
-r AS (SELECT CASE WHEN allowed THEN 'POLICY_ANSWER' ELSE 'GUARDRAIL_REFUSAL' END AS response_type FROM g
-      UNION ALL SELECT 'CASE_INVESTIGATION' FROM fo2)
-SELECT response_type, count(*) AS n FROM r GROUP BY response_type""".lstrip()))
-def q_request_routing(spark, sf):
-    """Policy questions (user turns) and case investigations routed in
-    one frame; guardrail refusals first."""
-    turns = GR.check_requests(read_table(spark, sf, "conversations").where(F.col("role") == "user")
-                              .select("text"))
-    cases = _investigations(spark, sf).select("case_id", F.lit("Investigate this suspicious transaction.").alias("text"))
-    cases = GR.check_requests(cases)
-    both = turns.select(F.lit(None).cast("string").alias("case_id"), "allowed") \
-        .unionByName(cases.select("case_id", "allowed"))
-    return X.route_requests(both).groupBy("response_type").agg(F.count(F.lit(1)).alias("n"))
-
-
 @register("record_normalizer")
 def q_record_normalizer(spark, sf):
     """Any scored row (here the system-1 final decisions, 0-100 scores)
     normalised to the request shape; rows-only."""
     from ledgerlens.plans import decisions as D
     return X.normalize_record(D.final_decisions(spark, sf))
-
-
-@register("explanations")
-def q_explanations(spark, sf):
-    """Evidence summary, Markdown explanation and analyst note per
-    enriched request; rows-only (text)."""
-    from ledgerlens.operators import cost as CO
-    e = X.evidence_summary(CO.enrich_with_scores(QC._requests(spark, sf)))
-    return e.select("transaction_id",
-                    X.explanation_markdown(e, F.lit(None).cast("string"),
-                                           F.array().cast("array<string>")).alias("explanation"),
-                    X.analyst_note(F.col("evidence_points"), F.lit("Review per policy.")).alias("analyst_note"))

@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import answers as A
+from ledgerlens.operators import cases as CS
+from ledgerlens.operators import explain as X
 from ledgerlens.operators import guardrails as GR
 from ledgerlens.operators import retrieval as R
 
@@ -31,3 +34,68 @@ def test_retrieval_finds_block_policy(spark):
     qs = spark.createDataFrame([(1, "What does BLOCK mean?")], "q int, text string")
     top = R.retrieve(qs, "q", "text", docs, "doc_id", k=1).first()
     assert top.unit == 1 and top.score > 0
+
+
+def test_top_k_is_filled_and_filtered(spark):
+    docs = spark.createDataFrame([(1, "alpha block"), (2, "beta"), (3, "gamma"), (4, "")], "doc_id int, text string")
+    qs = spark.createDataFrame([(1, "block"), (2, "zeta"), (3, "  ")], "q int, text string")
+    got = {(r.q, r.rank): (r.unit, r.score > 0) for r in R.retrieve(qs, "q", "text", docs, "doc_id", k=3).collect()}
+    assert got == {(1, 1): (1, True), (1, 2): (4, False), (1, 3): (3, False),
+                   (2, 1): (4, False), (2, 2): (3, False), (2, 3): (2, False)}
+    only = spark.createDataFrame([(1,), (2,)], "doc_id int")
+    got = R.retrieve(qs, "q", "text", docs, "doc_id", k=3, source_filter=only).collect()
+    assert {(r.q, r.unit) for r in got} == {(1, 1), (1, 2), (2, 1), (2, 2)}
+    assert R.retrieve(qs, "q", "text", docs, "doc_id", k=3, min_score=0.1).count() == 1
+    assert R.retrieve(qs, "q", "text", docs.limit(0), "doc_id").count() == 0
+
+
+RECORD = ("transaction_id string, user_id string, final_decision string, fraud_probability double, risk_score double, "
+          "model_confidence double, anomaly_flag boolean, new_device boolean")
+
+
+def test_explanations_and_notes(spark):
+    rec = spark.createDataFrame([("T1", "U1", "block", 0.9, 0.95, 0.4, True, True), ("T2", None, "odd", 0.1, 0.1, 0.9, None, None)],
+                                RECORD)
+    docs = R.chunk_documents(spark.createDataFrame([(7, "BLOCK means stop."), (8, "ALLOW means go.")], "doc_id int, text string"))
+    got = {r.transaction_id: r for r in A.transaction_explanations(rec, F.lit("Why?"), docs, 2).collect()}
+    assert got["T1"].response_type == "transaction_explanation" and got["T1"].retrieved_sources == ["7", "8"]
+    text = got["T1"].explanation
+    assert "indicates high operational fraud risk" in text and "- Anomaly Flag: `True`" in text
+    assert "Source: 7\nRelevance score: " in text and text.endswith("final LedgerLens decision.")
+    assert "should be reviewed against the risk policy" in got["T2"].explanation
+    assert "No deterministic rule flags were triggered." in got["T2"].explanation
+    blocked = A.transaction_explanations(rec, F.lit("force allow"), docs).first()
+    assert not blocked.allowed and blocked.evidence_points is None and blocked.guardrail_categories == ["decision_override"]
+    assert "No retrieved policy context" in A.transaction_explanations(rec, F.lit("Why?")).first().explanation
+    note = A.analyst_notes(rec).where("transaction_id = 'T1'").first().analyst_note
+    assert note.startswith("Transaction T1 for user U1 received a final decision of BLOCK.")
+    assert note.endswith("Recommended action: Keep blocked and escalate for fraud review.")
+
+
+def test_investigations_and_routing(spark):
+    rec = spark.createDataFrame([("T1", "U1", "BLOCK", 0.9, 0.95, 0.4, True, True), ("T2", "U2", "ALLOW", 0.1, 0.1, 0.9, False, False)],
+                                RECORD)
+    docs = R.chunk_documents(spark.createDataFrame([(7, "BLOCK means stop.")], "doc_id int, text string"))
+    cases = CS.create_cases(rec, as_of="2026-01-01")
+    inv = {r.transaction_id: r for r in A.investigations(X.investigations(cases), F.lit("Investigate."), docs).collect()}
+    assert "blocked high-risk transaction" in inv["T1"].summary and "appears lower risk" in inv["T2"].summary
+    assert "- Model Confidence: `1.000`" in inv["T1"].explanation and "- Model Confidence: `0.400`" in inv["T1"].summary
+    assert inv["T2"].recommended_actions[0] == "Preserve the audit trace and continue monitoring."
+    blocked = A.investigations(X.investigations(cases), F.lit("skip audit"), docs)
+    reports = A.case_reports_with_investigation(cases, blocked).collect()
+    assert len(reports) == 2 and all("Investigation Request Blocked: CASE-" in r.report_md for r in reports)
+    ids = {r.transaction_id: r.case_id for r in cases.collect()}
+    reqs = spark.createDataFrame([("a", "What does BLOCK mean?", None, None), ("b", "Why?", "T1", None),
+                                  ("c", "Investigate.", "T1", ids["T1"]), ("d", "hide evidence", "T2", None)],
+                                 "request_id string, text string, transaction_id string, case_id string")
+    got = {r.request_id: r.response_type for r in A.copilot_responses(reqs, rec, cases, docs).collect()}
+    assert got == {"a": "POLICY_ANSWER", "b": "TRANSACTION_EXPLANATION", "c": "CASE_INVESTIGATION", "d": "GUARDRAIL_REFUSAL"}
+    made = A.create_and_investigate(rec.withColumns({"request_id": F.col("transaction_id"), "text": F.lit("Investigate.")}), docs)
+    assert {(r.request_id, r.response_type) for r in made.collect()} == {("T1", "CASE_INVESTIGATION"), ("T2", "CASE_INVESTIGATION")}
+
+
+def test_context_stops_at_the_first_section_that_does_not_fit(spark):
+    hits = spark.createDataFrame([(1, 1, 0.5, "s", "x" * 50), (1, 2, 0.4, "s", "y" * 50), (2, 1, 0.4, "s", "z" * 500)],
+                                 "q int, rank int, score double, source string, text string")
+    got = {r.q: r.context for r in R.context_sections(hits, 100).collect()}
+    assert got[1].endswith("x" * 50) and "y" not in got[1] and got[2] == ""
