@@ -134,7 +134,9 @@ def numeric_drift_long(long: DataFrame, n_bins: int = 10, warn: float = 0.10, al
         "feature", F.col("n").alias("current_count"), F.col("mean").alias("current_mean"),
         F.col("std").alias("current_std"), F.col("median").alias("current_median"))
     out = r.join(c, "feature", "full").join(psi, "feature", "left")
-    psi_col = F.when(F.col("reference_count").isNotNull() & F.col("current_count").isNotNull(), F.col("psi"))
+    # A feature without a number on one side fails the query
+    psi_col = F.when(F.col("reference_count").isNotNull() & F.col("current_count").isNotNull(), F.col("psi")) \
+        .otherwise(F.raise_error("Both reference and current values must contain numeric data.").cast("double"))
     return out.select(
         F.col("feature").alias("feature_name"),
         F.coalesce("reference_count", F.lit(0)).alias("reference_count"),

@@ -46,6 +46,21 @@ def validate_scores(long: DataFrame, label: str = "y", prob: str = "p") -> None:
         raise MetricInputError("Probability array cannot contain NaN or infinite values.")
 
 
+def checked_label(label: str = "y") -> F.Column:
+    """H1 inside the plan: the label as an int; a query that meets another value (or null) fails."""
+    y = F.col(label).cast("double")
+    return F.when(y.isin(0.0, 1.0), y.cast("int")).otherwise(
+        F.raise_error("y_true must contain binary values only: 0/1 or False/True.").cast("int"))
+
+
+def checked_probability(prob: str = "p") -> F.Column:
+    """H1 and H2 inside the plan: the clipped probability; null, NaN and infinity fail the query."""
+    p = F.col(prob).cast("double")
+    bad = p.isNull() | F.isnan(p) | (F.abs(p) == float("inf"))
+    return F.when(bad, F.raise_error("Probability array cannot contain NaN or infinite values.").cast("double")) \
+        .otherwise(clip_probability(p))
+
+
 def clip_probability(c) -> F.Column:
     """H2: clip to [1e-9, 1 - 1e-9]."""
     return F.least(F.lit(P_HI), F.greatest(F.lit(P_LO), c.cast("double")))
@@ -53,8 +68,8 @@ def clip_probability(c) -> F.Column:
 
 def brier_logloss(long: DataFrame, model: str = "model") -> DataFrame:
     """H3, H4 (+counts): per model."""
-    y, p = F.col("y").cast("double"), clip_probability(F.col("p"))
-    return long.groupBy(model).agg(
+    y, p = F.col("y").cast("double"), F.col("p")
+    return long.select(model, checked_label().alias("y"), checked_probability().alias("p")).groupBy(model).agg(
         F.count(F.lit(1)).alias("sample_count"),
         F.sum(F.col("y")).cast("long").alias("positive_count"),
         F.avg(F.pow(p - y, 2)).alias("brier_score"),
@@ -64,8 +79,7 @@ def brier_logloss(long: DataFrame, model: str = "model") -> DataFrame:
 def ranking_metrics(long: DataFrame, model: str = "model", buckets: int = 256) -> DataFrame:
     """H5, H6: exact ROC-AUC (ties count 1/2) and step-wise average precision
     per model; null when a model has a single class."""
-    p = clip_probability(F.col("p"))
-    d = (long.select(model, p.alias("score"), F.col("y").cast("long").alias("y"))
+    d = (long.select(model, checked_probability().alias("score"), checked_label().cast("long").alias("y"))
          .groupBy(model, "score").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
     c = ranked_prefix_sums(d, [model], "score", ["pos", "neg"], descending=True, buckets=buckets)
     per = c.groupBy(model).agg(
@@ -88,11 +102,10 @@ def reliability_bins(long: DataFrame, n_bins: int = 10, model: str = "model") ->
     """H7: equal-width bins, left-closed, last bin closed on both ends, empty
     bins emitted as zeros (bin grid x models, right-joined)."""
     edges = reliability_edges(n_bins)
-    p = clip_probability(F.col("p"))
     # literal edges: a sum of comparisons stays in whole-stage codegen
     bin_expr = sum((F.when(F.col("p") >= F.lit(e), F.lit(1)).otherwise(F.lit(0)) for e in edges[2:-1]),
                    F.when(F.col("p") >= F.lit(edges[1]), F.lit(1)).otherwise(F.lit(0)))
-    binned = long.select(model, F.col("y").cast("double").alias("y"), p.alias("p")) \
+    binned = long.select(model, checked_label().cast("double").alias("y"), checked_probability().alias("p")) \
         .withColumn("bin_index", bin_expr)
     agg = binned.groupBy(model, "bin_index").agg(
         F.count(F.lit(1)).alias("count"), F.avg("p").alias("mean_predicted_probability"),
@@ -129,7 +142,7 @@ def confusion_metrics(long: DataFrame, model: str = "model", digits: int | None
     """H14 (+H16 selection score from unrounded parts needs AP; see
     :func:`leaderboard`): counts, accuracy, precision, recall, F1."""
     y, pr = F.col("y"), F.col("pred")
-    c = long.groupBy(model).agg(
+    c = long.select(model, checked_label().alias("y"), "pred").groupBy(model).agg(
         F.count_if((y == 0) & (pr == 0)).alias("true_negative"),
         F.count_if((y == 0) & (pr == 1)).alias("false_positive"),
         F.count_if((y == 1) & (pr == 0)).alias("false_negative"),
@@ -214,17 +227,20 @@ def fit_calibrator(calib: DataFrame, method: str = "sigmoid"):
     if k["k"] < 2:
         raise MetricInputError("Calibration labels must contain both classes: 0 and 1.")
     from pyspark.ml.feature import VectorAssembler
-    data = VectorAssembler(inputCols=["p_clip"], outputCol="features").transform(
-        calib.select(F.col("y").cast("double").alias("label"), clip_probability(F.col("p")).alias("p_clip")))
+    y, p = F.col("y").cast("int").cast("double"), clip_probability(F.col("p"))
     if method == "sigmoid":
+        # one weighted row per (probability, label): the same loss on far fewer rows
+        rows = calib.groupBy(p.alias("p_clip"), y.alias("label")).agg(F.count(F.lit(1)).cast("double").alias("w"))
         from pyspark.ml.classification import LogisticRegression
         # sklearn: 1/2 ||w||^2 + C * sum(loss), C = 1  <=>  Spark: mean(loss) + reg/2 ||w||^2, reg = 1/n
-        model = LogisticRegression(regParam=1.0 / k["n"], elasticNetParam=0.0, standardization=False,
-                                   maxIter=200, tol=1e-10).fit(data)
+        est = LogisticRegression(regParam=1.0 / k["n"], elasticNetParam=0.0, standardization=False,
+                                 maxIter=200, tol=1e-10, weightCol="w")
     else:
+        # Spark pools in one place, so it gets one row per distinct probability: the mean label, weighted
+        rows = calib.groupBy(p.alias("p_clip")).agg(F.avg(y).alias("label"), F.count(F.lit(1)).cast("double").alias("w"))
         from pyspark.ml.regression import IsotonicRegression
-        model = IsotonicRegression(isotonic=True).fit(data.withColumnRenamed("p_clip", "p_raw"))
-    return model
+        est = IsotonicRegression(isotonic=True, weightCol="w")
+    return est.fit(VectorAssembler(inputCols=["p_clip"], outputCol="features").transform(rows))
 
 
 def apply_calibrator(model, target: DataFrame, prob: str = "p") -> DataFrame:

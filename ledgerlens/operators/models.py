@@ -119,6 +119,29 @@ def fit_and_score(train: DataFrame, score_on: DataFrame, name: str, seed: int =
     return model, scored.drop("rawPrediction", "probability", "prediction", "scaled")
 
 
+def score_table(train: DataFrame, score_on: DataFrame, names: Sequence[str], main: str, key: str,
+                normal: str = "is_fraud = 0", seed: int = 42) -> DataFrame:
+    """I12 + I13: one table with every model's columns: ``<slug>_probability`` and
+    ``<slug>_score`` of the supervised models, the isolation forest and autoencoder scores
+    and error, and the ``ml_*`` columns of the model ``main``. The models score the same
+    rows one after the other, so nothing is joined. Both frames need ``features``."""
+    out = score_on
+    for name in names:
+        _, out = fit_and_score(train, out, name, seed)
+    base = train.where(normal)
+    forest, psi = isolation_forest_fit(base, key, "features")
+    autoencoder = pca_autoencoder_fit(base, "features", k=6)
+    # the training rows' range, one row
+    seen = autoencoder(isolation_forest_score(base, forest, psi, "features")).agg(*[
+        f(c).alias(n + c) for c in ("anomaly_score", "reconstruction_error") for n, f in (("lo_", F.min), ("hi_", F.max))]).first()
+    scaled = lambda c: F.bround(minmax_normalize(F.col(c), F.lit(seen["lo_" + c]), F.lit(seen["hi_" + c])) * 100, 0).cast("int")
+    out = autoencoder(isolation_forest_score(out, forest, psi, "features")).withColumns({
+        "isolation_forest_anomaly_score": scaled("anomaly_score"),
+        "autoencoder_anomaly_score": scaled("reconstruction_error"),
+        **probability_columns(F.col(f"{slug(main)}_probability"))})
+    return out.drop("anomaly_score").withColumnRenamed("reconstruction_error", "autoencoder_reconstruction_error")
+
+
 def feature_importance(rf_model, features: Sequence[str] = FEATURE_COLUMNS, spark=None) -> DataFrame:
     """Importances as a (feature, importance) table sorted desc (15 rows)."""
     imp = rf_model.featureImportances.toArray().tolist()
@@ -155,18 +178,26 @@ def minmax_normalize(score: Column, lo: Column, hi: Column) -> Column:
 
 # ---------------- I8: linear (PCA) autoencoder ----------------
 
-def pca_autoencoder(train_normal: DataFrame, score_on: DataFrame, vec_col: str = "features", k: int = 6):
-    """Fit scaler + PCA(k) on normal rows; score every row with the mean
-    squared reconstruction residual of the standardised vector."""
+def pca_autoencoder_fit(train_normal: DataFrame, vec_col: str = "features", k: int = 6):
+    """Fit scaler + PCA(k) on normal rows. The result is a function that adds
+    ``reconstruction_error``, the mean squared residual of the standardised vector."""
     from pyspark.ml.feature import PCA, StandardScaler
     from pyspark.ml.functions import vector_to_array
     sc = StandardScaler(inputCol=vec_col, outputCol="_z", withMean=True, withStd=True).fit(train_normal)
     pca = PCA(k=k, inputCol="_z", outputCol="_proj").fit(sc.transform(train_normal))
-    z = pca.transform(sc.transform(score_on))
-    za, pa = vector_to_array("_z"), vector_to_array("_proj")
-    sq = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v * v)
-    err = F.greatest(F.lit(0.0), sq(za) - sq(pa)) / F.size(za)
-    return z.withColumn("reconstruction_error", err).drop("_z", "_proj")
+
+    def score(df: DataFrame) -> DataFrame:
+        sq = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v * v)
+        za, pa = vector_to_array("_z"), vector_to_array("_proj")
+        err = F.greatest(F.lit(0.0), sq(za) - sq(pa)) / F.size(za)
+        return pca.transform(sc.transform(df)).withColumn("reconstruction_error", err).drop("_z", "_proj")
+
+    return score
+
+
+def pca_autoencoder(train_normal: DataFrame, score_on: DataFrame, vec_col: str = "features", k: int = 6) -> DataFrame:
+    """Fit on normal rows, score every row of ``score_on``."""
+    return pca_autoencoder_fit(train_normal, vec_col, k)(score_on)
 
 
 # ---------------- I7: isolation forest ----------------

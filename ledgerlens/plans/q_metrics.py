@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import metrics as H
+from ledgerlens.operators import models as M
 from ledgerlens.plans import decisions as D
 from ledgerlens.plans.registry import register
 from ledgerlens.plans.sql_twins import FINAL_CTE, with_
@@ -186,28 +187,28 @@ def q_calibration_summary(spark, sf):
                                                           "expected_calibration_error", "maximum_calibration_error")])
 
 
-def _calib_split(spark, sf):
-    """The ml_fraud score rows (every transaction): the calibrator is fitted
-    on them and applied back to them."""
-    return score_long(spark, sf).where(F.col("model") == "ml_fraud")
+def _calibrated(spark, sf, method):
+    """The calibrator of the ml_fraud score is fitted on the training part of the hash
+    split; the summaries before and after are of the held-out part."""
+    final = D.final_decisions(spark, sf)
+    long = final.select(M.hash_split(final, "transaction_id").alias("held_out"), F.lit("ml_fraud").alias("model"),
+                        F.col("is_fraud").alias("y"), (F.col("ml_fraud_score") / F.lit(100.0)).alias("p"),
+                        F.when(F.col("ml_fraud_score") >= 50, 1).otherwise(0).alias("pred"))
+    held_out = long.where("held_out").drop("held_out")
+    model = H.fit_calibrator(long.where("not held_out"), method)
+    after = H.apply_calibrator(model, held_out).select("model", "y", F.col("p_calibrated").alias("p"), "pred")
+    return (H.calibration_summary(held_out, N_BINS, stage="before")
+            .unionByName(H.calibration_summary(after, N_BINS, stage="after")))
 
 
 @register("sigmoid_calibration")
 def q_sigmoid_calibration(spark, sf):
-    """Platt calibration of the ml_fraud score (Spark ML LR), then the
-    before/after calibration summary (rows-only: model fits differ in bits)."""
-    long = _calib_split(spark, sf)
-    model = H.fit_calibrator(long, "sigmoid")
-    after = H.apply_calibrator(model, long).select("model", "y", F.col("p_calibrated").alias("p"), "pred")
-    return (H.calibration_summary(long, N_BINS, stage="before")
-            .unionByName(H.calibration_summary(after, N_BINS, stage="after")))
+    """Platt calibration of the ml_fraud score (Spark ML LR), then the before/after
+    calibration summary of held-out rows (rows-only: model fits differ in bits)."""
+    return _calibrated(spark, sf, "sigmoid")
 
 
 @register("isotonic_calibration")
 def q_isotonic_calibration(spark, sf):
-    """Isotonic calibration (Spark ML PAV), before/after summary."""
-    long = _calib_split(spark, sf)
-    model = H.fit_calibrator(long, "isotonic")
-    after = H.apply_calibrator(model, long).select("model", "y", F.col("p_calibrated").alias("p"), "pred")
-    return (H.calibration_summary(long, N_BINS, stage="before")
-            .unionByName(H.calibration_summary(after, N_BINS, stage="after")))
+    """Isotonic calibration (Spark ML PAV), before/after summary of held-out rows."""
+    return _calibrated(spark, sf, "isotonic")

@@ -11,8 +11,9 @@ from ledgerlens.functions.quantiles import exact_quantiles
 from ledgerlens.operators import models as M
 from ledgerlens.plans import decisions as D
 from ledgerlens.plans.registry import register
-from ledgerlens.plans.sql_twins import RULES_CTE, with_
+from ledgerlens.plans.sql_twins import REQUESTS_CTE, RULES_CTE, with_
 from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.sources.fixtures import requests_orders
 from ledgerlens.sources.tables import read_table
 
 R6 = 6
@@ -153,3 +154,25 @@ def q_feature_importance(spark, sf):
     train, _ = _train_frames(spark, sf)
     model = M.supervised_estimators()["Random Forest"].fit(train)
     return M.feature_importance(model, spark=spark)
+
+
+@register("ml_score_columns", with_(REQUESTS_CTE, """SELECT transaction_id, fraud_probability AS ml_fraud_probability,
+  CAST(round_even(fraud_probability * 100, 0) AS INTEGER) AS ml_fraud_score,
+  CAST(round_even(greatest(fraud_probability, 1e0 - fraud_probability) * 100, 0) AS INTEGER) AS model_confidence,
+  CASE WHEN fraud_probability >= 0.5e0 THEN 1 ELSE 0 END AS predicted_fraud FROM req"""))
+def q_ml_score_columns(spark, sf):
+    """The score columns of a given probability."""
+    req = requests_orders(read_table(spark, sf, "orders"))
+    return req.select("transaction_id", *[c.alias(n) for n, c in M.probability_columns(F.col("fraud_probability")).items()])
+
+
+@register("model_score_table")
+def q_model_score_table(spark, sf):
+    """I12 + I13: the models' columns in one table (rows-only: model fits). The operator takes
+    all four supervised models; boosting and the network, the slow fits, have queries of
+    their own and are left out here."""
+    ensure_checkpoint_dir(spark)
+    train, full = _train_frames(spark, sf)
+    scored = M.score_table(train, full, ["Logistic Regression", "Random Forest"], "Random Forest",
+                           "transaction_id")
+    return scored.drop("features", "weight", *M.FEATURE_COLUMNS)

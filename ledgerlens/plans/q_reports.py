@@ -13,7 +13,7 @@ from ledgerlens.operators import metrics as H
 from ledgerlens.plans import q_drift as QD
 from ledgerlens.plans import q_metrics as QM
 from ledgerlens.plans.q_streaming import _stream
-from ledgerlens.plans.registry import register
+from ledgerlens.plans.registry import ORACLES, register
 from ledgerlens.sources.fixtures import case_events_orders
 from ledgerlens.sources.tables import read_table, table_path
 from ledgerlens.streaming import scoring as S
@@ -27,7 +27,13 @@ def q_monitoring_summary_text(spark, sf):
                                                          QD.N_BINS))
 
 
-@register("calibration_text")
+@register("calibration_text", f"""WITH s AS ({ORACLES['calibration_summary']})
+SELECT model, 'Calibration summary for ' || model || E':\\n- Samples: ' || sample_count || E'\\n- Positives: ' || positive_count
+  || E'\\n- Negatives: ' || negative_count || E'\\n- Brier score: ' || printf('%.4f', brier_score)
+  || E'\\n- Log loss: ' || printf('%.4f', log_loss) || E'\\n- ROC-AUC: ' || coalesce(printf('%.4f', roc_auc), 'N/A')
+  || E'\\n- Average precision: ' || coalesce(printf('%.4f', average_precision), 'N/A')
+  || E'\\n- Expected calibration error: ' || printf('%.4f', expected_calibration_error)
+  || E'\\n- Maximum calibration error: ' || printf('%.4f', maximum_calibration_error) AS summary_text FROM s""")
 def q_calibration_text(spark, sf):
     """Per-model calibration summary text."""
     return H.calibration_text(H.calibration_summary(QM.score_long(spark, sf), QM.N_BINS))

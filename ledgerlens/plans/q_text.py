@@ -98,9 +98,11 @@ def _docs(spark, sf):
     return read_table(spark, sf, "documents").select("doc_id", "text")
 
 
-@register("chunks")
+@register("chunks", with_(CHUNK_CTE.split(",\ndocs AS")[0], """
+SELECT source, CAST(st // 900 AS INTEGER) AS chunk_ordinal, chunk_id, text, CAST(st AS INTEGER) AS start_char,
+  CAST(st + length(text) AS INTEGER) AS end_char FROM (SELECT *, CAST(split_part(chunk_id, ':', 2) AS INTEGER) * 900 AS st FROM chunks)"""))
 def q_chunks(spark, sf):
-    """Every document chunked (900 / 120); rows-only check."""
+    """Every document chunked (900 / 120)."""
     return R.chunk_documents(_docs(spark, sf))
 
 

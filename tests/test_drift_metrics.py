@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from ledgerlens.operators import drift as G
 from ledgerlens.operators import metrics as H
@@ -83,3 +84,48 @@ def test_calibration_fixture(spark):
     assert s.roc_auc == 1.0
     bins = H.reliability_bins(long, 5).orderBy("bin_index").collect()
     assert [b["count"] for b in bins] == [1, 2, 0, 1, 2]  # 0.20 opens bin 1, 0.80 opens bin 4
+
+
+def _raises(df, text):
+    with pytest.raises(Exception, match=text):
+        df.collect()
+
+
+def test_bad_inputs_fail_the_query(spark):
+    schema = "model string, y int, p double, pred int"
+    nan = spark.createDataFrame([("m", 0, 0.2, 0), ("m", 1, float("nan"), 1)], schema)
+    lab = spark.createDataFrame([("m", 0, 0.2, 0), ("m", 2, 0.4, 1)], schema)
+    for metric in (H.brier_logloss, H.ranking_metrics, H.reliability_bins):
+        _raises(metric(nan), "NaN or infinite")
+    for metric in (H.brier_logloss, H.ranking_metrics, H.reliability_bins, H.confusion_metrics, H.class_report):
+        _raises(metric(lab), "binary values only")
+    side = spark.createDataFrame([(None,), (None,)], "amount double")
+    _raises(G.numeric_drift(side, spark.createDataFrame([(1.0,), (2.0,)], "amount double"), ["amount"]), "must contain numeric data")
+
+
+def test_calibrators(spark):
+    one = spark.createDataFrame([(0, 0.1), (0, 0.2), (0, 0.3)], "y int, p double")
+    for method in ("sigmoid", "isotonic"):
+        with pytest.raises(ValueError):
+            H.fit_calibrator(one, method)
+    rng = np.random.default_rng(5)
+    p = [float(v) / 20 for v in rng.integers(1, 20, 300)]
+    y = [int(rng.random() < v * v) for v in p]
+    df = spark.createDataFrame(list(zip(y, p)), "y int, p double")
+    got = {r.p: r.p_calibrated for r in H.apply_calibrator(H.fit_calibrator(df, "isotonic"), df).collect()}
+    xs = sorted(set(p))
+    mean = lambda a, b: np.mean([yi for yi, pi in zip(y, p) if xs[a] <= pi <= xs[b]])
+    for i, x in enumerate(xs):  # the max-min formula of the weighted isotonic fit
+        want = max(min(mean(a, b) for b in range(i, len(xs))) for a in range(i + 1))
+        assert math.isclose(got[x], min(max(want, 1e-9), 1 - 1e-9), abs_tol=1e-9)
+    sig = {r.p: r.p_calibrated for r in H.apply_calibrator(H.fit_calibrator(df, "sigmoid"), df).collect()}
+    assert [sig[x] for x in xs] == sorted(sig[x] for x in xs)
+    # the optimum of sum(loss) + w^2 / 2
+    w0 = np.array([0.0, 0.0])
+    X, Y = np.c_[np.ones(len(p)), p], np.array(y)
+    for _ in range(50):
+        q = 1 / (1 + np.exp(-X @ w0))
+        g = X.T @ (q - Y) + np.array([0.0, w0[1]])
+        h = X.T @ (X * (q * (1 - q))[:, None]) + np.diag([0.0, 1.0])
+        w0 = w0 - np.linalg.solve(h, g)
+    assert all(math.isclose(sig[x], 1 / (1 + math.exp(-(w0[0] + w0[1] * x))), abs_tol=1e-4) for x in xs)
