@@ -12,7 +12,7 @@ from ledgerlens.operators import guardrails as GR
 from ledgerlens.operators import retrieval as R
 from ledgerlens.plans import q_cost_cases as QC
 from ledgerlens.plans.registry import register
-from ledgerlens.plans.sql_twins import with_
+from ledgerlens.plans.sql_twins import FINAL_CTE, with_
 from ledgerlens.sources.tables import read_table
 
 # The request strings exercised by the reference's guardrail tests,
@@ -280,9 +280,14 @@ def q_investigation_focus_counts(spark, sf):
     return focus
 
 
-@register("record_normalizer")
+@register("record_normalizer", with_(FINAL_CTE, """SELECT transaction_id, account_id AS user_id, upper(final_action) AS final_decision,
+  CAST(ml_fraud_probability AS DOUBLE) AS fraud_probability, CAST(final_risk_score AS DOUBLE) AS risk_score,
+  CAST(model_confidence AS DOUBLE) AS model_confidence, false AS anomaly_flag, false AS amount_limit_violation,
+  false AS daily_limit_violation, false AS velocity_violation, false AS foreign_ip, false AS new_device,
+  false AS multiple_failed_logins, false AS account_takeover_pattern, false AS blacklisted_merchant,
+  false AS high_risk_country, false AS unusual_time FROM final"""))
 def q_record_normalizer(spark, sf):
     """Any scored row (here the system-1 final decisions, 0-100 scores)
-    normalised to the request shape; rows-only."""
+    normalised to the request shape."""
     from ledgerlens.plans import decisions as D
     return X.normalize_record(D.final_decisions(spark, sf))
