@@ -7,12 +7,15 @@ the model, which then says which sentences offend.
 
 Features of a sentence are its distinct lower-case words and word beginnings of
 ``PREFIXES`` letters (inflected forms share them). Which features enter is
-decided by distributed document counts over the training rows: those that occur
+decided by distributed document counts over all training rows: those that occur
 clearly more often in toxic documents. Distinct texts only are counted, as many
 copies of one document say no more than one. The weights are fitted on a bounded
 sample of labelled rows (``sample`` distinct texts; smallest hashes per class) by
 gradient descent with an L1 penalty, in numpy on the driver: what is
-collected is bounded by ``sample`` documents' feature ids.
+collected is bounded by ``sample`` documents' feature ids. Features too scarce in
+that sample are weighted by counts over all training rows: their log odds between
+the toxic texts that the fitted weights miss and the clean ones, where chance among
+all features does not explain them.
 
 Labels are learnt only from rows whose crc32(doc_id) mod 5 is not 0; a score
 depends on the text alone.
@@ -83,33 +86,35 @@ class Lexicon:
         return hits
 
 
-def _tokens_with_label(batch: pa.RecordBatch) -> Iterator[tuple[set[str], int]]:
-    for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+def _tokens_with_label(batch: pa.RecordBatch) -> Iterator[tuple[set[str], int, int]]:
+    for text, label, copies in zip(batch.column(0), *(batch.column(i).to_pylist() for i in (1, 2)), strict=True):
         words = set(_TOKEN.findall((text.as_py() or "").lower())) - _ENDS
-        yield {f for w in words for f in word_features(w)}, label
+        yield {f for w in words for f in word_features(w)}, label, copies
 
 
 def feature_counts(rows: DataFrame) -> DataFrame:
-    """(text, label) -> feature, pos, neg: documents of either class that have it."""
+    """(text, label, copies) -> feature, pos, neg: documents of either class that have it;
+    each of ``copies`` equal rows counts as its part of one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, list[int]] = {}
+        counts: dict[str, list[float]] = {}
 
         def emit() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()),
-                                              pa.array([c[1] for c in counts.values()], pa.int64())], ["feature", "pos", "neg"])
+            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.float64()),
+                                              pa.array([c[1] for c in counts.values()], pa.float64())], ["feature", "pos", "neg"])
             counts.clear()
             return out
 
         for batch in batches:
-            for features, label in _tokens_with_label(batch):
+            for features, label, copies in _tokens_with_label(batch):
                 for f in features:
-                    counts.setdefault(f, [0, 0])[0 if label else 1] += 1
+                    counts.setdefault(f, [0.0, 0.0])[0 if label else 1] += 1 / copies
                 if len(counts) > 200_000:
                     yield emit()
         yield emit()
 
-    return rows.mapInArrow(run, "feature string, pos long, neg long").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    parts = rows.select("text", "label", "copies").mapInArrow(run, "feature string, pos double, neg double")
+    return parts.groupBy("feature").agg(*[F.round(F.sum(c)).cast("long").alias(c) for c in ("pos", "neg")])
 
 
 class Model:
@@ -150,28 +155,60 @@ def fit_noisy_or(sentence_doc: np.ndarray, feature: np.ndarray, sentence: np.nda
     return weights, bias
 
 
+def missed_counts(rows: DataFrame, model: Model, ids: dict[str, int], scarce: set[int]) -> dict[int, float]:
+    """(text, copies) of toxic documents -> of those that ``model`` scores under 0.5, how many
+    have each of the ``scarce`` features."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon, counts = Lexicon(ids), {}
+        for batch in batches:
+            for text, copies in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                own = scarce.intersection(set().union(*lexicon.sentences(text.as_py()).values()))
+                if own and model.score(text.as_py()) < 0.5:
+                    for f in own:
+                        counts[f] = counts.get(f, 0.0) + 1 / copies
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.float64())], ["id", "n"])
+
+    parts = rows.select("text", "copies").mapInArrow(run, "id int, n double")
+    return {r["id"]: round(r["n"]) for r in parts.groupBy("id").agg(F.sum("n").alias("n")).collect()}  # a row per scarce feature
+
+
+def beyond_chance(pos: float, neg: float, share: float, tries: int) -> bool:
+    """Would less than one of ``tries`` features have ``pos`` of its pos + neg documents in a class
+    of that share by chance (Chernoff bound)?"""
+    n = pos + neg
+    own = pos / n if n else 0.0
+    if own <= share:
+        return False
+    gap = own * np.log(own / share) + ((1 - own) * np.log((1 - own) / (1 - share)) if own < 1 else 0.0)
+    return bool(n * gap >= np.log(max(tries, 1)))
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_features: int = MAX_FEATURES) -> Model:
     """Fit on documents whose id is labelled and outside the held-out fold."""
     known = (labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")))
     # Ids and text hashes alone are shuffled; copies of a text count once, with their largest label.
     plain = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    distinct = plain.select("doc_id", "h").join(known, "doc_id").groupBy("h").agg(F.max("label").alias("label"), F.min("doc_id").alias("doc_id"))
+    distinct = (plain.select("doc_id", "h").join(known, "doc_id").groupBy("h", "doc_id").agg(F.max("label").alias("label"), F.count(F.lit(1)).alias("copies"))
+                .groupBy("h").agg(F.max("label").alias("label"), F.min(F.struct("doc_id", "copies")).alias("first"))
+                .select("h", "label", "first.doc_id", "first.copies"))
     distinct = written(distinct, "toxicity-labelled")
     sizes = {r["label"]: r["n"] for r in distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         share = float(next(iter(sizes), 0))
         return Model({}, np.zeros(0), -6.0, constant=share)
+    rows = plain.filter(~held_out(F.col("doc_id"))).join(small(distinct), ["doc_id", "h"])
+    rows = written(rows.select("doc_id", "h", "text", "label", "copies"), "toxicity-rows")
     part = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, sample / 2 / n)))])[F.col("label")]
-    chosen = distinct.filter(F.pmod(F.col("h"), F.lit(1 << 30)) / float(1 << 30) < part)  # about ``sample`` rows at most
-    picked = plain.join(small(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]).select("text", "label")
-    picked = written(picked, "toxicity-sample")
-    size = {r["label"]: r["n"] for r in picked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    pos_n, neg_n = max(1, size.get(1, 0)), max(1, size.get(0, 0))
+    chosen = rows.filter(F.pmod(F.col("h"), F.lit(1 << 30)) / float(1 << 30) < part)  # about ``sample`` texts at most
+    picked = written(chosen.dropDuplicates(["doc_id", "h"]).select("text", "label"), "toxicity-sample")
+    pos_n, neg_n = sizes[1], sizes[0]
     rate, base = (F.col("pos") + 0.5) / (pos_n + 1.0), (F.col("neg") + 0.5) / (neg_n + 1.0)
     gain = (F.col("pos") / pos_n - F.col("neg") / neg_n) * F.log(rate / base)
-    best = (feature_counts(picked).filter((F.col("pos") >= MIN_DOCS) & (rate > 2 * base))
-            .orderBy(gain.desc(), "feature").limit(max_features).select("feature").collect())
+    counts = written(feature_counts(rows), "toxicity-counts")
+    best = (counts.filter((F.col("pos") >= MIN_DOCS) & (rate > 2 * base))
+            .orderBy(gain.desc(), "feature").limit(max_features).select("feature", "neg").collect())
     ids = {r["feature"]: i for i, r in enumerate(best)}
     if not ids:
         return Model({}, np.zeros(0), -6.0, constant=pos_n / (pos_n + neg_n))
@@ -184,12 +221,26 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_features
 
     bags = picked.mapInArrow(run, "label int, sents array<array<int>>").toPandas()  # at most ``sample`` rows of ids
     doc, sentence, feature = [], [], []
+    doc_of, feature_of = [], []
     for i, sents in enumerate(bags["sents"]):
+        own = {f for s in sents for f in s}
+        feature_of += own
+        doc_of += [i] * len(own)
         for s in sents:
             feature += list(s)
             sentence += [len(doc)] * len(s)
             doc.append(i)
     weights, bias = fit_noisy_or(np.array(doc, int), np.array(feature, int), np.array(sentence, int), bags["label"].to_numpy(), len(ids))
+    toxic_docs = bags["label"].to_numpy()[np.array(doc_of, int)] > 0 if doc_of else np.zeros(0, bool)
+    seen = np.bincount(np.array(feature_of, int)[toxic_docs], minlength=len(ids))
+    if len(bags) < pos_n + neg_n:  # else the sample is the whole
+        scarce = {i for i in range(len(ids)) if weights[i] == 0 and seen[i] < 2 * MIN_DOCS}
+        if scarce:
+            missed, tries = missed_counts(rows.filter("label = 1"), Model(ids, weights, bias), ids, scarce), counts.count()
+            for i, n in missed.items():
+                odds = np.log((n + 0.5) / (pos_n + 1.0)) - np.log((best[i]["neg"] + 0.5) / (neg_n + 1.0))
+                if odds > 0 and beyond_chance(n, best[i]["neg"], pos_n / (pos_n + neg_n), tries):
+                    weights[i] = odds - bias
     used = [(f, weights[i]) for f, i in ids.items() if weights[i] != 0]
     return Model({f: i for i, (f, _) in enumerate(used)}, np.array([w for _, w in used]), bias)
 

@@ -74,6 +74,24 @@ def test_toxicity_learns_and_locates(spark, docs_of):
     assert spots and all(any(w in text[r["doc_id"]][r["start"]:r["end"]] for w in ("dreadful", "vile", "rotten")) for r in spots)
 
 
+def test_toxic_words_scarce_in_the_sample(spark, docs_of):
+    rng = random.Random(8)
+    plain = lambda: " ".join("".join(rng.choice("aeiourstn") for _ in range(5)) for _ in range(12))
+    rows = [(i, plain() + (" quibbling" if i < 100 else " dreadful" if i % 2 else ""), "en", "s") for i in range(6000)]
+    rows += [(9, rows[9][1], "en", "s")] * 4  # equal rows are one text
+    lab = spark.createDataFrame([(i, 1, int(i < 100 or i % 2)) for i in range(6000)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in X.score_documents(docs_of(rows), lab, sample=200).collect()}
+    assert all(got[i] == 1 for i in range(100)) and sum(got[i] == i % 2 for i in range(100, 6000)) >= 0.99 * 5900
+
+
+def test_toxicity_without_features_is_the_class_share(spark, docs_of):
+    rows = [(i, f"{i}", "en", "s") for i in range(400)]
+    lab = spark.createDataFrame([(i, 1, int(i % 10 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+    learnt = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    share = sum(i % 10 == 0 for i in learnt) / len(learnt)
+    assert {r["score"] for r in X.score_documents(docs_of(rows), lab, sample=40).collect()} == {share}
+
+
 def test_toxicity_without_labels(spark, docs_of):
     lab = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [r["score"] for r in X.score_documents(docs_of([(1, "a", "en", "s")]), lab).collect()] == [0.0]
