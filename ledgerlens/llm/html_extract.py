@@ -12,8 +12,12 @@ whatever its number of pages.
 
 Elements whose tag, role, class or id says menu, header, footer, sidebar, notice,
 advert, form, script, style or reader comments are deleted as well (a page seen
-once has no recurring subtrees). The text is that of the outermost ``article``
-elements, else of ``main``, else of the body.
+once has no recurring subtrees). A class or an id says so as a whole: each of its
+words names furniture or its place or shape ("site-footer", not "has-sidebar" or
+"related-work"); headings are never judged by it, and inside an article single-word
+ids are section names (but for the div of reader comments). What holds an outermost article or main is not deleted by
+role, class, id or as a form or header. The text is that of all outermost
+``article`` and ``main`` elements, else of the body.
 
 Character references are decoded; white space inside a block becomes one space;
 blocks are trimmed and joined in page order by one space; nothing else goes.
@@ -54,6 +58,14 @@ DROP_WORDS = frozenset(
     "notice notices notification notifications alert popup modal overlay newsletter subscribe subscription signup sidebar sidebars aside rail menu menus nav navbar "
     "navigation navigations breadcrumb breadcrumbs masthead topbar toolbar header footer colophon copyright comment comments disqus reply replies respond responses "
     "share sharing social related recommended recommendations widget widgets pagination pager login search searchbox skip toc-nav".split())
+#: Words beside these in a class or id that say place or shape only.
+SHAPE_WORDS = frozenset(
+    "a area bar block bottom box btn button buttons center col column container content desktop fixed floating form global group html icon icons inner item items "
+    "js left level line link links list main media mobile module outer page panel posts primary right row secondary section site slot sticky sub text thread title "
+    "toggle tool tools top unit us wrap wrapper zone body articles stories".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Deleted even when an article stands in them.
+HARD_TAGS = DROP_TAGS - {"form"}
 # An opening tag closes open elements of these kinds up to the named container.
 CLOSES = {t: (frozenset(["p"]), frozenset("button td th li article section div main aside header footer nav body table dd dt form blockquote".split()))
           for t in ("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main "
@@ -70,10 +82,10 @@ _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "digest")
+    __slots__ = ("tag", "attrs", "children", "digest", "holds")
 
     def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs, self.children, self.digest = tag, attrs, [], 0
+        self.tag, self.attrs, self.children, self.digest, self.holds = tag, attrs, [], 0, False
 
 
 def parse(page: str) -> Node:
@@ -129,15 +141,29 @@ def parse(page: str) -> Node:
     return root
 
 
-def _named(attrs: str, in_article: bool) -> bool:
-    """Do role, class, id or hidden name page furniture? An article's own header is no page header."""
+def _furniture(name: str, in_article: bool) -> bool:
+    """Does a whole class token or id name page furniture? An article's own header is no page header."""
+    words = _WORDS.findall(name)
+    telling = DROP_WORDS.intersection(words)
+    return bool(telling - {"header"} if in_article else telling) and all(w in DROP_WORDS or w in SHAPE_WORDS for w in words)
+
+
+def _named(tag: str, attrs: str, in_article: bool, holds: bool) -> bool:
+    """Do role, class, id or hidden name page furniture?"""
     for name, a, b, c in _ATTR.findall(attrs):
         name, value = name.lower(), (a or b or c).lower()
-        if name == "hidden" or name == "role" and value in DROP_ROLES:
+        if name == "hidden":
+            return True
+        if holds:
+            continue
+        if name == "role" and value in DROP_ROLES:
+            return True
+        if tag in HEADINGS:
+            continue
+        if name == "class" and any(_furniture(x, in_article) for x in value.split()):
             return True
-        if name in ("class", "id"):
-            words = DROP_WORDS.intersection(_WORDS.findall(value))
-            if words - {"header"} if in_article else words:
+        if name == "id" and _furniture(value, in_article):
+            if not in_article or len(_WORDS.findall(value)) > 1 or tag == "div" and value in ("comments", "respond", "disqus"):
                 return True
     return False
 
@@ -146,9 +172,28 @@ def says_drop(node: Node, in_article: bool) -> bool:
     """Does the element's tag, role, class or id name page furniture?"""
     if node.tag in ("html", "body", "main"):
         return False
-    if node.tag in DROP_TAGS or (node.tag == "header" and not in_article):
+    if node.tag in HARD_TAGS or not node.holds and (node.tag == "form" or node.tag == "header" and not in_article):
         return True
-    return bool(node.attrs) and _named(node.attrs, in_article)
+    return bool(node.attrs) and _named(node.tag, node.attrs, in_article, node.holds)
+
+
+def _is_main(node: Node) -> bool:
+    return node.tag == "main" or bool(node.attrs and re.search(r"\brole\s*=\s*[\"']?main\b", node.attrs))
+
+
+def mark_holders(root: Node) -> None:
+    """Set ``holds`` on what has an outermost article or a main below it that is not furniture itself."""
+    todo: list[tuple[Node, Node | None]] = [(root, None)]
+    above: dict[int, Node | None] = {}
+    while todo:
+        x, parent = todo.pop()
+        above[id(x)] = parent
+        if (x.tag == "article" or _is_main(x)) and not says_drop(x, False):
+            while parent is not None and not parent.holds:
+                parent.holds = True
+                parent = above[id(parent)]
+        if x.tag != "article":
+            todo += [(c, x) for c in x.children if isinstance(c, Node)]
 
 
 def hash_tree(node: Node, out: list[tuple[Node, bool]], in_article: bool = False) -> int:
@@ -200,25 +245,23 @@ def _texts(node: Node, template: frozenset | set, in_article: bool, out: list[st
 
 
 def _main_nodes(root: Node, template: frozenset | set) -> list[Node]:
-    """The outermost articles that are not furniture, else main elements, else the page."""
-    found: dict[str, list[Node]] = {"article": [], "main": []}
+    """The outermost articles and main elements that are not furniture, else the page."""
+    found: list[Node] = []
     todo = [root]
     while todo:
         x = todo.pop()
         if x is not root and (says_drop(x, False) or x.digest in template and x.tag not in HOLDERS):
             continue
-        is_main = x.tag == "main" or (x.attrs and re.search(r"\brole\s*=\s*[\"']?main\b", x.attrs))
-        if x.tag == "article":
-            found["article"].append(x)
+        if x.tag == "article" or _is_main(x):
+            found.append(x)
             continue
-        if is_main:
-            found["main"].append(x)
         todo += [c for c in reversed(x.children) if isinstance(c, Node)]
-    return found["article"] or found["main"][:1] or [root]
+    return found or [root]
 
 
 def main_text(page: str | None, template: frozenset | set = frozenset()) -> str:
     root = parse(page or "")
+    mark_holders(root)
     if template:
         hash_tree(root, [])
     out: list[str] = []

@@ -22,6 +22,17 @@ def test_small_pages(page, text):
     assert H.main_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<div class='layout has-sidebar'><article><p>a</article></div>", "a"), ("<div class='no-sidebar'><p>x</div>", "x"), ("<div class='content with-comments'><main>m</main></div>", "m"),
+    ("<div class='sidebar'><div><article>a</article></div></div><div class='sidebar'>s</div>", "a"), ("<form><div role=search><main>m</main></div></form>", "m"),
+    ("<article><h2 id='related-work'>R</h2><section id='search'><h3 class='login'>L</h3><p>p</section><div id='notification-settings'>n</div><p class='social-science'>s</p></article>", "R L p n s"),
+    ("<main><h1>H</h1><p>lead</p><article>a</article><div class='share-buttons'>b</div></main>", "H lead a"), ("<main>1</main><p>o</p><div role='main'>2</div><article>3</article>", "1 2 3"),
+    ("<article>a<section class='comments'><article>c</article></section></article><div id='comments'><article class='comment-body'>d</article></div>", "a"),
+    ("<div class='site-footer'>f</div><div id='cookie-notice'>c</div><div class='ad-slot'>d</div>t", "t")])
+def test_furniture_is_named_as_a_whole(page, text):
+    assert H.main_text(page) == text
+
+
 def site(n):
     return [(i, f"https://H.example/{i}", f"<div><div><em>Our shop</em></div><p>Story {i} told.</p><p>Same line.</p><div><p>All about us</p></div></div>", "z") for i in range(n)]
 
