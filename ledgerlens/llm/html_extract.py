@@ -2,13 +2,15 @@
 
 Pages are parsed into element trees (tag soup allowed). Every block element's
 subtree is hashed (tags and texts); Spark counts per host on how many different
-pages each subtree occurs, and subtrees that occur on at least ``MIN_PAGES`` pages
-and ``MIN_SHARE`` of the host's different pages are that site's template: they are
-deleted from its pages. Exact copies of a page count once, and the elements that
-hold the article itself are never template; inside an explicit article only
-containers can be, as paragraphs, headings and table cells there are content even
-when they recur. A host has at most (blocks per page) / MIN_SHARE templates,
-whatever its number of pages.
+pages each subtree occurs. Subtrees on at least ``MIN_PAGES`` pages are that site's
+template when they stand on ``MIN_SHARE`` of the host's different pages or on
+``MANY_PAGES`` of them, however many the host has: they are deleted from its pages.
+Table cells, list items and the like recur as values, so for them only the share
+counts. Exact copies of a page count once, and the elements that hold the article
+itself are never template; inside an explicit article only containers can be, as
+paragraphs, headings and table cells there are content even when they recur. A
+host's templates may be many: beyond a checked number the pages find theirs by
+joining (host, hash), a page at a time.
 
 Elements whose tag, role, class or id says menu, header, footer, sidebar, notice,
 advert, form, script, style or reader comments are deleted as well (a page seen
@@ -41,6 +43,7 @@ from ledgerlens.llm.common import BROADCAST_ROWS, written
 
 MIN_PAGES = 4
 MIN_SHARE = 0.3
+MANY_PAGES = 12
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
@@ -49,6 +52,8 @@ BLOCK = frozenset("address article aside blockquote body br caption center dd de
                   "option select button label legend".split())
 #: Content by its own right within an article, even when it recurs.
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li td th tr tbody thead table dt dd dl blockquote pre figcaption caption br hr ul ol".split())
+#: Elements whose texts are values: the same ones recur without being template.
+VALUES = frozenset("td th tr dt dd li caption".split())
 HOLDERS = frozenset("html body main article".split())
 DROP_TAGS = frozenset("head title script style noscript template nav footer aside form button select textarea input iframe object embed svg canvas dialog "
                       "menu xmp noembed noframes audio video".split())
@@ -271,45 +276,72 @@ def main_text(page: str | None, template: frozenset | set = frozenset()) -> str:
     return " ".join("".join(out).split())
 
 
-def subtrees(page: str | None) -> set[int]:
-    """Hashes (signed) of the block elements of a page that may be template."""
+def subtrees(page: str | None) -> dict[int, bool]:
+    """Hashes (signed) of the block elements of a page that may be template, with whether they are values."""
     out: list[tuple[Node, bool]] = []
     hash_tree(parse(page or ""), out)
-    return {n.digest - (1 << 64) if n.digest >> 63 else n.digest for n, _ in out}
+    return {n.digest - (1 << 64) if n.digest >> 63 else n.digest: n.tag in VALUES for n, _ in out}
 
 
 def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """host, hashes: the recurring subtrees of each host that has any."""
+def page_subtrees(pages: DataFrame) -> DataFrame:
+    """host, hash, value, page (a hash of its html) for every page and possible template; hash 0 counts the pages themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, hashes, copies = [], [], []
+            hosts, hashes, values, copies = [], [], [], []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 page = page.as_py() or ""
-                own = [0, *subtrees(page)]  # 0 counts the pages themselves
+                own = {**subtrees(page), 0: False}
                 hosts += [host] * len(own)
                 hashes += own
-                copies += [xxhash.xxh64_intdigest(page.encode("utf-8", "surrogatepass")) - (1 << 63)] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(copies, pa.int64())], ["host", "hash", "page"])
+                values += own.values()
+                copies += [page_hash(page)] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(values, pa.bool_()), pa.array(copies, pa.int64())],
+                                             ["host", "hash", "value", "page"])
 
-    seen = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, hash long, page long").distinct()
-    counts = written(seen.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages), "subtree-counts")
+    return pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, hash long, value boolean, page long").distinct()
+
+
+def page_hash(page: str | None) -> int:
+    return xxhash.xxh64_intdigest((page or "").encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def with_page_hash(rows: DataFrame) -> DataFrame:
+    """``rows`` with page: the hash of their html."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = pa.array([page_hash(x.as_py()) for x in batch.column("html")], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, own], [*batch.schema.names, "page"])
+
+    return rows.mapInArrow(run, ", ".join(f"`{c}` {kind}" for c, kind in rows.dtypes) + ", page long")
+
+
+def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, many_pages: int = MANY_PAGES) -> DataFrame:
+    """host, hash: the recurring subtrees of each host that has any."""
+    counts = page_subtrees(pages).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("value"))
+    counts = written(counts.filter(F.col("n") >= min_pages), "subtree-counts")
     of_host = counts.filter("hash = 0").select("host", F.col("n").alias("pages"))
-    often = counts.filter("hash <> 0").join(of_host, "host").filter(F.col("n") >= min_share * F.col("pages"))
-    return often.groupBy("host").agg(F.collect_set("hash").alias("hashes"))
+    often = (F.col("n") >= min_share * F.col("pages")) | ~F.col("value") & (F.col("n") >= many_pages)
+    return counts.filter("hash <> 0").join(of_host, "host").filter(often).select("host", "hash")
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, many_pages: int = MANY_PAGES,
+            broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """page_id, url, text, n_chars for every page."""
-    templates = written(site_templates(pages, min_pages, min_share), "site-templates")
+    templates = written(site_templates(pages, min_pages, min_share, many_pages), "site-templates")
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    # Hosts with templates are broadcast only up to a checked number of hashes.
-    size = templates.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()[0]
-    rows = rows.join(F.broadcast(templates) if size <= BROADCAST_ROWS else templates, "host", "left").select("page_id", "url", "html", "hashes")
+    # Hosts with templates are broadcast only up to a checked number of hashes; beyond it every page gets its own.
+    if templates.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        rows = rows.join(F.broadcast(templates.groupBy("host").agg(F.collect_set("hash").alias("hashes"))), "host", "left")
+    else:
+        own = page_subtrees(pages).join(templates, ["host", "hash"]).groupBy("host", "page").agg(F.collect_set("hash").alias("hashes"))
+        rows = with_page_hash(rows).join(written(own, "page-templates"), ["host", "page"], "left")
+    rows = rows.select("page_id", "url", "html", "hashes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

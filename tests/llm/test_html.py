@@ -51,6 +51,15 @@ def test_recurring_subtrees_go_per_host(spark):
     assert H.extract(frame(spark, [])).count() == 0
 
 
+def test_rotating_blocks_of_a_large_host_go(spark):
+    rows = [(i, f"https://big.example/{i}", f"<div><p>Story {i} told.</p><div><b>Advert {i % 20}</b></div><table><tr><td>Row {i}<td>{i % 20}</table></div>", "z") for i in range(600)]
+    rows += [(1000 + i, f"/r{i}", f"<p>Page {i}</p><div>Offer {i % 30}</div>", "z") for i in range(600)]  # without a host
+    for most in (100_000, 0):
+        got = {r["page_id"]: r["text"] for r in H.extract(frame(spark, rows), broadcast_rows=most).collect()}
+        assert len(got) == len(rows) and all(got[i] == f"Story {i} told. Row {i} {i % 20}" for i in range(600))
+        assert all(got[1000 + i] == f"Page {i}" for i in range(600))
+
+
 def test_common_paragraphs_of_articles_stay(spark):
     rows = [(i, "https://a.example/x", f"<div class='box'><p>Shop</p></div><article><h1>N{i}</h1><div><span>promo text</span></div><p>Same passage.</p></article>", "z") for i in range(8)]
     assert {r["text"] for r in H.extract(frame(spark, rows)).collect()} == {f"N{i} Same passage." for i in range(8)}
