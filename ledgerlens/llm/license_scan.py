@@ -1,18 +1,20 @@
 """License scans: TF-IDF cosine to templates, then inheritance by directory.
 
-Units to compare are header lines (lines with a license marker) and the whole
-text of licence files (by file name). Every unit is a sparse vector of its words,
-weighted tf * idf; the idf of the templates' words comes from all units, and a
-word outside the templates weighs as one that occurs in a single unit. The cosine
-with every template needs the templates' words only, and they, their idf and the
-template vectors are tables bounded by ``TEMPLATES``. A file's own license is its
+Units to compare are header lines (lines with a license marker), runs of
+neighbouring header lines and the whole text of licence files (by file name). Every
+unit is a sparse vector of its words, weighted tf * idf, the idf of every word from
+the count of all units that have it. Runs and whole texts are also compared with
+full-length licence texts (``FULL_TEMPLATES``). The cosine with every template needs
+the templates' words only, and they, their idf and the
+template vectors are tables bounded by the templates. A file's own license is its
 best unit at or over ``threshold``; a file without one takes that of the nearest
 ancestor directory that holds a licence file, found by joining its ancestors' paths
 with the directories' licenses.
 
 Built-in functions only. The units are written once (a file's whole text only if its
 name says licence file) and their words are counted with partial aggregation, by
-unit, so no word is a hot key; the join by directory meets at most one row per
+unit; the idf of the ``COMMON`` most frequent words is broadcast and only the others
+are joined by word, so no word is a hot key; the join by directory meets at most one row per
 directory.
 
 Defined cases: null text = empty; null path = the root directory and no licence
@@ -56,6 +58,39 @@ TEMPLATES = (
     ("Proprietary", "All rights reserved"),
 )
 
+_AS_IS = (' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A '
+          "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+          "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution. ")
+_BSD_3 = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific "
+          "prior written permission. ")
+_BSD_END = ('THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES '
+            "OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, "
+            "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR "
+            "BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY "
+            "WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+# Full-length texts, compared with runs of lines and licence files only.
+FULL_TEMPLATES = (
+    ("MIT", "MIT License Copyright (c) Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "
+            '"Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or '
+            "sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this "
+            "permission notice shall be included in all copies or substantial portions of the Software." + _AS_IS),
+    ("BSD-2-Clause", _BSD + _BSD_END),
+    ("BSD-3-Clause", _BSD + _BSD_3 + _BSD_END),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License '
+                   "at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+                   '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and '
+                   "limitations under the License."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, "
+                "either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+                "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have "
+                "received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."),
+)
+COMMON = 20_000  # most frequent words whose idf is broadcast
+
 
 def words(text: Column) -> Column:
     """Lower-case words; a version such as 2.0 is one word."""
@@ -63,49 +98,60 @@ def words(text: Column) -> Column:
 
 
 def template_terms(spark: SparkSession) -> DataFrame:
-    """template, license, term, tf."""
-    t = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(TEMPLATES)], "template int, license string, body string")
-    return t.select("template", "license", F.explode(words(F.col("body"))).alias("term")).groupBy("template", "license", "term").agg(F.count(F.lit(1)).alias("tf"))
+    """template, license, whole (for runs and licence files only), term, tf."""
+    rows = [(i, a, i >= len(TEMPLATES), b) for i, (a, b) in enumerate(TEMPLATES + FULL_TEMPLATES)]
+    t = spark.createDataFrame(rows, "template int, license string, whole boolean, body string")
+    return t.select("template", "license", "whole", F.explode(words(F.col("body"))).alias("term")).groupBy("template", "license", "whole", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def license_units(files: DataFrame) -> DataFrame:
-    """(file_id, path, text) -> file_id, unit, licence_file, words. Unit 0 is a licence
-    file's whole text; header lines count from 1."""
+    """(file_id, path, text) -> file_id, unit, licence_file, whole, words. Unit 0 is a licence
+    file's whole text; header lines count from 1, runs of neighbouring ones follow. ``whole``: not a
+    single line."""
     text = F.coalesce("text", F.lit(""))
     is_file = F.coalesce(F.rlike(F.col("path"), F.lit(LICENCE_FILE)), F.lit(False))
     rows = files.select("file_id", is_file.alias("licence_file"), text.alias("text"))
     # One cheap test of the whole text spares most files the split into lines.
     rows = rows.filter(F.col("licence_file") | F.rlike("text", F.lit(MARKER)))
-    lines = F.filter(F.split("text", r"\r\n|\r|\n", -1), lambda x: F.rlike(x, F.lit(MARKER)))
-    rows = rows.withColumn("units", F.concat(F.array(F.when(F.col("licence_file"), F.col("text"))), lines))
-    rows = rows.select("file_id", "licence_file", F.posexplode_outer("units").alias("unit", "body")).filter("body is not null")
-    return rows.select("file_id", "unit", "licence_file", words(F.col("body")).alias("words"))
+    marked = lambda x: F.rlike(x, F.lit(MARKER))
+    every = F.split("text", r"\r\n|\r|\n", -1)
+    rows = rows.withColumn("lines", F.filter(every, marked))
+    # Other lines become empty, so header lines with one line break between them are neighbours.
+    only = F.array_join(F.transform(every, lambda x: F.when(marked(x), x).otherwise("")), "\n")
+    runs = F.filter(F.transform(F.split(only, "\n{2,}", -1), lambda x: F.regexp_replace(x, "^\n|\n$", "")), lambda x: F.contains(x, F.lit("\n")))
+    runs = F.when(F.size("lines") > 1, runs).otherwise(F.array().cast("array<string>"))
+    bodies = F.concat(F.array(F.when(F.col("licence_file"), F.col("text"))), F.col("lines"), runs)
+    rows = rows.select("file_id", "licence_file", F.size("lines").alias("n"), F.posexplode_outer(bodies).alias("unit", "body")).filter("body is not null")
+    whole = (F.col("unit") == 0) | (F.col("unit") > F.col("n"))
+    return rows.select("file_id", "unit", "licence_file", whole.alias("whole"), words(F.col("body")).alias("words"))
 
 
 def unit_scores(units: DataFrame) -> DataFrame:
     """Best template of each unit: file_id, unit, licence_file, license, score."""
     spark = units.sparkSession
     templates = F.broadcast(template_terms(spark))  # bounded by TEMPLATES
-    vocabulary = [r["term"] for r in templates.select("term").distinct().orderBy("term").collect()]
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    n, dfs = units.count(), units.select(F.explode(F.array_intersect("words", known)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    df = {r["term"]: r["df"] for r in dfs.collect()}  # at most one row per template word
-    idf_rows = spark.createDataFrame([(w, df.get(w, 0)) for w in vocabulary], "term string, df long")
-    idf = F.broadcast(idf_rows.select("term", (F.log((F.lit(n) + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf")))
-    outside = F.log(F.lit((n + 1.0) / 2.0)) + 1.0
-    weights = templates.join(idf, "term").select("template", "license", "term", (F.col("tf") * F.col("idf")).alias("tw"))
+    key = ["file_id", "unit", "licence_file", "whole"]
+    n = units.count()
+    terms = units.withColumn("row", F.monotonically_increasing_id()).select("row", *key, F.explode("words").alias("term"))
+    tf = written(terms.groupBy("row", *key, "term").agg(F.count(F.lit(1)).alias("tf")), "license-terms")
+    weigh = F.log((F.lit(n) + 1.0) / (F.col("df") + 1.0)) + 1.0
+    dfs = written(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "license-words")
+    known = templates.select("term").distinct()
+    idf = F.broadcast(known.join(dfs, "term", "left").select("term", (F.log((F.lit(n) + 1.0) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1.0).alias("idf")))
+    often = F.broadcast(written(dfs.orderBy(F.desc("df"), "term").limit(COMMON), "license-common"))
+    rare = dfs.join(often.select("term"), "term", "left_anti")
+    squares = tf.join(often, "term").select("row", (F.col("tf") * weigh).alias("w"))
+    squares = squares.unionByName(tf.join(often.select("term"), "term", "left_anti").join(rare, "term").select("row", (F.col("tf") * weigh).alias("w")))
+    norm = squares.groupBy("row").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    weights = templates.join(idf, "term").select("template", "license", F.col("whole").alias("for_whole"), "term", (F.col("tf") * F.col("idf")).alias("tw"))
     norms = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tnorm"))
     weights = F.broadcast(weights.join(norms, "template"))
-    key = ["file_id", "unit", "licence_file"]
-    terms = units.withColumn("row", F.monotonically_increasing_id()).select("row", *key, F.explode("words").alias("term"))
-    tf = terms.groupBy("row", *key, "term").agg(F.count(F.lit(1)).alias("tf"))
-    tf = tf.join(idf, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", outside))
-    norm = tf.groupBy("row", *key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.collect_list(F.when(F.col("idf").isNotNull(), F.struct("term", "w"))).alias("in"))
-    dots = (norm.select("row", *key, "norm", F.explode("in").alias("x")).join(weights, F.col("x.term") == weights["term"])
-            .groupBy("row", *key, "norm", "template", "license", "tnorm").agg(F.sum(F.col("x.w") * F.col("tw")).alias("dot")))
-    scored = dots.select("row", *key, "template", "license", F.round(F.col("dot") / (F.col("norm") * F.col("tnorm")), 9).alias("score"))
+    inside = tf.join(idf, "term").select("row", *key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    dots = (inside.join(weights, "term").filter(F.col("whole") | ~F.col("for_whole"))
+            .groupBy("row", *key, "template", "license", "tnorm").agg(F.sum(F.col("w") * F.col("tw")).alias("dot")))
+    scored = dots.join(norm, "row").select("row", *key, "template", "license", F.round(F.col("dot") / (F.col("norm") * F.col("tnorm")), 9).alias("score"))
     best = F.max(F.struct(F.col("score"), (-F.col("template")).alias("first"), F.col("license"))).alias("b")
-    return scored.groupBy("row", *key).agg(best).select(*key, F.col("b.license").alias("license"), F.col("b.score").alias("score"))
+    return scored.groupBy("row", *key).agg(best).select("file_id", "unit", "licence_file", F.col("b.license").alias("license"), F.col("b.score").alias("score"))
 
 
 def directory(path: Column) -> Column:

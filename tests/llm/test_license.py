@@ -38,3 +38,21 @@ def test_cosine_equals_brute_force(spark):
         norm = lambda c: math.sqrt(sum((n * idf(w)) ** 2 for w, n in c.items()))
         best = max(sum(u[w] * t[w] * idf(w) ** 2 for w in t) / norm(u) / norm(t) for _, t in temps)
         assert abs(got[i]["score"] - best) < 1e-8
+
+
+def test_a_header_keeps_its_score_on_a_larger_table(spark):
+    head = [(i, f"p/{i}", "Copyright 2020 Released under the MIT License") for i in range(5)]
+    few = head + [(100 + i, f"q/{i}", f"warranty of w{chr(97 + i % 26)} and more") for i in range(40)]
+    many = few + [(1000 + i, f"q/{i}", "warranty of other things and more") for i in range(4000)]
+    scores = [next(r for r in S.scan(frame(spark, rows)).filter("file_id = 0").collect()) for rows in (few, many)]
+    assert all(r["license"] == "MIT" and r["score"] >= 0.7 for r in scores)
+
+
+def test_runs_of_lines_and_full_texts(spark):
+    full = [(10 + i, f"l{i}/LICENSE", f"Copyright (c) 2021 Jane Doe {i}\n\n{t}") for i, (_, t) in enumerate(S.FULL_TEMPLATES)]
+    run = (1, "r/x.py", 'import os\n# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file except in compliance with the License')
+    other = [(100 + i, f"z/{i}", "warranty of other things and more") for i in range(500)]
+    got = {r["file_id"]: (r["license"], r["found"]) for r in S.scan(frame(spark, [*full, run, *other])).collect()}
+    assert all(got[10 + i] == (lic, "own") for i, (lic, _) in enumerate(S.FULL_TEMPLATES)) and got[1] == ("Apache-2.0", "own")
+    units = S.license_units(frame(spark, [run])).collect()
+    assert sorted((r["unit"], r["whole"], len(r["words"])) for r in units)[-1] == (3, True, 21)  # 9 words and 12
