@@ -6,8 +6,10 @@ every vector lies in one cell. A vector visits cells in the order of a
 multi-sequence traversal: by rising sum of the two halves' squared distances to
 the cells' borders, up to the radius at which the target recall is reached. That
 radius is calibrated for the hardest links, those right at the threshold: sampled
-vectors are moved in random directions to exactly that cosine, and the radius is
-the quantile of the sums of the cells they land in. A link is found when either
+vectors are moved to exactly that cosine, once in random directions and once
+towards other sampled vectors of their label (along which the data vary and the
+cells' borders lie), and the radius is the larger quantile of the sums of the cells
+they land in. A link is found when either
 end visits the other's cell, and each found pair is verified by its cosine in
 double precision. Labels keep their own lists: only equal, non-null labels meet.
 
@@ -58,20 +60,32 @@ def nearest(x: np.ndarray, codes: np.ndarray) -> np.ndarray:
 class MultiIndex:
     """Two codebooks and the traversal radius for one vector length."""
 
-    def __init__(self, x: np.ndarray, codes: int, threshold: float, target_recall: float, seed: int = 11):
+    def __init__(self, x: np.ndarray, codes: int, threshold: float, target_recall: float, seed: int = 11, labels: np.ndarray | None = None):
         self.cut = x.shape[1] // 2
         self.books = [kmeans(h, codes, seed=seed + i) if h.shape[1] else np.zeros((1, 0)) for i, h in enumerate(self.halves(x))]
         self.gaps = [np.maximum(np.sqrt(np.maximum(((b[:, None] - b[None]) ** 2).sum(2), 0)), 1e-12) for b in self.books]
         rng = np.random.default_rng(seed)
-        noise = rng.standard_normal(x.shape)
-        noise -= (noise * x).sum(1, keepdims=True) * x
-        size = np.linalg.norm(noise, axis=1, keepdims=True)
-        moved = threshold * x + np.sqrt(max(0.0, 1 - threshold ** 2)) * noise / np.where(size > 0, size, 1)
         b1, b2 = self.borders(x)
-        i, j = self.cells(moved)
-        at = np.arange(len(x))
-        sums = b1[at, i] + b2[at, j]
-        self.radius = float(np.quantile(sums, target_recall)) + 1e-9 if len(x) else 1e-9
+        radii = [0.0]
+        for way in (rng.standard_normal(x.shape), x[self.partners(len(x), labels, rng)] - x):
+            way = way - (way * x).sum(1, keepdims=True) * x
+            size = np.linalg.norm(way, axis=1)
+            at = np.flatnonzero(size > 1e-9)  # a vector may have no other to move to
+            if len(at):
+                i, j = self.cells(threshold * x[at] + np.sqrt(max(0.0, 1 - threshold ** 2)) * way[at] / size[at, None])
+                radii.append(float(np.quantile(b1[at, i] + b2[at, j], target_recall)))
+        self.radius = max(radii) + 1e-9
+
+    @staticmethod
+    def partners(n: int, labels: np.ndarray | None, rng: np.random.Generator) -> np.ndarray:
+        """For each vector another one of its label (itself when it is alone)."""
+        order = rng.permutation(n)
+        kinds = np.zeros(n, int) if labels is None else np.unique(labels, return_inverse=True)[1]
+        order = order[np.argsort(kinds[order], kind="stable")]
+        out = np.empty(n, int)
+        for own in np.split(order, np.flatnonzero(np.diff(kinds[order])) + 1):
+            out[own] = np.roll(own, 1)
+        return out
 
     def halves(self, x: np.ndarray) -> list[np.ndarray]:
         return [x[:, :self.cut], x[:, self.cut:]]
@@ -158,9 +172,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     groups = nodes.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("labels")).collect()  # a row per length
     books: dict[int, MultiIndex] = {}
     for g in groups:
-        picked = nodes.filter(F.col("dim") == g["dim"]).select("v", F.xxhash64("id").alias("h")).orderBy("h").limit(sample).toPandas()
+        picked = nodes.filter(F.col("dim") == g["dim"]).select("v", "label", F.xxhash64("id").alias("h")).orderBy("h").limit(sample).toPandas()
         codes = int(np.clip(np.sqrt(g["n"] / g["labels"] / per_cell), 1, MAX_CODES))
-        books[g["dim"]] = MultiIndex(_unit(picked["v"]), codes, threshold, target_recall)
+        books[g["dim"]] = MultiIndex(_unit(picked["v"]), codes, threshold, target_recall, labels=picked["label"].to_numpy(str))
 
     def deal(batches):
         """Each node once as a resident of its cell and once per first-half cell it visits."""

@@ -64,3 +64,18 @@ def test_bad_vectors_copies_and_empty(spark, vectors_of):
     assert got(vectors_of([])) == []
     one = I.near_duplicates(vectors_of([(None, [1.0, 2.0], 1)])).collect()[0]
     assert one["vec_id"] is None and one["n_links"] == 0 and one["kept"]
+
+
+def test_recall_of_pairs_that_differ_inside_the_data():
+    rng = np.random.default_rng(4)
+    for rank in (4, 16):
+        basis = np.linalg.qr(rng.standard_normal((64, rank)))[0].T
+        x = rng.standard_normal((4000, rank))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        way = rng.standard_normal(x.shape)
+        way -= (way * x).sum(1, keepdims=True) * x
+        y = (0.935 * x + np.sqrt(1 - 0.935 ** 2) * way / np.linalg.norm(way, axis=1, keepdims=True)) @ basis
+        x, at = x @ basis, np.arange(len(x))
+        book = I.MultiIndex(x, 31, 0.93, 0.995)
+        (i, j), (k, m), (b1, b2), (c1, c2) = book.cells(x), book.cells(y), book.borders(x), book.borders(y)
+        assert np.mean((b1[at, k] + b2[at, m] <= book.radius) | (c1[at, i] + c2[at, j] <= book.radius)) >= 0.99
