@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,3 +46,21 @@ def held_out(doc_id: Column) -> Column:
 def words_in(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` runs; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def text_runs(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...], size: int) -> Iterator[list[pa.Array]]:
+    """The columns' rows in runs of about ``size`` bytes of the column ``text``, whatever the
+    batches are; a text is never cut."""
+    held, room = [], size
+    for batch in batches:
+        start = 0
+        for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()):
+            room -= n + 8
+            if room <= 0:
+                held.append(batch.slice(start, i + 1 - start))
+                yield [pa.chunked_array([h.column(c) for h in held]).combine_chunks() for c in columns]
+                held, room, start = [], size, i + 1
+        if start < len(batch):
+            held.append(batch.slice(start))
+    if held:
+        yield [pa.chunked_array([h.column(c) for h in held]).combine_chunks() for c in columns]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import (chat_format, context_tree, conversation_repair, html_extract, language_id, license_scan, mixing, multi_index, oracles, packing, simhash,
-                            topk_pivots, toxicity)
+                            source_divergence, topk_pivots, toxicity)
 from ledgerlens.llm.common import load
 
 
@@ -69,10 +69,15 @@ def op12_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score(load(spark, sf_dir, "documents"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(load(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_chat_format, op2_embedding_near_dedup, op3_toxicity, op4_mix_sources, op5_topk_pivots, op6_language_id,
-                                    op7_license_scan, op8_html_main_text, op9_simhash_near_dedup, op10_best_two_fit, op11_conversation_repair, op12_context_tree)}
+                                    op7_license_scan, op8_html_main_text, op9_simhash_near_dedup, op10_best_two_fit, op11_conversation_repair, op12_context_tree, op13_source_divergence)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": oracles.CHAT, "op2_embedding_near_dedup": oracles.EMBEDDINGS, "op4_mix_sources": oracles.MIX, "op5_topk_pivots": oracles.TOPK}
+    return {"op1_chat_format": oracles.CHAT, "op2_embedding_near_dedup": oracles.EMBEDDINGS, "op4_mix_sources": oracles.MIX, "op5_topk_pivots": oracles.TOPK,
+            "op11_conversation_repair": oracles.REPAIR, "op13_source_divergence": oracles.DIVERGENCE}
