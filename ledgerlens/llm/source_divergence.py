@@ -43,7 +43,7 @@ TOP = 10
 #: Sources of a block, and parts into which the terms of a pair of blocks are dealt.
 BLOCK, PARTS = 128, 32
 #: Bytes of text counted at once in a task.
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 #: Terms a task holds in its skybands before it passes them on.
 HELD = 200_000
 
