@@ -1,7 +1,7 @@
 """Chunking, TF-IDF indexing and top-k retrieval as DataFrame jobs over
 tables of documents and questions (SURVEY §2.J, J1-J9).
 
-* Chunking is a per-document higher-order fold (``aggregate``) in the JVM.
+* Chunking folds the paragraphs of one document after the other, in Arrow batches.
 * The TF-IDF index is relational: explode terms, ``groupBy(unit, term)``
   for tf, ``groupBy(term)`` for df, join, L2-normalise.
 * Scoring is a sparse inverted-index join on ``term`` (never a dense cross
@@ -13,9 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.functions.expr import py_strip
 from ledgerlens.functions.stopwords import ENGLISH
@@ -38,80 +41,81 @@ def guard_normalize(c: Column) -> Column:
     return normalize_whitespace(F.lower(c.cast("string")))
 
 
-_STRIP = r"'(?U)^\\s+|\\s+$'"
-_LSTRIP = r"'(?U)^\\s+'"
+def chunk_text(text: str, max_chars: int, overlap_chars: int) -> list[tuple[str, int, int]]:
+    """J2 for one text: (chunk, start, end) of chunks of whole paragraphs.
+
+    Paragraph bounds and the running total of their widths are computed once; a chunk's last
+    paragraph is then found by binary search in the totals and its text joined once, so the
+    work is linear in the text."""
+    norm = text.replace("\r\n", "\n").replace("\r", "\n").strip()
+    raw = norm.split("\n\n")
+    begins = np.cumsum([0, *(len(p) + 2 for p in raw)])[:-1]
+    bodies, starts = [], []
+    for p, at in zip(raw, begins.tolist()):
+        body = p.strip()
+        if body:
+            bodies.append(body)
+            starts.append(at + len(p) - len(p.lstrip()))
+    upto = np.cumsum([len(b) + 2 for b in bodies])  # width of the paragraphs up to each, separators included
+    out, i, before = [], 0, None                    # before: the chunk that the next one overlaps
+    while i < len(bodies):
+        body, start = bodies[i], starts[i]
+        if before is None and len(body) > max_chars:
+            out += [(norm[s:min(s + max_chars, start + len(body))], s, min(s + max_chars, start + len(body))) for s in range(start, start + len(body), max_chars)]
+            i += 1
+            continue
+        first = body
+        if before is not None:
+            shared = before[len(before) - overlap_chars:] if len(before) > overlap_chars else before
+            shared = shared if overlap_chars else ""
+            first, start = f"{shared}\n\n{body}".strip(), max(0, start - len(shared))
+        after = max(i + 1, int(np.searchsorted(upto, upto[i] + max_chars - len(first), side="right")))
+        before = "\n\n".join([first, *bodies[i + 1:after]])
+        out.append((before, start, start + len(before)))
+        i = after
+    return out
 
 
-def chunk_column(text: Column, max_chars: int = 900, overlap_chars: int = 120) -> Column:
-    """array<struct<text, start_char, end_char>> per document.
-
-    Paragraphs ('\\n\\n'-separated, stripped, non-empty) are folded into
-    chunks of at most ``max_chars`` characters; a chunk that overflows is
-    emitted and the next one starts with the last ``overlap_chars``
-    characters; a paragraph longer than ``max_chars`` arriving on an empty
-    buffer is hard-split into consecutive, non-overlapping pieces. A long
-    paragraph arriving after a non-empty buffer is kept whole (it may exceed
-    ``max_chars``), and offsets come from a forward ``find`` — both as in the
-    behaviour being matched.
-    """
+def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    max_chars: int = 900, overlap_chars: int = 120) -> DataFrame:
+    """J2 + J3: one row per chunk: (source id, chunk_ordinal, chunk_id, text,
+    start_char, end_char). ``chunk_id`` = '<source>:<ordinal>'.
+
+    Paragraphs (parted by blank lines, stripped, non-empty) are folded into chunks of at
+    most ``max_chars`` characters; the chunk after a full one starts with the last
+    ``overlap_chars`` characters of it. A paragraph longer than ``max_chars`` is cut into
+    pieces without overlap where no chunk is open, and kept whole behind an overlap. A text
+    is folded in one task, row by row (:func:`chunk_text`); nothing is shuffled."""
     if max_chars <= 100:
         raise ValueError("max_chars must be greater than 100.")
     if overlap_chars < 0:
         raise ValueError("overlap_chars cannot be negative.")
     if overlap_chars >= max_chars:
         raise ValueError("overlap_chars must be smaller than max_chars.")
-    norm = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "\r\n", "\n"), "\r", "\n"),
-                            r"(?U)^\s+|\s+$", "")
-    m, ov = max_chars, overlap_chars
-    chunk_t = "array<struct<text:string,start_char:int,end_char:int>>"
-    # pass 1: paragraph start offsets (forward find from the running cursor)
-    paras = f"filter(transform(split(_norm, '\\n\\n'), p -> regexp_replace(p, {_STRIP}, '')), p -> p != '')"
-    located = f"""aggregate({paras},
-      named_struct('ps', CAST(array() AS array<struct<p:string,s:int>>), 'cursor', 0),
-      (acc, p) -> named_struct(
-        'ps', concat(acc.ps, array(named_struct('p', p, 's',
-              IF(locate(p, _norm, acc.cursor + 1) > 0, locate(p, _norm, acc.cursor + 1) - 1, acc.cursor)))),
-        'cursor', IF(locate(p, _norm, acc.cursor + 1) > 0, locate(p, _norm, acc.cursor + 1) - 1, acc.cursor)
-                  + length(p)),
-      acc -> acc.ps)"""
-    cand = "IF(acc.cur = '', x.p, concat(acc.cur, '\\n\\n', x.p))"
-    ovt = f"right(acc.cur, {ov})" if ov > 0 else "''"
-    fold = f"""aggregate(_paras,
-      named_struct('chunks', CAST(array() AS {chunk_t}), 'cur', '', 'st', 0),
-      (acc, x) -> CASE
-        WHEN length({cand}) <= {m} THEN
-          named_struct('chunks', acc.chunks, 'cur', {cand}, 'st', IF(acc.cur = '', x.s, acc.st))
-        WHEN acc.cur != '' THEN
-          named_struct('chunks', concat(acc.chunks, array(named_struct('text', acc.cur, 'start_char', acc.st,
-                                                                      'end_char', acc.st + length(acc.cur)))),
-                       'cur', regexp_replace(concat({ovt}, '\\n\\n', x.p), {_LSTRIP}, ''),
-                       'st', greatest(0, x.s - length({ovt})))
-        ELSE
-          named_struct('chunks', concat(acc.chunks, transform(sequence(x.s, x.s + length(x.p) - 1, {m}),
-                         s -> named_struct('text', substring(_norm, s + 1, least({m}, x.s + length(x.p) - s)),
-                                           'start_char', s, 'end_char', least(s + {m}, x.s + length(x.p))))),
-                       'cur', '', 'st', acc.st)
-      END,
-      acc -> IF(acc.cur != '', concat(acc.chunks, array(named_struct('text', acc.cur, 'start_char', acc.st,
-                                                                    'end_char', acc.st + length(acc.cur)))),
-                acc.chunks))"""
-    return norm, F.expr(located), F.expr(fold)
 
-
-def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    max_chars: int = 900, overlap_chars: int = 120) -> DataFrame:
-    """One row per chunk: (source id, chunk_ordinal, chunk_id, text,
-    start_char, end_char). ``chunk_id`` = '<source>:<ordinal>'."""
-    norm, located, fold = chunk_column(F.col(text_col), max_chars, overlap_chars)
-    staged = (docs.select(F.col(id_col).alias("source"), norm.alias("_norm"))
-              .withColumn("_paras", located))
-    chunks = (staged.select("source", F.posexplode_outer(fold).alias("chunk_ordinal", "c"))
-              .where(F.col("chunk_ordinal").isNotNull()))
-    return chunks.select(
+    def fold(batches):
+        names = ["row", "chunk_ordinal", "text", "start_char", "end_char"]
+        for batch in batches:
+            rows, size = [], 0
+            for at, text in enumerate(batch.column("_t").to_pylist()):
+                for n, (chunk, start, end) in enumerate(chunk_text(text, max_chars, overlap_chars)):
+                    rows.append((at, n, chunk, start, end))
+                    size += len(chunk)
+                if size > 8_000_000 or at == len(batch) - 1:
+                    if rows:
+                        columns = dict(zip(names, zip(*rows)))
+                        source = batch.column("source").take(pa.array(columns.pop("row"), pa.int64()))
+                        yield pa.RecordBatch.from_arrays(
+                            [source, *(pa.array(columns[c], pa.string() if c == "text" else pa.int32()) for c in names[1:])], names=["source", *names[1:]])
+                    rows, size = [], 0
+
+    staged = docs.select(F.col(id_col).alias("source"), F.col(text_col).alias("_t")).where(F.col("_t").isNotNull())
+    schema = T.StructType([T.StructField("source", docs.schema[id_col].dataType), T.StructField("chunk_ordinal", T.IntegerType()),
+                           T.StructField("text", T.StringType()), T.StructField("start_char", T.IntegerType()), T.StructField("end_char", T.IntegerType())])
+    return staged.mapInArrow(fold, schema).select(
         "source", "chunk_ordinal",
         F.concat(F.col("source").cast("string"), F.lit(":"), F.col("chunk_ordinal").cast("string")).alias("chunk_id"),
-        F.col("c.text").alias("text"), F.col("c.start_char").alias("start_char"),
-        F.col("c.end_char").alias("end_char"))
+        "text", "start_char", "end_char")
 
 
 def tokens_column(text: Column) -> Column:
@@ -144,11 +148,10 @@ def explode_terms(df: DataFrame, key: str, text: Column, stop_words: Sequence[st
 def tfidf_raw(units: DataFrame, unit_col: str, text_col: str = "text",
               stop_words: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """J5 building blocks: (raw(unit, term, raw = tf*idf), idf(term, df, idf),
-    norms(unit, norm)). Units are hash-partitioned by id first, so the
-    (unit, term) term-frequency aggregate needs no further shuffle; ``raw`` is
-    left partitioned by term (its join key with idf), and ``norms`` is a
-    partially aggregated per-unit sum of squares."""
-    docs = units.select(F.col(unit_col).alias("unit"), F.col(text_col).alias("_t")).repartition("unit")
+    norms(unit, norm)). Terms are counted where the texts are read (a partial aggregate),
+    so no text is shuffled; ``raw`` is left partitioned by term (its join key with idf),
+    and ``norms`` is a partially aggregated per-unit sum of squares."""
+    docs = units.select(F.col(unit_col).alias("unit"), F.col(text_col).alias("_t"))
     terms = explode_terms(docs, "unit", F.col("_t"), stop_words)
     tf = terms.groupBy("unit", "term").agg(F.count(F.lit(1)).alias("tf"))
     # corpus size as a scalar subquery (one value, no join needed)

@@ -184,8 +184,10 @@ def q_lineitem_categorical_drift(spark, sf):
 WIN_CUT = "1996-01-01"
 
 
-@register("windowed_drift", f"""WITH src AS (SELECT * FROM lineitem),
-nl AS (SELECT * FROM ({' UNION ALL '.join(f"SELECT CASE WHEN l_shipdate < TIMESTAMP '{WIN_CUT}' THEN NULL ELSE year(l_shipdate) END AS w, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM src" for f in LI_NUMERIC)})
+def windowed_drift_sql(window: str, kind: str) -> str:
+    """Twin of a windowed drift: PSI of every window of shipments against those before ``WIN_CUT``."""
+    return f"""WITH src AS (SELECT * FROM lineitem),
+nl AS (SELECT * FROM ({' UNION ALL '.join(f"SELECT CASE WHEN l_shipdate < TIMESTAMP '{WIN_CUT}' THEN NULL ELSE {window} END AS w, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM src" for f in LI_NUMERIC)})
       WHERE value IS NOT NULL AND NOT isnan(value)),
 q AS (SELECT feature, quantile_cont(value, [{', '.join(_lit(q) for q in G.quantile_levels(N_BINS))}]) AS qs, min(value) AS mn, max(value) AS mx
       FROM nl WHERE w IS NULL GROUP BY feature),
@@ -203,9 +205,12 @@ pr AS (SELECT g.w, g.feature, g.n,
          greatest(coalesce(r.c, 0) / CAST(rn.n AS DOUBLE), 1e-6) AS rp, greatest(coalesce(c.c, 0) / CAST(g.n AS DOUBLE), 1e-6) AS cp
        FROM grid g LEFT JOIN cc c ON c.w = g.w AND c.feature = g.feature AND c.bin = g.bin
        LEFT JOIN rc r ON r.feature = g.feature AND r.bin = g.bin JOIN rn ON rn.feature = g.feature)
-SELECT CAST(w AS INTEGER) AS window, feature AS feature_name, max(n) AS current_count,
+SELECT CAST(w AS {kind}) AS window, feature AS feature_name, max(n) AS current_count,
   round_even(greatest(0e0, sum((cp - rp) * ln(cp / rp))), {R9}) AS population_stability_index
-FROM pr GROUP BY w, feature""")
+FROM pr GROUP BY w, feature"""
+
+
+@register("windowed_drift", windowed_drift_sql("year(l_shipdate)", "INTEGER"))
 def q_windowed_drift(spark, sf):
     """Lineitem PSI per shipping year against the rows shipped before 1996."""
     li = read_table(spark, sf, "lineitem")

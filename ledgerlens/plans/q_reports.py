@@ -1,22 +1,12 @@
-"""Registered report queries: summary texts and the streaming case-status state (rows-only checks: free
-text, or streaming drains compared to batch in the tests)."""
+"""Registered report queries: summary texts."""
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import functions as F
-
-from ledgerlens.operators import cases as CS
 from ledgerlens.operators import drift as G
 from ledgerlens.operators import metrics as H
 from ledgerlens.plans import q_drift as QD
 from ledgerlens.plans import q_metrics as QM
-from ledgerlens.plans.q_streaming import _stream
 from ledgerlens.plans.registry import ORACLES, register
-from ledgerlens.sources.fixtures import case_events_orders
-from ledgerlens.sources.tables import read_table, table_path
-from ledgerlens.streaming import scoring as S
 
 
 @register("monitoring_summary_text")
@@ -37,15 +27,3 @@ SELECT model, 'Calibration summary for ' || model || E':\\n- Samples: ' || sampl
 def q_calibration_text(spark, sf):
     """Per-model calibration summary text."""
     return H.calibration_text(H.calibration_summary(QM.score_long(spark, sf), QM.N_BINS))
-
-
-@register("stream_case_status")
-def q_stream_case_status(spark, sf):
-    """Latest case status from a stream of status events derived from orders."""
-    orders = _stream(spark, sf, "orders")
-    ev = case_events_orders(orders).select(
-        CS.case_id_column(F.col("transaction_id")).alias("case_id"), "status",
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("updated_at"))
-    base = S.shared_dir(spark, "stream_case_status")
-    path = os.path.join(base, "out")
-    return S.run_state_table(S.latest_status_stream(ev), path, os.path.join(base, "ckpt"), "case_id")

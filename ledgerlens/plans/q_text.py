@@ -106,6 +106,48 @@ def q_chunks(spark, sf):
     return R.chunk_documents(_docs(spark, sf))
 
 
+CONV_MAX, CONV_OVERLAP = 400, 60
+
+
+def _conversation_texts(spark, sf):
+    """A conversation as one text: its turns, parted by blank lines."""
+    turns = read_table(spark, sf, "conversations").groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    return turns.select("conv_id", F.array_join(F.transform("t", lambda t: F.concat(t["role"], F.lit(":\n\n"), t["text"])), "\n\n").alias("text"))
+
+
+# One paragraph after the other: the open chunk, and what each step closes.
+@register("conversation_chunks", f"""WITH RECURSIVE c AS (
+  SELECT conv_id, trim(replace(replace(string_agg(role || E':\n\n' || text, E'\n\n' ORDER BY turn), E'\r\n', E'\n'), E'\r', E'\n'), E' \n\t') AS t
+  FROM conversations GROUP BY conv_id),
+s AS (SELECT conv_id, t, unnest(string_split(t, E'\n\n')) AS p, generate_subscripts(string_split(t, E'\n\n'), 1) AS i FROM c),
+o AS (SELECT *, coalesce(sum(length(p) + 2) OVER (PARTITION BY conv_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM s),
+b AS (SELECT conv_id, t, trim(p, E' \n\t') AS p, off + length(p) - length(ltrim(p, E' \n\t')) AS s,
+        row_number() OVER (PARTITION BY conv_id ORDER BY i) AS i FROM o WHERE trim(p, E' \n\t') <> ''),
+f(conv_id, i, cur, st, shut) AS (
+  SELECT conv_id, 0::BIGINT, '', 0::BIGINT, []::STRUCT(x VARCHAR, s BIGINT)[] FROM c
+  UNION ALL
+  SELECT b.conv_id, b.i,
+    CASE WHEN f.cur = '' AND length(b.p) <= {CONV_MAX} THEN b.p WHEN f.cur = '' THEN ''
+         WHEN length(f.cur) + 2 + length(b.p) <= {CONV_MAX} THEN f.cur || E'\n\n' || b.p
+         ELSE ltrim(right(f.cur, {CONV_OVERLAP}) || E'\n\n' || b.p, E' \n\t') END,
+    CASE WHEN f.cur = '' THEN b.s WHEN length(f.cur) + 2 + length(b.p) <= {CONV_MAX} THEN f.st
+         ELSE greatest(0, b.s - least({CONV_OVERLAP}, length(f.cur))) END,
+    CASE WHEN f.cur = '' AND length(b.p) > {CONV_MAX}
+           THEN list_transform(range(0, length(b.p), {CONV_MAX}), lambda k: {{'x': substr(b.p, k + 1, {CONV_MAX}), 's': b.s + k}})
+         WHEN f.cur <> '' AND length(f.cur) + 2 + length(b.p) > {CONV_MAX} THEN [{{'x': f.cur, 's': f.st}}] ELSE [] END
+  FROM f JOIN b ON b.conv_id = f.conv_id AND b.i = f.i + 1),
+e AS (SELECT conv_id, i, unnest(shut) AS c, generate_subscripts(shut, 1) AS k FROM f
+      UNION ALL SELECT conv_id, i + 1, {{'x': cur, 's': st}}, 0 FROM f
+      WHERE cur <> '' AND i = (SELECT max(g.i) FROM f g WHERE g.conv_id = f.conv_id))
+SELECT conv_id AS source, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY i, k) - 1 AS INTEGER) AS chunk_ordinal,
+  concat(conv_id, ':', row_number() OVER (PARTITION BY conv_id ORDER BY i, k) - 1) AS chunk_id, c.x AS text,
+  CAST(c.s AS INTEGER) AS start_char, CAST(c.s + length(c.x) AS INTEGER) AS end_char FROM e""")
+def q_conversation_chunks(spark, sf):
+    """J2/J3 on texts with paragraphs: folded, overlapping and cut ones."""
+    return R.chunk_documents(_conversation_texts(spark, sf), "conv_id", max_chars=CONV_MAX, overlap_chars=CONV_OVERLAP)
+
+
 @register("chunk_stats", """WITH s AS (SELECT doc_id, length(trim(regexp_replace(text, '^\\s+|\\s+$', '', 'g'))) AS n FROM documents)
 SELECT CAST(sum(CASE WHEN n = 0 THEN 0 ELSE (n + 899) // 900 END) AS BIGINT) AS n_chunks,
   CAST(sum(n) AS BIGINT) AS n_chars FROM s""")

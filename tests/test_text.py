@@ -99,3 +99,36 @@ def test_context_stops_at_the_first_section_that_does_not_fit(spark):
                                  "q int, rank int, score double, source string, text string")
     got = {r.q: r.context for r in R.context_sections(hits, 100).collect()}
     assert got[1].endswith("x" * 50) and "y" not in got[1] and got[2] == ""
+
+
+def test_chunk_fold_walks_every_branch():
+    long = "x" * 250
+    text = f"\r\n a b \r\n\r\n{'p' * 90}\n\n\n\n  {'q' * 40}\n\n{long}\n\nshort\n\n{'z' * 130}  \n\n"
+    norm = text.replace("\r\n", "\n").strip()
+    got = R.chunk_text(text, 120, 10)
+    # two paragraphs fit; the third overflows and overlaps; a long one behind an overlap is kept whole
+    assert got[0] == ("a b\n\n" + "p" * 90, 0, 95)
+    assert got[1][0] == "p" * 10 + "\n\n" + "q" * 40 and got[1][1] == norm.index("q") - 10
+    assert got[2][0] == "q" * 10 + "\n\n" + long
+    assert got[3][0] == "x" * 10 + "\n\nshort"
+    assert got[4][0] == "x" * 3 + "\n\nshort\n\n" + "z" * 130 and len(got) == 5
+    # on an empty buffer a long paragraph is cut without overlap
+    assert [c[0] for c in R.chunk_text("y" * 250, 120, 10)] == ["y" * 120, "y" * 120, "y" * 10]
+    assert R.chunk_text(" \n\n \t", 120, 10) == []
+    # without overlap, a long paragraph that follows a chunk is still kept whole
+    assert [len(c[0]) for c in R.chunk_text("k\n\n" + long, 120, 0)] == [1, 250]
+
+
+def test_chunk_fold_is_linear():
+    import time
+    text = ("word " * 60 + "\n\n") * 33_000
+    t0 = time.perf_counter()
+    chunks = R.chunk_text(text, 900, 120)
+    took = time.perf_counter() - t0
+    assert len(text) > 9_900_000 and took < 5 and sum(len(c[0]) for c in chunks) > len(text) * 0.95
+
+
+def test_no_text_moves_for_term_counts(spark):
+    units = spark.createDataFrame([(1, "alpha beta"), (2, "beta gamma")], "doc_id int, text string")
+    plan = R.tfidf_index(units, "doc_id")[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan
