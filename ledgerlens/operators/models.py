@@ -1,12 +1,13 @@
 """Model training and scoring with Spark ML.
 
-* supervised models are Spark ML estimators fitted on a hash split;
+* supervised models are Spark ML estimators fitted on an exactly stratified
+  split (or a hash split, which needs no selection);
 * the autoencoder is re-aimed as a linear (PCA) autoencoder: scaler + PCA
   fitted on normal rows, error = mean squared residual = (|x|^2 - |P^T x|^2)/d
   because the principal axes are orthonormal;
-* the isolation forest is the one custom model: a bounded per-tree sample is
-  drawn with hashes (no global sort), trees are grown in parallel with
-  ``groupBy(tree).applyInPandas`` and the forest (<= trees * (2*psi - 1)
+* the isolation forest is the one custom model: every tree draws its own rows
+  from the whole table by hashes (no global sort), trees are grown in parallel
+  with ``groupBy(tree).applyInPandas`` and the forest (<= trees * (2*psi - 1)
   nodes, independent of the table size) is broadcast to a vectorised
   ``pandas_udf`` scorer.
 """
@@ -14,14 +15,19 @@
 from __future__ import annotations
 
 import math
+import os
+import uuid
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlens.functions.quantiles import exact_quantiles
+from ledgerlens.session import ensure_checkpoint_dir
+
 # The 15 model features in reference order.
 FEATURE_COLUMNS = [
     "amount", "daily_total_before_txn", "daily_limit", "tx_count_2min", "beneficiary_age_days",
@@ -50,6 +56,42 @@ def hash_split(df: DataFrame, key: str, test_pct: int = 25, seed: int = 42) -> C
     return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) < test_pct
 
 
+def _split_key(key: str, seed: int) -> Column:
+    """Uniform hex key of a row; the key itself breaks the (unlikely) tie."""
+    k = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.concat(F.md5(F.concat(F.lit(f"{seed}|"), k).cast("binary")), F.lit("|"), k)
+
+
+def stratified_cuts(df: DataFrame, key: str, label: str, test_share: float = 0.25, seed: int = 42, digits: int = 3) -> DataFrame:
+    """I2, the selection: per class, the split key of the last test row, floor(share * n + 1/2)
+    rows being test rows (label, cut; null cut where the class has none).
+
+    Two rounds narrow the range that holds that rank by counts of ``digits`` hex digits each
+    (16^digits numbers per class), so only about n / 16^(2 digits) keys of a class are ever
+    ranked, in one window."""
+    keyed = df.select(F.col(label).alias("_c"), _split_key(key, seed).alias("_k"))
+    of_class = Window.partitionBy("_c")
+    counts = (keyed.groupBy("_c", F.substring("_k", 1, digits).alias("_p")).agg(F.count(F.lit(1)).alias("_m"))
+              .withColumn("_rank", F.floor(F.sum("_m").over(of_class) * test_share + 0.5)))
+    for length in (digits, 2 * digits):
+        held = counts.withColumn("_upto", F.sum("_m").over(of_class.orderBy("_p"))).where("_upto >= _rank AND _upto - _m < _rank")
+        at = F.broadcast(held.select(F.col("_c").alias("_class"), (F.col("_rank") - F.col("_upto") + F.col("_m")).alias("_rank"), F.col("_p").alias("_prefix")))  # one row a class
+        inside = keyed.join(at, F.col("_c").eqNullSafe(F.col("_class"))).where(F.startswith("_k", "_prefix"))
+        counts = inside.groupBy("_c", "_rank", F.substring("_k", 1, 2 * length).alias("_p")).agg(F.count(F.lit(1)).alias("_m"))
+    return (inside.withColumn("_nth", F.row_number().over(of_class.orderBy("_k"))).where("_nth = _rank")
+            .select(F.col("_c").alias(label), F.col("_k").alias("cut")))
+
+
+def stratified_split(df: DataFrame, key: str, label: str = TARGET_COLUMN, test_share: float = 0.25, seed: int = 42,
+                     out: str = "is_test") -> DataFrame:
+    """``out`` is true for exactly floor(share * n + 1/2) rows of every class, the ones
+    with the smallest split keys. The rows are not moved: each is compared with its class's
+    cut, a table of one row per class. Rows that repeat a key stay on one side."""
+    cuts = stratified_cuts(df, key, label, test_share, seed).withColumnRenamed(label, "_c")
+    joined = df.join(F.broadcast(cuts), F.col(label).eqNullSafe(F.col("_c")), "left")
+    return joined.withColumn(out, F.coalesce(_split_key(key, seed) <= F.col("cut"), F.lit(False))).drop("_c", "cut")
+
+
 def class_weights(df: DataFrame, label: str = TARGET_COLUMN) -> DataFrame:
     """I15: 'balanced' weights n / (2 * n_class); a two-row table."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
@@ -161,13 +203,9 @@ def fit_standardizer(normal: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def standardize(df: DataFrame, stats: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Apply I9 with the one-row stats table as scalar subqueries (std 0 -> 1)."""
-    out = {}
-    for f in features:
-        m = stats.select(f"{f}__mean").scalar()
-        s = stats.select(f"{f}__std").scalar()
-        out[f] = (F.col(f) - m) / F.when(s == 0, F.lit(1.0)).otherwise(s)
-    return df.withColumns(out)
+    """Apply I9 with the one-row stats table (read once, as literals; std 0 -> 1)."""
+    row = stats.first()
+    return df.withColumns({f: (F.col(f) - F.lit(row[f"{f}__mean"])) / F.lit(row[f"{f}__std"] or 1.0) for f in features})
 
 
 def minmax_normalize(score: Column, lo: Column, hi: Column) -> Column:
@@ -236,36 +274,72 @@ def _grow_tree(x: np.ndarray, rng: np.random.Generator, max_depth: int):
     return feat, thr, left, right, size
 
 
-FOREST_POOL = 16  # rows drawn for all trees together, as a multiple of the sample size
+def _ranks(keys: np.ndarray, trees: np.ndarray) -> np.ndarray:
+    """Uniform 64-bit ranks of rows (hash keys) in trees: splitmix64 of both."""
+    with np.errstate(over="ignore"):
+        z = keys.astype(np.uint64)[:, None] + (trees.astype(np.uint64)[None, :] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return z ^ (z >> np.uint64(31))
 
 
-def isolation_forest_fit(normal: DataFrame, id_col: str, vec_col: str, n_trees: int = 250,
-                         sample_size: int = 256, seed: int = 42) -> tuple[dict, int]:
-    """Grow ``n_trees`` trees on exactly ``psi = min(sample_size, n)`` distinct rows each.
+def tree_samples(rows: DataFrame, id_col: str, vec_col: str, n_trees: int, sample_size: int, seed: int = 42) -> tuple[DataFrame, int]:
+    """I7, the draw: (tree, rank, key, x), for every tree the ``psi = min(sample_size, n)``
+    rows of smallest rank, and psi. Ranks are hashes of row and tree, so each tree draws its
+    own rows from the whole table, without replacement.
 
-    One uniform pool of ``FOREST_POOL * sample_size`` rows (smallest hashes of the id,
-    a per-partition top-k) is the only data that leaves the table; every tree draws
-    its rows from it without replacement, in parallel tasks. The pool's size does not
-    depend on the table's."""
+    One pass over the rows keeps a (row, tree) pair only if its rank is below the level that
+    psi + 6 sqrt(psi) + 20 rows of a tree are expected to reach; the smallest psi of each
+    tree are then picked in one small group per tree. A level that left a tree short
+    (a chance of about e^-18 a tree) is doubled and the pass repeated. Rows of one id and
+    vector are one row of the table each, with neighbouring ranks."""
     from pyspark.ml.functions import vector_to_array
-    pool = (normal.select(vector_to_array(vec_col).alias("_x"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("_h"), F.col(id_col).alias("_id"))
-            .orderBy("_h", "_id").limit(FOREST_POOL * sample_size).toPandas())
-    if len(pool) == 0:
+    n = rows.count()
+    if n == 0:
         raise ValueError("isolation forest needs at least one normal row")
-    psi = min(sample_size, len(pool))
-    data = np.vstack(pool["_x"].to_numpy()).astype(float)
+    psi = min(sample_size, n)
+    keyed = rows.select(F.xxhash64(F.col(id_col), F.lit(seed)).alias("key"), vector_to_array(vec_col).alias("x"))
+    trees = np.arange(n_trees)
+    schema = "tree int, rank string, key long, x array<double>"
+    wanted = psi + 6 * math.sqrt(psi) + 20
+
+    while True:
+        level = min(int(wanted / n * 2.0 ** 64), 2 ** 64 - 1)
+
+        def draw(batches, level=level):
+            for pdf in batches:
+                for at in range(0, len(pdf), 4096):
+                    part = pdf.iloc[at:at + 4096]
+                    ranks = _ranks(part["key"].to_numpy(np.int64), trees)
+                    row, tree = np.nonzero(ranks <= np.uint64(level))
+                    yield pd.DataFrame({"tree": tree.astype(np.int32), "rank": [f"{r:016x}" for r in ranks[row, tree].tolist()],
+                                        "key": part["key"].to_numpy()[row], "x": part["x"].to_numpy()[row]})
+
+        drawn = keyed.mapInPandas(draw, schema).repartition("tree")
+        ordered = Window.partitionBy("tree").orderBy("rank", "key", "x")
+        sample = drawn.withColumn("nth", F.row_number().over(ordered)).where(F.col("nth") <= psi)
+        sizes = sample.groupBy("tree").count().where(F.col("count") == psi).count()
+        if sizes == n_trees or level == 2 ** 64 - 1:
+            return sample.select("tree", "rank", "key", "x"), psi
+        wanted *= 2
+
+
+def isolation_forest_fit(normal: DataFrame, id_col: str, vec_col: str, n_trees: int = 250,
+                         sample_size: int = 256, seed: int = 42) -> tuple[dict, int]:
+    """Grow ``n_trees`` trees on exactly ``psi = min(sample_size, n)`` distinct rows each,
+    drawn for every tree from all rows (:func:`tree_samples`). A tree grows in its own task
+    from its psi rows; only the nodes come to the driver."""
+    samples, psi = tree_samples(normal, id_col, vec_col, n_trees, sample_size, seed)
     depth = int(math.ceil(math.log2(max(psi, 2))))
     schema = "tree int, node int, feature int, threshold double, left int, right int, size int"
 
-    def grow(batches):
-        for pdf in batches:
-            for tree in pdf["id"].tolist():
-                rng = np.random.default_rng([seed, tree])
-                f, t, l_, r_, s = _grow_tree(data[rng.choice(len(data), psi, replace=False)], rng, depth)
-                yield pd.DataFrame({"tree": tree, "node": np.arange(len(f)), "feature": f, "threshold": t,
-                                    "left": l_, "right": r_, "size": s})
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree = int(pdf["tree"].iloc[0])
+        pdf = pdf.sort_values(["rank", "key"])
+        f, t, l_, r_, s = _grow_tree(np.vstack(pdf["x"].to_numpy()).astype(float), np.random.default_rng([seed, tree]), depth)
+        return pd.DataFrame({"tree": tree, "node": np.arange(len(f)), "feature": f, "threshold": t, "left": l_, "right": r_, "size": s})
 
-    nodes = normal.sparkSession.range(n_trees).mapInPandas(grow, schema).toPandas()  # <= n_trees * (2*psi-1) rows
+    nodes = samples.groupBy("tree").applyInPandas(grow, schema).toPandas()  # <= n_trees * (2*psi-1) rows
     forest = {t: g.sort_values("node") for t, g in nodes.groupby("tree")}
     return forest, psi
 
@@ -307,7 +381,31 @@ def isolation_forest_score(df: DataFrame, forest: dict, psi: int, vec_col: str,
     return df.withColumn(out, score(vector_to_array(vec_col)))
 
 
+def flag_anomalies(rows: DataFrame, normal: str, id_col: str, vec_col: str, level: float = 0.95, n_trees: int = 250,
+                   sample_size: int = 256, seed: int = 42) -> DataFrame:
+    """I7 as used on transactions: fit on the rows where ``normal`` holds, score all rows,
+    and add ``anomaly_score``, ``isolation_forest_anomaly_score`` (scaled to 0..100 by the
+    normal rows' range) and ``predicted_anomaly`` (at or above the normal rows' ``level``
+    quantile). Scores are computed once, into a table under the checkpoint folder."""
+    spark = rows.sparkSession
+    forest, psi = isolation_forest_fit(rows.where(normal), id_col, vec_col, n_trees, sample_size, seed)
+    path = os.path.join(ensure_checkpoint_dir(spark), f"forest-scores-{uuid.uuid4().hex[:12]}")
+    isolation_forest_score(rows, forest, psi, vec_col).write.parquet(path)
+    scored = spark.read.parquet(path)
+    fitted = exact_quantiles(scored.where(normal), "anomaly_score", [level]).select("mn", "mx", F.col("qs")[0].alias("cut")).first()
+    share = minmax_normalize(F.col("anomaly_score"), F.lit(fitted["mn"]), F.lit(fitted["mx"]))
+    return scored.withColumns({"isolation_forest_anomaly_score": F.bround(share * 100, 0).cast("int"),
+                               "predicted_anomaly": F.col("anomaly_score") >= F.lit(fitted["cut"])})
+
+
 def save_model(model, path: str) -> str:
     """Persist a fitted Spark ML model / pipeline (overwrite)."""
     model.write().overwrite().save(path)
     return path
+
+
+def load_model(path: str):
+    """The model saved at ``path``; its class is read from the saved metadata."""
+    from pyspark.ml.util import DefaultParamsReader
+    spark = SparkSession.getActiveSession()
+    return DefaultParamsReader.loadParamsInstance(path, spark)

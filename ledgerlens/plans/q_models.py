@@ -44,6 +44,15 @@ def q_hash_split(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
+@register("stratified_split", with_(RULES_CTE, """SELECT transaction_id, is_fraud,
+  row_number() OVER (PARTITION BY is_fraud ORDER BY md5('42|' || transaction_id), transaction_id)
+    <= floor(0.25e0 * count(*) OVER (PARTITION BY is_fraud) + 0.5e0) AS is_test FROM rules"""))
+def q_stratified_split(spark, sf):
+    """Exactly a quarter of every class, by the smallest hashes."""
+    r = D.rule_scored(spark, sf).select("transaction_id", "is_fraud")
+    return M.stratified_split(r, "transaction_id")
+
+
 _STD_SQL = "\n  UNION ALL ".join(
     f"SELECT '{f}' AS feature, round_even(avg({_clean_sql(f)}), {R6}) AS mean, "
     f"round_even(stddev_pop({_clean_sql(f)}), {R6}) AS std FROM rules WHERE is_fraud = 0" for f in M.FEATURE_COLUMNS)
@@ -113,11 +122,26 @@ def q_isolation_forest(spark, sf):
     return M.isolation_forest_score(e, forest, psi, "features").select("vec_id", "label", "anomaly_score")
 
 
+@register("transaction_anomaly")
+def q_transaction_anomaly(spark, sf):
+    """I7 + I9 + I10 + I11: forest on the standardised normal training transactions; every
+    transaction's scaled score, and its flag from the 95th percentile of the training scores."""
+    r = D.rule_scored(spark, sf)
+    clean = r.select("transaction_id", "is_fraud", *[M.clean_feature(F.col(f)).alias(f) for f in M.FEATURE_COLUMNS])
+    split = M.stratified_split(clean, "transaction_id")
+    stats = M.fit_standardizer(split.where("NOT is_test AND is_fraud = 0"), M.FEATURE_COLUMNS)
+    scaled = VectorAssembler(inputCols=M.FEATURE_COLUMNS, outputCol="features").transform(M.standardize(split, stats, M.FEATURE_COLUMNS))
+    rows = scaled.select("transaction_id", "is_fraud", "is_test", "features")
+    normal = "NOT is_test AND is_fraud = 0"
+    return M.flag_anomalies(rows, normal, "transaction_id", "features").drop("features")
+
+
 def _train_frames(spark, sf):
+    """Three quarters of each class to fit on."""
     r = D.rule_scored(spark, sf)
     fm = M.with_class_weight(M.feature_matrix(r.select("transaction_id", "is_fraud", *M.FEATURE_COLUMNS)))
-    test = M.hash_split(fm, "transaction_id")
-    return fm.where(~test), fm
+    split = M.stratified_split(fm, "transaction_id")
+    return split.where("NOT is_test").drop("is_test"), split.drop("is_test")
 
 
 def _model_scores(spark, sf, name):
