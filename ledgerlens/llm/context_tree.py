@@ -34,8 +34,6 @@ a base score of 0; an empty table = an empty result; further columns are ignored
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -45,20 +43,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgerlens.llm.common import written
+from ledgerlens.llm.common import text_runs, written
 
 #: Bytes of context; strings of DEPTH + 1 bytes are longs, so it is 6 at most.
-DEPTH = 6
+DEPTH = 5
 END = 10
 #: Strings of one unit of the trees, built and priced in one task.
-UNIT = 1 << 18
+UNIT = 1 << 17
 #: Strings are priced from a broadcast table of at most so many bytes, words from another.
-HOT_STRINGS, HOT_WORDS = 1 << 25, 1 << 23
+HOT_STRINGS, HOT_WORDS = 1 << 24, 1 << 22
 #: Longer words are looked up by a join.
 HOT_WORD = 64
-#: Bytes of text counted or priced at once in a task, and distinct strings held before a flush.
-CHUNK = 4 << 20
-HELD = 2_000_000
+#: Counts are dealt to 2^9 buckets by hash: shifts of a 64-bit hash.
+_BUCKET_BITS = np.uint64(64 - 9)
+#: Bytes of text counted or priced at once in a task, and distinct strings or words held before a flush.
+CHUNK, PRICED = 3 << 20, 1 << 20
+HELD = 800_000
 LN10, LN2 = float(np.log(10)), float(np.log(2))
 
 
@@ -66,65 +66,66 @@ def training(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 7 != 2
 
 
-def _normal(text: pa.Array) -> pa.Array:
-    """Lower-cased words joined by one space."""
-    low = pc.ascii_lower(pc.fill_null(text.cast(pa.large_string()), ""))
-    return pc.ascii_trim(pc.replace_substring_regex(low, "[\t-\r ]+", " "), " ")
-
-
-def _words(normal: pa.Array) -> tuple[pa.Array, np.ndarray]:
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[0x09:0x0E] = 0x20
+_FOLD[0x41:0x5B] += 0x20
+
+
+def _normal(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' words in lower case, joined by one space: all bytes, and where each text
+    begins (one more entry: the end)."""
+    text = pc.fill_null(text.cast(pa.large_string()), "")
+    at = np.frombuffer(text.buffers()[1], np.int64, len(text) + 1, 8 * text.offset)
+    data = _FOLD[np.frombuffer(text.buffers()[2] or b"", np.uint8)[at[0]:at[-1]]]
+    at = at - at[0]
+    word = data != 0x20
+    # a space stays where a word follows in the same text; then a text's first byte must be a word's
+    keep = word.copy()
+    keep[:-1] |= word[1:]
+    last = at[1:][at[1:] > at[:-1]] - 1
+    keep[last] = word[last]
+    kept = np.flatnonzero(keep)
+    begin = np.searchsorted(kept, at)
+    first = kept[begin[:-1][begin[1:] > begin[:-1]]]
+    first = first[~word[first]]
+    if len(first):
+        keep[first] = False
+        kept = np.flatnonzero(keep)
+        begin = np.searchsorted(kept, at)
+    return data[kept], begin
+
+
+def _words(normal: tuple[np.ndarray, np.ndarray]) -> tuple[pa.Array, np.ndarray]:
     """All words, and the text each belongs to."""
-    lists = pc.split_pattern(normal, " ")
+    data, begin = normal
+    texts = pa.LargeStringArray.from_buffers(len(begin) - 1, pa.py_buffer(begin.astype(np.int64)), pa.py_buffer(data))
+    lists = pc.split_pattern(texts, " ")
     words, owner = pc.list_flatten(lists), pc.list_parent_indices(lists)
-    some = pc.not_equal(words, "")
+    some = pc.not_equal(words, "")          # an empty text splits into one empty word
     return words.filter(some), owner.filter(some).to_numpy()
 
 
-def _strings(normal: pa.Array, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def _strings(normal: tuple[np.ndarray, np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Byte strings (depth of context, then the byte) as longs, and where each text's begin."""
-    large = lambda c: pa.scalar(c, pa.large_string())
-    padded = pc.binary_join_element_wise(large(chr(END) * depth), normal, large(chr(END)), large(""))
-    if isinstance(padded, pa.ChunkedArray):
-        padded = padded.combine_chunks()
-    ends = np.frombuffer(padded.buffers()[1], np.int64, len(padded) + 1, 8 * padded.offset)
-    data = np.frombuffer(padded.buffers()[2], np.uint8)[ends[0]:ends[-1]]
-    begins = ends[:-1] - ends[0]
-    keys = np.zeros(len(data), np.int64)
-    for back in range(depth, -1, -1):
-        np.left_shift(keys, 8, out=keys)
-        keys[depth:] |= data[depth - back:len(data) - back]
-    inside = np.ones(len(data), bool)
-    inside[(begins[:, None] + np.arange(depth)).ravel()] = False
-    return keys[inside], begins - depth * np.arange(len(begins))
-
-
-def _pieces(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[list]:
-    """Rows in runs of about ``CHUNK`` bytes of text, whatever the batches are; a text is never cut."""
-    held, size = [], 0
-    for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-        start = 0
-        for i, n in enumerate(sizes):
-            size += int(n) + 8
-            if size >= CHUNK:
-                held.append(batch.slice(start, i + 1 - start))
-                yield [pa.chunked_array([h.column(c) for h in held]).combine_chunks() for c in columns]
-                held, size, start = [], 0, i + 1
-        if start < len(sizes):
-            held.append(batch.slice(start))
-    if held:
-        yield [pa.chunked_array([h.column(c) for h in held]).combine_chunks() for c in columns]
-
-
-def _counted(keys: np.ndarray, trains: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys with how often each occurs in training texts and in all."""
-    order = np.argsort(keys, kind="stable")
-    keys, trains = keys[order], trains[order]
-    new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return keys[new], np.add.reduceat(trains, new), np.diff(np.r_[new, len(keys)])
+    data, begin = normal
+    lengths = np.diff(begin)
+    # a block for each text: the end byte ``depth`` times, its bytes, the end byte
+    blocks = np.r_[0, np.cumsum(lengths + depth + 1)]
+    padded = np.full(blocks[-1] + 8, END, np.uint8)
+    body = np.ones(blocks[-1], bool)
+    body[(blocks[:-1, None] + np.arange(depth)).ravel()] = False
+    body[blocks[1:] - 1] = False
+    padded[:blocks[-1]][body] = data
+    # a string starts at each place of a block but the last ``depth``
+    starts = np.ones(blocks[-1], bool)
+    starts[(blocks[1:, None] - 1 - np.arange(depth)).ravel()] = False
+    longs = np.ndarray((blocks[-1],), ">u8", padded, strides=(1,)).astype(np.uint64)
+    longs >>= np.uint64(8 * (7 - depth))
+    return longs.view(np.int64)[starts], begin[:-1] + np.arange(len(lengths))
 
 
 def _merged(parts: list) -> tuple:
+    """Distinct keys of parts (keys, n, n_all), with their sums."""
     keys, trains, counts = (np.concatenate(p) for p in zip(*parts, strict=True))
     order = np.argsort(keys, kind="stable")
     keys, trains, counts = keys[order], trains[order], counts[order]
@@ -132,42 +133,138 @@ def _merged(parts: list) -> tuple:
     return keys[new], np.add.reduceat(trains, new), np.add.reduceat(counts, new)
 
 
+def _merged_words(tables: list) -> pa.Table:
+    sums = pa.concat_tables(tables).group_by("word", use_threads=False).aggregate([("n", "sum"), ("n_all", "sum")])
+    return sums.rename_columns(["word", "n", "n_all"]).combine_chunks()
+
+
+_WEIGHTS = np.random.default_rng(1).integers(0, 1 << 63, 257).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _word_bucket(words: pa.Array) -> np.ndarray:
+    """Bucket of each (non-empty) word: a weighted sum of its bytes, mixed."""
+    at = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, 8 * words.offset)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[at[0]:at[-1]].astype(np.uint64) + np.uint64(1)
+    begin = at[:-1] - at[0]
+    place = np.arange(len(data)) - np.repeat(begin, np.diff(at))
+    return (np.add.reduceat(data * _WEIGHTS[place % 257], begin) * np.uint64(0x9E3779B97F4A7C15) >> _BUCKET_BITS).astype(np.int64)
+
+
+def _dealt(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order by bucket, the buckets that occur, where each begins in that order, and the end)."""
+    order = np.argsort(bucket, kind="stable")
+    sorted_ = bucket[order]
+    new = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
+    return order, sorted_[new], np.r_[new, len(bucket)]
+
+
+def _blobs(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    values = np.ascontiguousarray(values)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+
+_PARTS = ["bucket", "words", "values", "n", "n_all"]
+
+
+def _string_parts(keys, n, n_all) -> pa.RecordBatch:
+    order, buckets, cuts = _dealt(((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> _BUCKET_BITS).astype(np.int64))
+    return pa.RecordBatch.from_arrays([pa.array(buckets.astype(np.int32)), pa.array(np.zeros(len(buckets), bool)), *(_blobs(c[order].astype(np.int64), cuts) for c in (keys, n, n_all))], names=_PARTS)
+
+
+def _word_parts(table: pa.Table) -> pa.RecordBatch:
+    words = table["word"].combine_chunks() if table["word"].num_chunks != 1 else table["word"].chunk(0)
+    order, buckets, cuts = _dealt(_word_bucket(words))
+    joined = pc.binary_join_element_wise(words.take(pa.array(order)), pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string()))
+    at = np.frombuffer(joined.buffers()[1], np.int64, len(joined) + 1, 8 * joined.offset)
+    text = np.frombuffer(joined.buffers()[2], np.uint8)[at[0]:at[-1]]
+    return pa.RecordBatch.from_arrays([pa.array(buckets.astype(np.int32)), pa.array(np.ones(len(buckets), bool)), _blobs(text, (at - at[0])[cuts]),
+                                       *(_blobs(table[c].to_numpy()[order].astype(np.int64), cuts) for c in ("n", "n_all"))], names=_PARTS)
+
+
 def count(docs: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame]:
-    """(strings, words): key or word, n in training texts, n_all in all texts."""
+    """(strings, words): key or word, n in training texts, n_all in all texts.
+
+    A task counts its texts and hands its sums on as one row per bucket (a hash of the
+    string or word), packed; the tasks behind the shuffle merge the rows of one bucket
+    after the other."""
     def tally(batches):
-        parts, held = [], 0
-        for text, train in _pieces(batches, ("text", "train")):
-            normal, train = _normal(text), train.to_numpy(zero_copy_only=False).astype(bool)
+        strings, words, n_strings, n_words = [], [], 0, 0
+        for text, train in text_runs(batches, ("text", "train"), CHUNK):
+            train = train.to_numpy(zero_copy_only=False).astype(bool)
             for side in (True, False):
-                some = normal.filter(pa.array(train == side))
-                if len(some):
-                    keys = np.sort(_strings(some, depth)[0])
-                    new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-                    n = np.diff(np.r_[new, len(keys)])
-                    parts.append((keys[new], n if side else np.zeros_like(n), n))
-                    held += len(new)
-                    seen = pc.value_counts(_words(some)[0])
-                    n = seen.field("counts")
-                    yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.int64()), seen.field("values").cast(pa.string()), n if side else pa.array(np.zeros(len(n), np.int64)), n],
-                                                     names=["key", "word", "n", "n_all"])
-            if held > HELD:
-                parts = [_merged(parts)]
-                held = len(parts[0][0])
+                some = text.filter(pa.array(train == side))
+                if not len(some):
+                    continue
+                normal = _normal(some)
+                keys = _strings(normal, depth)[0]
+                keys.sort()
+                new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+                n = np.diff(np.r_[new, len(keys)])
+                strings.append((keys[new], n * side, n))
+                seen = pc.value_counts(_words(normal)[0])
+                n = seen.field("counts").to_numpy()
+                words.append(pa.table({"word": seen.field("values"), "n": n * side, "n_all": n}))
+                n_strings, n_words = n_strings + len(new), n_words + len(seen)
+            if n_strings > HELD:
+                strings = [_merged(strings)]
+                n_strings = len(strings[0][0])
+                if n_strings > HELD // 2:
+                    yield _string_parts(*strings.pop())
+                    n_strings = 0
+            if n_words > HELD:
+                words = [_merged_words(words)]
+                n_words = len(words[0])
+                if n_words > HELD // 2:
+                    yield _word_parts(words.pop())
+                    n_words = 0
+        if n_strings:
+            yield _string_parts(*_merged(strings))
+        if n_words:
+            yield _word_parts(_merged_words(words))
+
+    def merge(batches):
+        out, n_out = [], 0
+
+        def flat(strings, words):
+            if strings:
+                keys, n, n_all = _merged(strings)
+                out.append(pa.table([pa.array(keys), pa.nulls(len(keys), pa.string()), pa.array(n), pa.array(n_all)], names=_COUNTS))
+            if words:
+                sums = _merged_words(words)
+                out.append(pa.table([pa.nulls(len(sums), pa.int64()), sums["word"].cast(pa.string()), sums["n"], sums["n_all"]], names=_COUNTS))
+            return sum(len(t) for t in out)
+
+        bucket, strings, words, held = None, [], [], 0
+        for batch in batches:
+            for row in zip(*(batch.column(c) for c in _PARTS), strict=True):
+                if row[0].as_py() != bucket:
+                    if flat(strings, words) > 50_000:
+                        yield from pa.concat_tables(out).combine_chunks().to_batches()
+                        out.clear()
+                    bucket, strings, words, held = row[0].as_py(), [], [], 0
+                n, n_all = (np.frombuffer(row[i].as_buffer(), np.int64) for i in (3, 4))
+                if row[1].as_py():
+                    text = pa.LargeStringArray.from_buffers(1, pa.py_buffer(np.array([0, len(row[2].as_buffer())], np.int64)), row[2].as_buffer())
+                    words.append(pa.table({"word": pc.list_flatten(pc.split_pattern(text, " ")).slice(0, len(n)), "n": n, "n_all": n_all}))
+                else:
+                    strings.append((np.frombuffer(row[2].as_buffer(), np.int64), n, n_all))
+                held += len(n)
                 if held > HELD:
-                    yield _string_rows(parts.pop())
+                    strings, words = [_merged(strings)] if strings else [], [_merged_words(words)] if words else []
                     held = 0
-        if parts:
-            yield _string_rows(_merged(parts))
-
-    def _string_rows(part):
-        keys, n, n_all = part
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.nulls(len(keys), pa.string()), pa.array(n), pa.array(n_all)], names=["key", "word", "n", "n_all"])
+        flat(strings, words)
+        if out:
+            yield from pa.concat_tables(out).combine_chunks().to_batches()
 
-    rows = docs.select("text", training(F.col("doc_id")).alias("train")).mapInArrow(tally, "key long, word string, n long, n_all long")
-    both = written(rows.groupBy("key", "word").agg(F.sum("n").alias("n"), F.sum("n_all").alias("n_all")), "ctw-counts")
+    parts = docs.select("text", training(F.col("doc_id")).alias("train")).mapInArrow(tally, "bucket int, words boolean, values binary, n binary, n_all binary")
+    dealt = parts.repartition("bucket").sortWithinPartitions("bucket")
+    both = written(dealt.mapInArrow(merge, "key long, word string, n long, n_all long"), "ctw-counts")
     return both.filter("key IS NOT NULL").drop("word"), both.filter("word IS NOT NULL").drop("key")
 
 
+_COUNTS = ["key", "word", "n", "n_all"]
+
+
 def _ln_gamma(x):
     """ln Gamma(x) for x > 0, of columns or arrays: Stirling's series eight steps up, exact to 1e-11."""
     ln = F.log if isinstance(x, Column) else np.log
@@ -203,7 +300,7 @@ class _Subtree:
         for d in range(depth, start - 1, -1):
             ids = place >> (8 * (depth - d)) if d == depth else ids >> 8
             new = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-            group = np.repeat(np.arange(len(new)), np.diff(np.r_[new, len(ids)]))
+            group = np.repeat(np.arange(len(new), dtype=np.int32), np.diff(np.r_[new, len(ids)]))
             ids, n0, n1 = ids[new], np.add.reduceat(n0, new), np.add.reduceat(n1, new)
             kt = _ln_kt(n0, n1)
             if d == depth:
@@ -259,12 +356,12 @@ def price_strings(strings: DataFrame, depth: int = DEPTH, limit: int | None = No
     units = written(units.select("unit", "key", "n", "n_all"), "ctw-units")
 
     def trees(keys, n, unit):
-        return [_Subtree(keys, n, i, unit & 7, depth) for i in range(8)]
+        return (_Subtree(keys, n, i, unit & 7, depth) for i in range(8))
 
     def up(table):
         unit = table["unit"][0].as_py()
-        parts = trees(table["key"].to_numpy(), table["n"].to_numpy(), unit)
-        v, n0, n1, pw = (np.concatenate([getattr(t, c) for t in parts]) for c in ("v", "n0", "n1", "pw"))
+        parts = [(t.v, t.n0, t.n1, t.pw) for t in trees(table["key"].to_numpy(), table["n"].to_numpy(), unit)]
+        v, n0, n1, pw = (np.concatenate(c) for c in zip(*parts, strict=True))
         return pa.table({"unit": np.full(len(v), unit), "node": (unit >> 3 << 8) | v, "n0": n0, "n1": n1, "pw": pw})
 
     def down(table, above):
@@ -314,6 +411,40 @@ def _frequent(table: DataFrame, size: Column, room: int) -> DataFrame:
     return table.filter(rank >= least)
 
 
+class _Prices:
+    """Look-up of strings' prices: open addressing over two arrays, twice as many places as keys at least."""
+
+    def __init__(self, keys: np.ndarray, bits: np.ndarray):
+        self.size = max(1, int(2 * len(keys))).bit_length()
+        self.keys, self.bits = np.full(1 << self.size, -1, np.int64), np.zeros(1 << self.size)
+        at, left = self._place(keys), np.arange(len(keys))
+        while len(left):
+            free = self.keys[at[left]] == -1
+            self.keys[at[left[free]]] = keys[left[free]]
+            done = free & (self.keys[at[left]] == keys[left])
+            self.bits[at[left[done]]] = bits[left[done]]
+            left = left[~done]
+            at[left] = (at[left] + 1) & ((1 << self.size) - 1)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.size)).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray, step: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+        """(bits, or 0 where the key is missing; whether it is missing), a step at a time."""
+        bits, missing = np.empty(len(keys)), np.empty(len(keys), bool)
+        for k in range(0, len(keys), step):
+            some = keys[k:k + step]
+            at = self._place(some)
+            there = self.keys[at]
+            left = np.flatnonzero((there != some) & (there != -1))
+            while len(left):
+                at[left] = (at[left] + 1) & ((1 << self.size) - 1)
+                there[left] = self.keys[at[left]]
+                left = left[(there[left] != some[left]) & (there[left] != -1)]
+            bits[k:k + step], missing[k:k + step] = self.bits[at], there == -1
+        return bits, missing
+
+
 def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes and
     bits_per_byte of every row of ``docs`` (doc_id, text)."""
@@ -327,22 +458,22 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     prices = written(price_strings(strings, depth), "ctw-prices")
 
     hot = _frequent(prices, F.lit(16), HOT_STRINGS).select("key", "bits").toArrow()
-    hot_strings = (hot.column("key").combine_chunks(), hot.column("bits").to_numpy())
+    hot_strings = (hot.column("key").to_numpy(), hot.column("bits").to_numpy())
     frequent = _frequent(words.filter(F.octet_length("word") <= HOT_WORD), F.octet_length("word") + 16, HOT_WORDS).select("word", "n").toArrow()
     hot_words = (frequent.column("word").combine_chunks().cast(pa.large_string()), frequent.column("n").to_numpy())
     shared = spark.sparkContext.broadcast((hot_strings, hot_words))
     end_log = float(np.log10((n_train + 1) / over))
 
     def price(batches):
-        (keys, bits), (vocabulary, counts) = shared.value
+        hot_strings, (vocabulary, counts) = shared.value
+        prices_of = _Prices(*hot_strings)
         row = TaskContext.get().partitionId() << 40
-        for doc_id, text, train in _pieces(batches, ("doc_id", "text", "train")):
+        for doc_id, text, train in text_runs(batches, ("doc_id", "text", "train"), PRICED):
             normal, n = _normal(text), len(text)
             # strings
             found, begins = _strings(normal, depth)
-            at = pc.index_in(pa.array(found), value_set=keys)
-            cold = at.is_null().to_numpy(zero_copy_only=False)
-            total_bits = np.add.reduceat(np.r_[bits, 0.0][pc.fill_null(at, len(bits)).to_numpy(zero_copy_only=False)], begins)
+            bits, cold = prices_of(found)
+            total_bits = np.add.reduceat(bits, begins)
             n_bytes = np.diff(np.r_[begins, len(found)])
             owner = np.searchsorted(begins, np.flatnonzero(cold), side="right") - 1
             # words

@@ -93,7 +93,7 @@ def brute(rows, depth):
     return out
 
 
-ROWS = [(i, " ".join(["The cat", "sat ON", "the\tmat.", "Ünï çödé", "日本", "cat cat"][(i * j) % 6] for j in range(i % 9)), "en", "s") for i in range(40)]
+ROWS = [(i, " ".join(["The cat", "sat ON", "the\tmat.", "Ünï çödé", "日本", "cat cat"][(i * j) % 6] for j in range(i % 9)), "en", "s") for i in range(16)]
 ROWS += [(100, None, "en", "s"), (101, "", "en", "s"), (102, " \n\t ", "en", "s"), (None, "null id", "en", "s"), (3, ROWS[3][1], "en", "s"), (3, "same id", "en", "s"),
          (103, "x" * 300, "en", "s"), (104, "  \u0085 nbsp is no space", "en", "s"), (105, "unseen zebra quux " * 3, "en", "s")]
 
@@ -133,6 +133,7 @@ def test_no_training_texts_and_empty_table(docs_of):
 
 def test_pieces_lose_no_row(docs_of, monkeypatch):
     monkeypatch.setattr(X, "CHUNK", 50)
+    monkeypatch.setattr(X, "PRICED", 70)
     rows = [(i, "w" * (i % 97) + " tail", "en", "s") for i in range(300)]
     assert sorted(r["doc_id"] for r in X.score(docs_of(rows), 2).collect()) == list(range(300))
 
