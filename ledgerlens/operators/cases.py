@@ -164,14 +164,6 @@ def create_cases(records: DataFrame, as_of: str | None = None, only_flagged: boo
         "analyst_note", "created_at", c("created_at").alias("updated_at"))
 
 
-def should_create_case(df: DataFrame) -> Column:
-    """REVIEW/BLOCK decision, anomaly, or risk (else probability) >= 0.35."""
-    decision = F.upper(safe_str(df, DECISION_ALIASES, ""))
-    anomaly = truthy_text(df, first_present(df, ANOMALY_ALIASES))
-    risk = prob_from(df, ["risk_score", "fraud_probability"], 0.0)
-    return decision.isin("REVIEW", "BLOCK") | anomaly | (risk >= 0.35)
-
-
 def cases_from_records(records: DataFrame, as_of: str | None = None) -> DataFrame:
     """filter then create, in one narrow stage."""
     return create_cases(records, as_of, only_flagged=True)

@@ -6,9 +6,9 @@ Structured Streaming sources alike. Alias resolution happens at plan time.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expr import clip01, first_present, fmt3, ordered_nonnull, to_double, truthy_py
@@ -111,7 +111,7 @@ def reasons_column(policy: CostPolicy) -> Column:
     raw, sev, adj = F.col("_raw"), F.col("_severity"), F.col("adjusted_risk_score")
     anomaly, conf = F.col("_anomaly"), F.col("_conf")
     sev_s = sev.cast("string")
-    bt, rt = f"{policy.block_threshold:.3f}", f"{policy.review_threshold:.3f}"
+    bt, rt = (fmt3(t) if isinstance(t, Column) else F.lit(f"{t:.3f}") for t in (policy.block_threshold, policy.review_threshold))
     return ordered_nonnull([
         F.concat(F.lit("Base fraud probability: "), fmt3(raw)),
         F.when(sev >= policy.severe_rule_block_score,
@@ -126,10 +126,10 @@ def reasons_column(policy: CostPolicy) -> Column:
         F.when(conf < policy.low_confidence_threshold,
                F.concat(F.lit("Model confidence is low at "), fmt3(conf))),
         F.when(adj >= policy.block_threshold,
-               F.concat(F.lit("Adjusted risk "), fmt3(adj), F.lit(f" exceeds block threshold {bt}")))
+               F.concat(F.lit("Adjusted risk "), fmt3(adj), F.lit(" exceeds block threshold "), bt))
         .when(adj >= policy.review_threshold,
-              F.concat(F.lit("Adjusted risk "), fmt3(adj), F.lit(f" exceeds review threshold {rt}")))
-        .otherwise(F.concat(F.lit("Adjusted risk "), fmt3(adj), F.lit(f" is below review threshold {rt}"))),
+              F.concat(F.lit("Adjusted risk "), fmt3(adj), F.lit(" exceeds review threshold "), rt))
+        .otherwise(F.concat(F.lit("Adjusted risk "), fmt3(adj), F.lit(" is below review threshold "), rt)),
     ])
 
 
@@ -159,6 +159,41 @@ RESULT_COLUMNS = ["decision", "raw_fraud_probability", "adjusted_risk_score", "r
                   "expected_review_cost", "expected_block_cost", "reasons"]
 
 
+#: A policy table is broadcast up to so many rows (they are counted).
+POLICY_ROWS = 100_000
+
+
+def policy_intervals(policies: DataFrame) -> DataFrame:
+    """Versions (segment, valid_from, review_threshold, block_threshold) -> one row per
+    version with the time until which it holds (null: still). Of versions of one segment and
+    time the strictest block threshold counts."""
+    one = policies.groupBy("segment", "valid_from").agg(F.min_by(F.struct("review_threshold", "block_threshold"), F.struct("block_threshold", "review_threshold")).alias("_t"))
+    return one.select("segment", "valid_from", F.lead("valid_from").over(Window.partitionBy("segment").orderBy("valid_from")).alias("valid_until"), "_t.*")
+
+
+def with_policy(df: DataFrame, policies: DataFrame, segment: str, ts: str, default: CostPolicy | None = None) -> DataFrame:
+    """D10, the as-of range join: each row gets the thresholds in force for its segment at its
+    time (``policy_review``, ``policy_block``, ``policy_from``), the default's where none is.
+    The versions of a segment do not overlap, so no row is doubled. The policy table is
+    broadcast only if its counted rows allow; else it is an equi-join on the segment."""
+    default = default or CostPolicy()
+    versions = policy_intervals(policies).toDF("_segment", "policy_from", "_until", "_review", "_block")
+    if policies.limit(POLICY_ROWS + 1).count() <= POLICY_ROWS:
+        versions = F.broadcast(versions)
+    at = F.col(ts)
+    held = (F.col(segment) == F.col("_segment")) & (at >= F.col("policy_from")) & (F.col("_until").isNull() | (at < F.col("_until")))
+    return df.join(versions, held, "left").withColumns({
+        "policy_review": F.coalesce("_review", F.lit(default.review_threshold)),
+        "policy_block": F.coalesce("_block", F.lit(default.block_threshold))}).drop("_segment", "_until", "_review", "_block")
+
+
+def cost_decisions_by_policy(df: DataFrame, policies: DataFrame, segment: str, ts: str, default: CostPolicy | None = None) -> DataFrame:
+    """D4-D7 with the thresholds of the policy in force for each row (:func:`with_policy`)."""
+    default = default or CostPolicy()
+    at = with_policy(df, policies, segment, ts, default)
+    return cost_decisions(at, replace(default, review_threshold=F.col("policy_review"), block_threshold=F.col("policy_block")))
+
+
 def explanation_text(df: DataFrame) -> Column:
     """The multi-line decision explanation."""
     return F.concat_ws(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expr import first_present
@@ -28,12 +28,24 @@ def slicer_filter(df: DataFrame, risk_type: str = ALL, action: str = ALL, severi
                   decision_source: str = ALL, min_final_score: int = 0) -> DataFrame:
     """K2: conjunction of the slicers built at plan time ("All" = no filter),
     so equality predicates reach the Parquet scan as pushed filters."""
+    return df.filter(slicer_condition(risk_type, action, severity, decision_source, min_final_score))
+
+
+def slicer_condition(risk_type: str = ALL, action: str = ALL, severity: str = ALL,
+                     decision_source: str = ALL, min_final_score: int = 0) -> Column:
     cond = F.col("final_risk_score") >= F.lit(min_final_score)
     for column, value in (("risk_type", risk_type), ("final_action", action),
                           ("severity", severity), ("decision_source", decision_source)):
         if value != ALL:
             cond = cond & (F.col(column) == F.lit(value))
-    return df.filter(cond)
+    return cond
+
+
+def rows_of_matching_keys(df: DataFrame, condition: Column, key: str = "transaction_id") -> DataFrame:
+    """K10/K11 over one flow: every row whose key has a row that meets the condition. The flow
+    is computed once, where a semi-join of two views of it computes it on both sides."""
+    hit = F.max(F.coalesce(condition, F.lit(False))).over(Window.partitionBy(key))
+    return df.withColumn("_hit", hit).where(F.col("_hit") & F.col(key).isNotNull()).drop("_hit")
 
 
 def slicer_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:

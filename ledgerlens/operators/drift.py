@@ -1,4 +1,4 @@
-"""Distribution-drift monitoring in two passes over the data.
+"""Distribution-drift monitoring in a few passes over the data.
 
 Both frames are tagged with a ``side`` and unpivoted to a long
 ``(side, feature, value)`` table, so the work is one job for all numeric
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.quantiles import exact_quantiles
+from ledgerlens.session import shared_table
 
 REFERENCE, CURRENT = "reference", "current"
 ALERT_CODE = {"OK": 0, "WARN": 1, "ALERT": 2}
@@ -104,46 +105,34 @@ def numeric_drift(reference: DataFrame, current: DataFrame, features: Sequence[s
 
 def numeric_drift_long(long: DataFrame, n_bins: int = 10, warn: float = 0.10, alert: float = 0.25,
                        epsilon: float = 1e-6) -> DataFrame:
-    # One value count serves the reference side's edges and both sides' medians.
-    q = exact_quantiles(long, "value", [*quantile_levels(n_bins), 0.5], ["feature", "side"])
+    """Three scans of the long table: sketches and moments of both sides, exact quantiles of
+    both sides, and the bin counts, one row per feature with a count for each side and bin."""
+    q = shared_table(exact_quantiles(long, "value", [*quantile_levels(n_bins), 0.5], ["feature", "side"],
+                                     extra=[F.avg("v").alias("mean"), F.stddev_pop("v").alias("std")]), "drift-quantiles")
     edges = _edges(q.where(F.col("side") == REFERENCE).withColumn("qs", F.slice("qs", 1, n_bins + 1)), n_bins)
-    medians = q.select("feature", "side", F.col("qs")[n_bins + 1].alias("median"))
-    stats = long.groupBy("feature", "side").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
-    stats = stats.join(medians, ["feature", "side"])
-    counts = (long.join(F.broadcast(edges), "feature")
-              .select("feature", "side", bin_index(F.col("value"), F.col("inner_edges"), n_bins).alias("bin"))
-              .groupBy("feature", "side", "bin").agg(F.count(F.lit(1)).alias("c")))
-    grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.size("inner_edges"))).alias("bin"))
-    ref_c = counts.where(F.col("side") == REFERENCE).select("feature", "bin", F.col("c").alias("rc"))
-    cur_c = counts.where(F.col("side") == CURRENT).select("feature", "bin", F.col("c").alias("cc"))
-    ref_n = stats.where(F.col("side") == REFERENCE).select("feature", F.col("n").alias("rn"))
-    cur_n = stats.where(F.col("side") == CURRENT).select("feature", F.col("n").alias("cn"))
-    eps = F.lit(epsilon)
-    props = (grid.join(ref_c, ["feature", "bin"], "left").join(cur_c, ["feature", "bin"], "left")
-             .join(ref_n, "feature", "left").join(cur_n, "feature", "left")
-             .select("feature",
-                     F.greatest(F.coalesce("rc", F.lit(0)) / F.col("rn"), eps).alias("rp"),
-                     F.greatest(F.coalesce("cc", F.lit(0)) / F.col("cn"), eps).alias("cp")))
-    psi = props.groupBy("feature").agg(
-        F.greatest(F.lit(0.0), F.sum((F.col("cp") - F.col("rp")) * F.ln(F.col("cp") / F.col("rp")))).alias("psi"))
-    r = stats.where(F.col("side") == REFERENCE).select(
-        "feature", F.col("n").alias("reference_count"), F.col("mean").alias("reference_mean"),
-        F.col("std").alias("reference_std"), F.col("median").alias("reference_median"))
-    c = stats.where(F.col("side") == CURRENT).select(
-        "feature", F.col("n").alias("current_count"), F.col("mean").alias("current_mean"),
-        F.col("std").alias("current_std"), F.col("median").alias("current_median"))
-    out = r.join(c, "feature", "full").join(psi, "feature", "left")
+    binned = (long.join(F.broadcast(edges), "feature")      # features x bins numbers
+              .select("feature", "side", F.size("inner_edges").alias("last"), bin_index(F.col("value"), F.col("inner_edges"), n_bins).alias("bin")))
+    of = {"r": REFERENCE, "c": CURRENT}
+    bins = binned.groupBy("feature").agg(F.max("last").alias("last"), *[
+        F.count_if((F.col("side") == side) & (F.col("bin") == b)).alias(f"{p}{b}") for p, side in of.items() for b in range(n_bins)])
+    value = {"count": F.col("n"), "mean": F.col("mean"), "std": F.col("std"), "median": F.col("qs")[n_bins + 1]}
+    sides = q.groupBy("feature").agg(*[F.max(F.when(F.col("side") == side, c)).alias(f"{side}_{name}") for side in of.values() for name, c in value.items()])
+    eps, zero = F.lit(epsilon), F.lit(0.0)
+
+    def term(b: int) -> Column:
+        r = F.greatest(F.col(f"r{b}") / F.col("reference_count"), eps)
+        c = F.greatest(F.col(f"c{b}") / F.col("current_count"), eps)
+        return F.when(F.col("last") >= b, (c - r) * F.ln(c / r)).otherwise(zero)
+
     # A feature without a number on one side fails the query
-    psi_col = F.when(F.col("reference_count").isNotNull() & F.col("current_count").isNotNull(), F.col("psi")) \
+    psi = F.when(F.col("reference_count").isNotNull() & F.col("current_count").isNotNull(), F.greatest(zero, sum((term(b) for b in range(1, n_bins)), term(0)))) \
         .otherwise(F.raise_error("Both reference and current values must contain numeric data.").cast("double"))
-    return out.select(
+    at = sides.join(F.broadcast(bins), "feature", "left").withColumn("population_stability_index", psi)  # a row per feature
+    return at.select(
         F.col("feature").alias("feature_name"),
-        F.coalesce("reference_count", F.lit(0)).alias("reference_count"),
-        F.coalesce("current_count", F.lit(0)).alias("current_count"),
-        "reference_mean", "current_mean", "reference_std", "current_std", "reference_median", "current_median",
-        psi_col.alias("population_stability_index"),
-        alert_level(psi_col, warn, alert).alias("alert_level"))
+        *[F.coalesce(f"{side}_count", F.lit(0)).alias(f"{side}_count") for side in of.values()],
+        *[f"{side}_{name}" for name in ("mean", "std", "median") for side in of.values()],
+        "population_stability_index", alert_level(F.col("population_stability_index"), warn, alert).alias("alert_level"))
 
 
 def category_proportions(long: DataFrame) -> DataFrame:
@@ -228,17 +217,27 @@ def monitoring_report(numeric: DataFrame, categorical: DataFrame, decision: Data
 def monitoring_frames(reference: DataFrame, current: DataFrame, numeric_features: Sequence[str],
                       categorical_features: Sequence[str], decision_column: str | None = "final_decision",
                       n_bins: int = 10) -> dict[str, DataFrame]:
-    """The four report tables (write them with ``write_report_set``)."""
-    num = numeric_drift(reference, current, numeric_features, n_bins)
-    cat = categorical_drift(reference, current, categorical_features)
-    dec = None
-    if decision_column and decision_column in reference.columns and decision_column in current.columns:
-        dec = decision_drift(reference, current, decision_column)
-    frames = {"numeric_drift": num, "categorical_drift": cat,
-              "summary": monitoring_report(num, cat, dec)}
-    if dec is not None:
-        frames["decision_drift"] = dec
-    return frames
+    """The four report tables (write them with ``commit_report_set``)."""
+    both = lambda features: [f for f in features if f in reference.columns and f in current.columns]
+    numeric, categorical = both(numeric_features), both(categorical_features)
+    decision = (both([decision_column]) if decision_column else [None])[:1] or [None]
+    used = list(dict.fromkeys([*numeric, *categorical, *[d for d in decision if d]]))
+    return monitoring_frames_tagged(tag_sides(reference, current, used), numeric, categorical, decision[0], n_bins)
+
+
+def monitoring_frames_tagged(tagged: DataFrame, numeric_features: Sequence[str], categorical_features: Sequence[str],
+                             decision_column: str | None = None, n_bins: int = 10) -> dict[str, DataFrame]:
+    """The report tables of one frame whose rows name their ``side``. The per-feature tables
+    are computed once and kept (a few rows); categories and decisions share one scan."""
+    num = shared_table(numeric_drift_long(numeric_long(tagged, numeric_features), n_bins), "numeric-drift")
+    named = [*categorical_features, *([decision_column] if decision_column else [])]
+    moved = shared_table(categorical_drift_long(categorical_long(tagged, list(dict.fromkeys(named)))), "categorical-drift")
+    cat, dec = moved.where(F.col("feature_name").isin(list(categorical_features))), None
+    if decision_column:
+        dec = moved.where(F.col("feature_name") == decision_column).select(
+            F.col("feature_name").alias("decision_column"), "reference_count", "current_count", "total_variation_distance", "alert_level")
+    frames = {"numeric_drift": num, "categorical_drift": cat, "summary": monitoring_report(num, cat, dec)}
+    return frames | ({} if dec is None else {"decision_drift": dec})
 
 
 def windowed_numeric_drift(reference: DataFrame, current: DataFrame, features: Sequence[str],
@@ -283,10 +282,14 @@ def windowed_numeric_drift(reference: DataFrame, current: DataFrame, features: S
 def monitoring_summary_text(frames: dict) -> DataFrame:
     """The multi-line summary, from the (tiny, per-feature) report tables."""
     num, cat, summ = frames["numeric_drift"], frames["categorical_drift"], frames["summary"]
-    rows = num.select("feature_name", "alert_level").unionByName(cat.select("feature_name", "alert_level"))
-    names = rows.agg(
-        F.array_join(F.collect_list(F.when(F.col("alert_level") == "ALERT", F.col("feature_name"))), ", ").alias("al"),
-        F.array_join(F.collect_list(F.when(F.col("alert_level") == "WARN", F.col("feature_name"))), ", ").alias("wa"))
+    rows = num.select(F.lit(0).alias("kind"), "feature_name", "alert_level").unionByName(cat.select(F.lit(1).alias("kind"), "feature_name", "alert_level"))
+
+    def named(level: str) -> Column:
+        """Numeric features first, by name (a few features)."""
+        hit = F.sort_array(F.collect_list(F.when(F.col("alert_level") == level, F.struct("kind", "feature_name"))))
+        return F.array_join(F.transform(hit, lambda x: x["feature_name"]), ", ")
+
+    names = rows.agg(named("ALERT").alias("al"), named("WARN").alias("wa"))
     dec = frames.get("decision_drift")
     # single values from the tiny tables as scalar subqueries (no join needed)
     base = summ.withColumns({

@@ -15,8 +15,6 @@
 from __future__ import annotations
 
 import math
-import os
-import uuid
 from collections.abc import Sequence
 
 import numpy as np
@@ -26,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions.quantiles import exact_quantiles
-from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.session import shared_table
 
 # The 15 model features in reference order.
 FEATURE_COLUMNS = [
@@ -387,11 +385,8 @@ def flag_anomalies(rows: DataFrame, normal: str, id_col: str, vec_col: str, leve
     and add ``anomaly_score``, ``isolation_forest_anomaly_score`` (scaled to 0..100 by the
     normal rows' range) and ``predicted_anomaly`` (at or above the normal rows' ``level``
     quantile). Scores are computed once, into a table under the checkpoint folder."""
-    spark = rows.sparkSession
     forest, psi = isolation_forest_fit(rows.where(normal), id_col, vec_col, n_trees, sample_size, seed)
-    path = os.path.join(ensure_checkpoint_dir(spark), f"forest-scores-{uuid.uuid4().hex[:12]}")
-    isolation_forest_score(rows, forest, psi, vec_col).write.parquet(path)
-    scored = spark.read.parquet(path)
+    scored = shared_table(isolation_forest_score(rows, forest, psi, vec_col), "forest-scores")
     fitted = exact_quantiles(scored.where(normal), "anomaly_score", [level]).select("mn", "mx", F.col("qs")[0].alias("cut")).first()
     share = minmax_normalize(F.col("anomaly_score"), F.lit(fitted["mn"]), F.lit(fitted["mx"]))
     return scored.withColumns({"isolation_forest_anomaly_score": F.bround(share * 100, 0).cast("int"),

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from ledgerlens.functions.expr import py_strip
 from ledgerlens.functions.stopwords import ENGLISH
+from ledgerlens.sources.tables import spread
 
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
@@ -109,7 +110,7 @@ def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                             [source, *(pa.array(columns[c], pa.string() if c == "text" else pa.int32()) for c in names[1:])], names=["source", *names[1:]])
                     rows, size = [], 0
 
-    staged = docs.select(F.col(id_col).alias("source"), F.col(text_col).alias("_t")).where(F.col("_t").isNotNull())
+    staged = spread(docs.select(F.col(id_col).alias("source"), F.col(text_col).alias("_t")).where(F.col("_t").isNotNull()))
     schema = T.StructType([T.StructField("source", docs.schema[id_col].dataType), T.StructField("chunk_ordinal", T.IntegerType()),
                            T.StructField("text", T.StringType()), T.StructField("start_char", T.IntegerType()), T.StructField("end_char", T.IntegerType())])
     return staged.mapInArrow(fold, schema).select(
@@ -151,7 +152,7 @@ def tfidf_raw(units: DataFrame, unit_col: str, text_col: str = "text",
     norms(unit, norm)). Terms are counted where the texts are read (a partial aggregate),
     so no text is shuffled; ``raw`` is left partitioned by term (its join key with idf),
     and ``norms`` is a partially aggregated per-unit sum of squares."""
-    docs = units.select(F.col(unit_col).alias("unit"), F.col(text_col).alias("_t"))
+    docs = spread(units.select(F.col(unit_col).alias("unit"), F.col(text_col).alias("_t")), "unit")
     terms = explode_terms(docs, "unit", F.col("_t"), stop_words)
     tf = terms.groupBy("unit", "term").agg(F.count(F.lit(1)).alias("tf"))
     # corpus size as a scalar subquery (one value, no join needed)

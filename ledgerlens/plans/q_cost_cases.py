@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import cases as CS
@@ -9,7 +12,8 @@ from ledgerlens.operators import cost as CO
 from ledgerlens.plans.registry import register
 from ledgerlens.plans.sql_twins import REQUESTS_CTE, with_
 from ledgerlens.sources.fixtures import REQUEST_COLUMNS, case_events_orders, requests_orders
-from ledgerlens.sources.tables import read_table
+from ledgerlens.session import ensure_checkpoint_dir
+from ledgerlens.sources.tables import read_table, read_tolerant
 
 AS_OF = "2026-01-01T00:00:00+00:00"
 
@@ -44,6 +48,40 @@ def _scored(spark, sf):
     return CO.cost_decisions(_requests(spark, sf))
 
 
+POLICY_CUT = 50
+
+
+def policy_versions(orders):
+    """A policy table from the orders: per priority and year, in force from the first order on,
+    with thresholds that follow the share of large orders."""
+    year = orders.groupBy(F.col("o_orderpriority").alias("segment"), F.year("o_orderdate").alias("y")).agg(
+        F.min("o_orderdate").alias("valid_from"), F.count(F.lit(1)).alias("n"))
+    return year.select("segment", "valid_from", (0.2 + (F.col("n") % POLICY_CUT) / 200e0).alias("review_threshold"),
+                       (0.6 + (F.col("n") % POLICY_CUT) / 250e0).alias("block_threshold"))
+
+
+@register("cost_decision_by_policy", with_(COST_CTE, f""",
+pv AS (SELECT o_orderpriority AS segment, year(o_orderdate) AS y, min(o_orderdate) AS valid_from,
+         2e-1 + (count(*) % {POLICY_CUT}) / 200e0 AS rt, 6e-1 + (count(*) % {POLICY_CUT}) / 250e0 AS bt FROM orders GROUP BY ALL),
+po AS (SELECT concat('TXN_', CAST(o_orderkey AS STRING)) AS transaction_id, p.rt, p.bt
+       FROM orders ASOF LEFT JOIN pv p ON o_orderpriority = p.segment AND o_orderdate >= p.valid_from)
+SELECT transaction_id, round_even(rt, 9) AS policy_review, round_even(bt, 9) AS policy_block, adj AS adjusted_risk_score,
+  CASE WHEN adj >= bt THEN 'BLOCK' WHEN adj >= rt THEN 'REVIEW' ELSE 'ALLOW' END AS decision
+FROM (SELECT transaction_id, rt, bt, greatest(0e0, least(1e0,
+        CASE WHEN conf < 0.55e0 THEN a3 + 0.08e0 ELSE a3 END)) AS adj
+      FROM (SELECT *, CASE WHEN anom AND raw >= rt THEN a2 + 0.15e0 ELSE a2 END AS a3
+            FROM (SELECT *, CASE WHEN anom THEN a1 + 0.10e0 ELSE a1 END AS a2
+                  FROM (SELECT cs.transaction_id, raw, conf, anom, rt, bt, CASE WHEN sev >= 80 THEN greatest(raw + 0.25e0, bt) WHEN sev >= 40 THEN raw + 0.12e0
+                                 WHEN sev > 0 THEN raw + 0.05e0 ELSE raw END AS a1 FROM cs JOIN po USING (transaction_id)))))"""))
+def q_cost_decision_by_policy(spark, sf):
+    """Thresholds by segment and time from a table of policy versions."""
+    orders = read_table(spark, sf, "orders")
+    rows = orders.select("o_orderpriority", "o_orderdate", *[F.expr(e).alias(n) for n, e in REQUEST_COLUMNS])
+    d = CO.cost_decisions_by_policy(rows, policy_versions(orders), "o_orderpriority", "o_orderdate")
+    return d.select("transaction_id", F.bround("policy_review", 9).alias("policy_review"), F.bround("policy_block", 9).alias("policy_block"),
+                    "adjusted_risk_score", "decision")
+
+
 @register("rule_severity", with_(COST_CTE, "SELECT transaction_id, sev AS rule_severity_score FROM costd"))
 def q_rule_severity(spark, sf):
     return _scored(spark, sf).select("transaction_id", "rule_severity_score")
@@ -250,3 +288,18 @@ def q_case_latest_status(spark, sf):
     ev = ev.select(CS.case_id_column(F.col("transaction_id")).alias("case_id"), "status",
                    F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("updated_at"))
     return CS.latest_status(_cases(spark, sf), ev).select("case_id", "status", "updated_at")
+
+
+@register("csv_quarantine", """SELECT CAST(o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 AS BOOLEAN) AS bad, count(*) AS n,
+  CAST(coalesce(sum(CASE WHEN NOT (o_orderkey % 97 = 0 OR o_orderkey % 89 = 0) THEN o_custkey END), 0) AS BIGINT) AS custkeys FROM orders GROUP BY 1""")
+def q_csv_quarantine(spark, sf):
+    """A1: the orders as a CSV file with damaged lines (a value that is no number; a value too
+    few), read back into good rows and a quarantine table."""
+    path = os.path.join(ensure_checkpoint_dir(spark), f"csv-{uuid.uuid4().hex[:12]}")
+    k = F.col("o_orderkey")
+    line = F.when(k % 97 == 0, F.concat(k.cast("string"), F.lit(",x,1.5"))).when(k % 89 == 0, F.concat(k.cast("string"), F.lit(",7"))) \
+        .otherwise(F.concat_ws(",", k.cast("string"), F.col("o_custkey").cast("string"), F.col("o_totalprice").cast("string")))
+    read_table(spark, sf, "orders").select(line.alias("value")).write.text(path)
+    good, bad = read_tolerant(spark, path, "o_orderkey bigint, o_custkey bigint, o_totalprice double", header=False)
+    return (good.select(F.lit(False).alias("bad"), "o_custkey").unionByName(bad.select(F.lit(True).alias("bad"), F.lit(None).cast("bigint").alias("o_custkey")))
+            .groupBy("bad").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("o_custkey"), F.lit(0)).alias("custkeys")))

@@ -275,15 +275,18 @@ _FILTER_SQL = "risk_type = '2-HIGH' AND final_action = 'BLOCK' AND final_risk_sc
 @register("audit_semi_join", with_(AUDIT_CTE, f"""SELECT {AUDIT_VIEW_COLS} FROM audit
 WHERE transaction_id IN (SELECT transaction_id FROM dash WHERE {_FILTER_SQL})"""))
 def q_audit_semi_join(spark, sf):
-    filtered = K.slicer_filter(_dash(spark, sf), risk_type="2-HIGH", action="BLOCK", min_final_score=50)
-    return K.semi_join_view(D.audit_flat(spark, sf), filtered)
+    return A.audit_view(A.audit_records(_matching_flow(spark, sf)))
+
+
+def _matching_flow(spark, sf):
+    """The decision flow's rows whose transaction has a row that passes the slicers."""
+    return K.rows_of_matching_keys(D.final_decisions(spark, sf), K.slicer_condition(risk_type="2-HIGH", action="BLOCK", min_final_score=50))
 
 
 @register("trace_semi_join", with_(AUDIT_CTE, f"""SELECT {', '.join(C.FINAL_TRACE_COLUMNS)} FROM final
 WHERE transaction_id IN (SELECT transaction_id FROM dash WHERE {_FILTER_SQL})"""))
 def q_trace_semi_join(spark, sf):
-    filtered = K.slicer_filter(_dash(spark, sf), risk_type="2-HIGH", action="BLOCK", min_final_score=50)
-    return K.semi_join_view(C.final_trace(D.final_decisions(spark, sf)), filtered)
+    return C.final_trace(_matching_flow(spark, sf))
 
 
 @register("record_lookup", with_(AUDIT_CTE, f"SELECT {', '.join(HIGH_RISK_COLS)} FROM dash WHERE transaction_id = 'TXN_7'"))

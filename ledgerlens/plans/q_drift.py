@@ -20,16 +20,10 @@ LI_NUMERIC = ["l_quantity", "l_discount", "l_extendedprice"]
 LI_CATEGORICAL = ["l_returnflag", "l_linestatus"]
 
 
-def _sides(spark, sf):
-    final = D.final_decisions(spark, sf)
-    cut = F.lit(DRIFT_CUT).cast("timestamp_ntz")
-    return final.where(F.col("timestamp") < cut), final.where(F.col("timestamp") >= cut)
-
-
-def _li_sides(spark, sf):
-    li = read_table(spark, sf, "lineitem")
-    cut = F.lit(DRIFT_CUT).cast("timestamp_ntz")
-    return li.where(F.col("l_shipdate") < cut), li.where(F.col("l_shipdate") >= cut)
+def _li_tagged(spark, sf, features):
+    """Both sides from one scan; rows without a date are on neither."""
+    li = read_table(spark, sf, "lineitem").where(F.col("l_shipdate").isNotNull())
+    return G.tag_by_condition(li, F.col("l_shipdate") < F.lit(DRIFT_CUT).cast("timestamp_ntz"), features)
 
 
 def _lit(x: float) -> str:
@@ -139,8 +133,8 @@ def q_categorical_drift(spark, sf):
   round_even(total_variation_distance, {R9}) AS total_variation_distance, alert_level
 FROM catd WHERE feature_name = '{DECISION}'"""))
 def q_decision_drift(spark, sf):
-    ref, cur = _sides(spark, sf)
-    d = G.decision_drift(ref, cur, DECISION)
+    d = G.categorical_drift_long(G.categorical_long(_tagged(spark, sf, [DECISION]), [DECISION])).select(
+        F.col("feature_name").alias("decision_column"), "reference_count", "current_count", "total_variation_distance", "alert_level")
     return d.withColumn("total_variation_distance", F.bround("total_variation_distance", R9))
 
 
@@ -148,9 +142,8 @@ def q_decision_drift(spark, sf):
   round_even(count(*) / CAST(sum(count(*)) OVER (PARTITION BY feature, side) AS DOUBLE), {R9}) AS proportion
 FROM cl GROUP BY feature, side, category ORDER BY feature, side, category"""))
 def q_distribution(spark, sf):
-    ref, cur = _sides(spark, sf)
     feats = CATEGORICAL + [DECISION]
-    long = G.categorical_long(G.tag_sides(ref, cur, feats), feats)
+    long = G.categorical_long(_tagged(spark, sf, feats), feats)
     return G.distribution(long).withColumn("proportion", F.bround("proportion", R9))
 
 
@@ -162,22 +155,23 @@ SELECT CASE max(CASE alert_level WHEN 'ALERT' THEN 2 WHEN 'WARN' THEN 1 ELSE 0 E
   count_if(kind = 'numeric') AS numeric_checked, count_if(kind = 'categorical') - 1 AS categorical_checked
 FROM lv""".lstrip()))
 def q_drift_report(spark, sf):
-    ref, cur = _sides(spark, sf)
-    frames = G.monitoring_frames(ref, cur, NUMERIC, CATEGORICAL, DECISION, N_BINS)
-    return frames["summary"].drop("summary")
+    return report_frames(spark, sf)["summary"].drop("summary")
+
+
+def report_frames(spark, sf):
+    tagged = _tagged(spark, sf, [*NUMERIC, *CATEGORICAL, DECISION])
+    return G.monitoring_frames_tagged(tagged, NUMERIC, CATEGORICAL, DECISION, N_BINS)
 
 
 @register("lineitem_numeric_drift", with_(LI_CTE, _NUM_SELECT))
 def q_lineitem_numeric_drift(spark, sf):
-    ref, cur = _li_sides(spark, sf)
-    return _round_num(G.numeric_drift(ref, cur, LI_NUMERIC, N_BINS))
+    return _round_num(G.numeric_drift_long(G.numeric_long(_li_tagged(spark, sf, LI_NUMERIC), LI_NUMERIC), N_BINS))
 
 
 @register("lineitem_categorical_drift", with_(LI_CTE, f"""SELECT feature_name, reference_count, current_count,
   round_even(total_variation_distance, {R9}) AS total_variation_distance, changed_categories, alert_level FROM catd"""))
 def q_lineitem_categorical_drift(spark, sf):
-    ref, cur = _li_sides(spark, sf)
-    d = G.categorical_drift(ref, cur, LI_CATEGORICAL)
+    d = G.categorical_drift_long(G.categorical_long(_li_tagged(spark, sf, LI_CATEGORICAL), LI_CATEGORICAL))
     return d.withColumn("total_variation_distance", F.bround("total_variation_distance", R9))
 
 

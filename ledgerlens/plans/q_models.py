@@ -8,6 +8,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.quantiles import exact_quantiles
+from ledgerlens.operators import dashboard as K
 from ledgerlens.operators import models as M
 from ledgerlens.plans import decisions as D
 from ledgerlens.plans.registry import register
@@ -180,6 +181,12 @@ def q_feature_importance(spark, sf):
     return M.feature_importance(model, spark=spark)
 
 
+@register("top_features")
+def q_top_features(spark, sf):
+    """The ten most important features of the random forest."""
+    return K.top_features(q_feature_importance(spark, sf), 10)
+
+
 @register("ml_score_columns", with_(REQUESTS_CTE, """SELECT transaction_id, fraud_probability AS ml_fraud_probability,
   CAST(round_even(fraud_probability * 100, 0) AS INTEGER) AS ml_fraud_score,
   CAST(round_even(greatest(fraud_probability, 1e0 - fraud_probability) * 100, 0) AS INTEGER) AS model_confidence,

@@ -6,8 +6,9 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -29,6 +30,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet under the shared checkpoint folder and read again: computed
+    once however often it is used, and not lost with an executor."""
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "ledgerlens") -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")

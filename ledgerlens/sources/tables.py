@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import os
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents "
                  "embeddings pages benchmark labels conversations").split()
@@ -22,17 +26,31 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def read_transactions(spark: SparkSession, path: str, fmt: str = "parquet",
-                      schema=None) -> DataFrame:
-    """A1 for user tables: explicit schema for text formats (never inferSchema)."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    if fmt == "csv":
-        if schema is None:
-            raise ValueError("CSV transactions need an explicit schema")
-        return reader.option("header", True).csv(path)
-    return reader.format(fmt).load(path)
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A scan with fewer splits than the cluster has cores (a small table in one file) is dealt
+    to all of them, by ``keys`` if given, before row-wise work; any larger scan is left where
+    it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
+def read_tolerant(spark: SparkSession, path: str, schema: str | T.StructType, fmt: str = "csv", header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """A1 for files that may hold bad lines: (good, bad). ``good`` has the schema's columns;
+    ``bad`` is the quarantine table: the line as it stands, the file it is in. A line is bad
+    if a value does not parse as its column's type or the number of values is wrong (CSV),
+    or if it is no object of the schema (JSON lines). Every line but the header is in one of
+    the two, whichever columns a query reads: lines are scanned as text and parsed whole."""
+    columns = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    full = T.StructType([*columns.fields, T.StructField("_bad", T.StringType())])
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    if header and fmt == "csv":
+        lines = lines.where(F.lower("value") != ",".join(columns.names).lower())
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    parse = {"csv": F.from_csv, "json": F.from_json}[fmt]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full)
+    rows = lines.withColumn("_row", parse("value", F.lit(ddl) if fmt == "csv" else full, options))
+    bad = F.col("_row").isNull() | F.col("_row._bad").isNotNull()
+    return rows.where(~bad).select(*[F.col("_row")[n].alias(n) for n in columns.names]), rows.where(bad).select(F.col("value").alias("line"), "file")
 
 
 class MissingColumnsError(ValueError):
@@ -58,10 +76,6 @@ def safe_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c in df.columns]
 
 
-def project_tolerant(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*safe_columns(df, columns))
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: Sequence[str] | None = None) -> str:
     """A5: overwrite a table (Parquet by default; CSV keeps a header)."""
@@ -89,6 +103,44 @@ def write_report_set(frames: Mapping[str, DataFrame], out_dir: str, prefix: str,
     return paths
 
 
+def commit_report_set(frames: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet") -> str:
+    """A9 committed as a whole: every frame is written into a folder of this version, and only
+    then a manifest that names them appears in one step (written beside it, then renamed). A
+    reader sees the frames of the last manifest, all of one version, or none; a run that
+    fails midway leaves a folder that no manifest names."""
+    spark = next(iter(frames.values())).sparkSession
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    paths = {name: write_table(frame, os.path.join(out_dir, "versions", version, name), fmt) for name, frame in frames.items()}
+    fs, hadoop_path = _filesystem(spark, out_dir)
+    final, part = (hadoop_path(os.path.join(out_dir, "manifests", f)) for f in (f"{version}.json", f".{version}.part"))
+    fs.mkdirs(final.getParent())
+    stream = fs.create(part, True)
+    stream.write(bytearray(json.dumps({"format": fmt, "frames": {n: os.path.relpath(p, out_dir) for n, p in paths.items()}}).encode()))
+    stream.close()
+    if not fs.rename(part, final):
+        raise OSError(f"could not commit {final}")
+    return version
+
+
+def read_report_set(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """The frames of the last committed version; empty if there is none."""
+    fs, hadoop_path = _filesystem(spark, out_dir)
+    folder = hadoop_path(os.path.join(out_dir, "manifests"))
+    names = sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+    last = next((n for n in reversed(names) if n.endswith(".json")), None)
+    if last is None:
+        return {}
+    text = "".join(r["value"] for r in spark.read.text(os.path.join(out_dir, "manifests", last)).collect())
+    manifest = json.loads(text)
+    return {name: spark.read.format(manifest["format"]).load(os.path.join(out_dir, path)) for name, path in manifest["frames"].items()}
+
+
+def _filesystem(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and its Path class (any store that Spark writes to)."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
 TEXT_SUFFIX_GLOB = "*.{md,MD,Md,mD,txt,TXT,Txt,tXt,txT,TXt,TxT,tXT}"
 
 
