@@ -120,11 +120,29 @@ def q_scored_requests(spark, sf):
         "rule_severity_score", "anomaly_flag", "model_confidence")
 
 
-@register("cost_reasons")
+# The reason and explanation sentences, as the operator must give them.
+@register("cost_reasons", with_(COST_CTE, """,
+rs AS (SELECT *, list_filter([
+    'Base fraud probability: ' || printf('%.3f', raw),
+    CASE WHEN sev >= 80 THEN 'Severe rule risk detected with severity score ' || sev || '/100'
+         WHEN sev >= 40 THEN 'Moderate rule risk detected with severity score ' || sev || '/100'
+         WHEN sev > 0 THEN 'Minor rule risk detected with severity score ' || sev || '/100' END,
+    CASE WHEN sev >= 80 THEN 'Severe rule risk forces a block-level decision' END,
+    CASE WHEN anom THEN 'Anomaly detector flagged unusual transaction behavior' END,
+    CASE WHEN anom AND raw >= 0.35e0 THEN 'Anomaly flag combined with elevated fraud probability' END,
+    CASE WHEN conf < 0.55e0 THEN 'Model confidence is low at ' || printf('%.3f', conf) END,
+    'Adjusted risk ' || printf('%.3f', adjusted_risk_score) || CASE WHEN adjusted_risk_score >= 0.75e0 THEN ' exceeds block threshold 0.750'
+      WHEN adjusted_risk_score >= 0.35e0 THEN ' exceeds review threshold 0.350' ELSE ' is below review threshold 0.350' END],
+  lambda x: x IS NOT NULL) AS r FROM costd)
+SELECT transaction_id, array_to_string(r, '|') AS reasons, concat_ws(chr(10), 'Decision: ' || decision,
+  'Raw fraud probability: ' || printf('%.3f', raw), 'Adjusted risk score: ' || printf('%.3f', adjusted_risk_score),
+  'Rule severity score: ' || sev || '/100', 'Anomaly flag: ' || CASE WHEN anom THEN 'True' ELSE 'False' END,
+  'Model confidence: ' || printf('%.3f', conf), 'Reasons:', array_to_string(list_transform(r, lambda x: '- ' || x), chr(10))) AS explanation
+FROM rs"""))
 def q_cost_reasons(spark, sf):
-    """Reason lists and explanation text (``%.3f`` text; rows-only check)."""
+    """D7 + D8: reason lists and explanation texts."""
     s = _scored(spark, sf)
-    return s.select("transaction_id", "reasons", CO.explanation_text(s).alias("explanation"))
+    return s.select("transaction_id", F.array_join("reasons", "|").alias("reasons"), CO.explanation_text(s).alias("explanation"))
 
 
 _QPROB = "(CAST(o_orderkey * 53 % 101 AS INT) - 3) / 95e0"

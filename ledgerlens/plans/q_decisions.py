@@ -176,10 +176,20 @@ def q_audit_summary_counts(spark, sf):
     return A.audit_summary_counts(D.final_decisions(spark, sf))
 
 
-@register("audit_documents")
+@register("audit_documents", with_(AUDIT_CTE, """SELECT 'AUD_' || f.transaction_id AS audit_id, 'TRANSACTION_RISK_DECISION' AS event_type, f.transaction_id,
+  f.account_id, CAST(f.amount AS DOUBLE) AS amount, CAST(f.daily_limit AS DOUBLE) AS daily_limit, CAST(f.total_after_txn AS DOUBLE) AS total_after_txn,
+  concat_ws(',', CAST(daily_limit_breach AS INT), CAST(velocity_spike AS INT), CAST(large_amount_anomaly AS INT), CAST(new_beneficiary_risk AS INT),
+    CAST(account_takeover_signal AS INT), CAST(high_merchant_risk AS INT), CAST(failed_login_risk AS INT)) AS risk_signals,
+  rule_action, reason_codes, CAST(predicted_fraud AS INT) AS predicted_fraud,
+  autoencoder_anomaly_score >= 70 AS autoencoder_anomaly_flag, isolation_forest_anomaly_score >= 75 AS isolation_forest_anomaly_flag,
+  final_action, CAST(final_action_code AS INT) AS final_action_code, final_reason, risk_type, CAST(is_fraud AS INT) AS is_fraud, true AS hardware_packet_ready
+FROM final f"""))
 def q_audit_documents(spark, sf):
-    """Nested audit documents (JSON-lines shape); rows-only check."""
-    return D.audit_docs(spark, sf)
+    """E4 + E6: the nested audit documents, their groups laid out as columns."""
+    r = D.audit_docs(spark, sf)
+    return r.select("audit_id", "event_type", "transaction_id", "transaction.*", F.concat_ws(",", *[F.col(f"risk_signals.{n}").cast("string") for n in r.schema["risk_signals"].dataType.names]).alias("risk_signals"),
+                    "rule_decision.*", "ml_decision.predicted_fraud", "anomaly_decision.autoencoder_anomaly_flag", "anomaly_decision.isolation_forest_anomaly_flag",
+                    "final_decision.*", "ground_truth.*", "hardware_packet_ready")
 
 
 # ---------------- K: dashboard ----------------
