@@ -80,7 +80,11 @@ CLOSES |= {"li": (frozenset(["li", "p"]), frozenset("ul ol menu dir".split())),
            "th": (frozenset(["td", "th", "p"]), frozenset(["tr", "table"])), "tr": (frozenset(["tr", "td", "th", "p"]), frozenset(["table"])),
            "tbody": (frozenset("tbody thead tfoot tr td th p".split()), frozenset(["table"])), "option": (frozenset(["option"]), frozenset(["select"]))}
 
-_TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|[^<]+|<", re.S)
+_COMMENT = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))", re.S)
+_TAG = re.compile(r"</?+([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+#: The same without regard to quotes, for pages in which a tag's quotes do not close.
+_PLAIN = re.compile(r"</?+([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_OPENS = re.compile(r"</?+[a-zA-Z]")
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORDS = re.compile(r"[a-z]+")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
@@ -93,47 +97,82 @@ class Node:
         self.tag, self.attrs, self.children, self.digest, self.holds = tag, attrs, [], 0, False
 
 
+class _Open:
+    """The open elements, and for each tag the places of those it has, topmost last."""
+
+    def __init__(self, root: Node):
+        self.stack, self.at = [root], {}
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def close(self, place: int) -> None:
+        """Close the element at ``place`` and all above it."""
+        for node in self.stack[place:]:
+            self.at[node.tag].pop()
+        del self.stack[place:]
+
+    def top(self, tags) -> int:
+        """Place of the topmost open element of these tags; 0 if there is none."""
+        return max((places[-1] for t in tags if (places := self.at.get(t))), default=0)
+
+
 def parse(page: str) -> Node:
-    """Tree of a page: children are Nodes or decoded texts."""
+    """Tree of a page: children are Nodes or decoded texts.
+
+    Linear in the page: a tag whose quotes never close is read without regard to quotes, as
+    are all after it; behind the last ``>`` all is text; open elements are looked up by tag."""
     root = Node("html")
-    stack = [root]
-    pos, size = 0, len(page)
-    match = _TOKEN.match
+    elements = _Open(root)
+    stack = elements.stack
+    pos, size, last = 0, len(page), page.rfind(">")
+    quoted = True
     while pos < size:
-        m = match(page, pos)
-        if m is None:  # an unclosed tag: its "<" is text
-            stack[-1].children.append(page[pos])
+        if page[pos] != "<":
+            until = page.find("<", pos)
+            until = size if until < 0 else until
+            text, pos = page[pos:until], until
+            stack[-1].children.append(html_lib.unescape(text) if "&" in text else text)
+            continue
+        ends = page.startswith("</", pos)
+        if not _OPENS.match(page, pos):
+            if page.startswith("<!--", pos):
+                pos = _COMMENT.match(page, pos).end()
+            elif ends or page[pos + 1:pos + 2] in ("!", "?"):
+                pos = page.find(">", pos) + 1 or size
+            else:  # a "<" that opens no tag is text
+                stack[-1].children.append("<")
+                pos += 1
+            continue
+        m = _TAG.match(page, pos) if quoted and pos < last else None
+        if m is None and pos < last:
+            quoted, m = False, _PLAIN.match(page, pos)
+        if m is None:
+            if ends:
+                break
+            stack[-1].children.append("<")
             pos += 1
             continue
         pos = m.end()
-        tag = m.group(2)
-        if tag is None:
-            token = m.group()
-            if token[0] != "<" or token == "<":
-                stack[-1].children.append(html_lib.unescape(token) if "&" in token else token)
-            continue
+        tag = m.group(1)
         tag = tag.lower()
-        if m.group(1):  # end tag
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-            else:
-                if tag == "p":
-                    stack[-1].children.append(Node("p"))
+        if ends:
+            place = elements.top((tag,))
+            if place:
+                elements.close(place)
+            elif tag == "p":
+                stack[-1].children.append(Node("p"))
             continue
-        if tag in ("html", "body") and any(x.tag == tag for x in stack):
+        if tag in ("html", "body") and (tag == "html" or elements.top((tag,))):
             continue
         if tag in CLOSES:
             kinds, stop = CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in stop:
-                    break
-                if stack[i].tag in kinds:
-                    del stack[i:]
-                    if kinds == {"p"}:
-                        break
-        node = Node(tag, m.group(3))
+            place = elements.top(kinds)
+            while place and (place == len(stack) - 1 or place > elements.top(stop)):
+                elements.close(place)
+                place = 0 if kinds == {"p"} else elements.top(kinds)
+        node = Node(tag, m.group(2))
         stack[-1].children.append(node)
         if tag in RAW:
             end = _RAW_END[tag].search(page, pos)
@@ -142,7 +181,7 @@ def parse(page: str) -> Node:
             pos = page.find(">", stop_at) + 1 if end else size
             pos = pos or size
         elif tag not in VOID:
-            stack.append(node)
+            elements.push(node)
     return root
 
 
@@ -154,13 +193,9 @@ def _furniture(name: str, in_article: bool) -> bool:
 
 
 def _named(tag: str, attrs: str, in_article: bool, holds: bool) -> bool:
-    """Do role, class, id or hidden name page furniture?"""
-    for name, a, b, c in _ATTR.findall(attrs):
+    """Do role, class or id name page furniture?"""
+    for name, a, b, c in [] if holds else _ATTR.findall(attrs):
         name, value = name.lower(), (a or b or c).lower()
-        if name == "hidden":
-            return True
-        if holds:
-            continue
         if name == "role" and value in DROP_ROLES:
             return True
         if tag in HEADINGS:

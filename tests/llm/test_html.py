@@ -16,7 +16,7 @@ def test_article_only():
 @pytest.mark.parametrize("page,text", [
     (None, ""), ("", ""), ("plain  text", "plain text"), ("<p>a<p>b", "a b"), ("<b>a</b>b <i>c</i>", "ab c"), ("a < b &lt; c &#233;", "a < b < c é"),
     ("<main><p>m</main><p>out", "m"), ("<p>x<script>if (a<b) {}</script>y", "xy"), ("<script>never closed <p>x", ""), ("<!-- open <p>x", ""),
-    ("</div></p>ok<br/>then", "ok then"), ("<div style='overflow:hidden'>seen</div><div hidden>no</div>", "seen"), ("<a href='x>y'>t</a", "t"),
+    ("</div></p>ok<br/>then", "ok then"), ("<div style='overflow:hidden'>seen</div><div hidden>told</div>", "seen told"), ("<a href='x>y'>t</a", "t"),
     ("<div role=navigation>n</div><div class='Main_Menu'>m</div>text", "text"), ("<div>" * 5000 + "deep" + "</div>" * 5000, "deep")])
 def test_small_pages(page, text):
     assert H.main_text(page) == text
@@ -33,6 +33,45 @@ def test_furniture_is_named_as_a_whole(page, text):
     assert H.main_text(page) == text
 
 
+MB = 1_000_000
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * (MB // 3), "<a \"" * (MB // 4), "<a '\">" * (MB // 6) + "<p>x", "<a \"'" * (MB // 5) + ">", "<a b='" + "<p>c " * (MB // 5), "<p>x</p>" * 1000 + "<a \"" + "<i>y</i>" * (MB // 8),
+    "<div>" * (MB // 10) + "</b>" * (MB // 8), "<i>" * (MB // 6) + "<hr>" * (MB // 8), "<p><button>" + "<i>" * (MB // 6) + "<hr>" * (MB // 8), "<li><ul>" + "<b>" * (MB // 6) + "<li>" * (MB // 8),
+    "<div>" * (MB // 10) + "t" + "</div>" * (MB // 12), "<!-- " * (MB // 5), "<!x " * (MB // 4), "</" * (MB // 2), "<" * MB, "&amp" * (MB // 4), "<script>" * (MB // 8), "<td>" * (MB // 4), "<body>" * (MB // 6)])
+def test_a_megabyte_of_bad_markup_takes_linear_time(page):
+    import time
+    t0 = time.process_time()
+    H.main_text(page, {1})
+    assert time.process_time() - t0 < 20
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<p>a<a title=\"never closed>b</a><p>c", "ab c"), ("<p>x <a y <b>z", "x z"), ("a <b", "a <b"), ("<p>1 < 2 <!-- c --> 3", "1 < 2 3"), ("<p title='a>b'>t", "t"),
+    ("<a b=\"x>y<!-- gone -->z", "y z".replace(" ", "")), ("</ p>q", "q"), ("<p>l<ul><li>a<p>b<li>c</ul>d", "l a b c d"), ("<table><tr><td>1<td>2<tr><td>3</table>4", "1 2 3 4")])
+def test_odd_markup(page, text):
+    assert H.main_text(page) == text
+
+
+def test_template_counts_equal_brute_force(spark):
+    from collections import Counter, defaultdict
+    rows = [(i, f"https://h{i % 3}.example/{i}", f"<div><p>Own {i}</p><div>All</div><ul><li>Item {i % 2}</ul><section>Part {i % 4}</section></div>", "z") for i in range(40)]
+    rows += [(100 + i, "https://h0.example/again", rows[0][2], "z") for i in range(5)]
+    pages = defaultdict(set)
+    for _, url, html, _ in rows:
+        pages[url.split("/")[2]].add(html)
+    want = set()
+    for host, htmls in pages.items():
+        n, value = Counter(), {}
+        for h in htmls:
+            own = H.subtrees(h)
+            n.update(own.keys())
+            value.update(own)
+        want |= {(host, x) for x, c in n.items() if c >= H.MIN_PAGES and (c >= H.MIN_SHARE * len(htmls) or not value[x] and c >= H.MANY_PAGES)}
+    assert {tuple(r) for r in H.site_templates(frame(spark, rows)).collect()} == want and want
+
+
 def site(n):
     return [(i, f"https://H.example/{i}", f"<div><div><em>Our shop</em></div><p>Story {i} told.</p><p>Same line.</p><div><p>All about us</p></div></div>", "z") for i in range(n)]
 
