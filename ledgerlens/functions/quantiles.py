@@ -69,13 +69,18 @@ def exact_quantiles(df: DataFrame, value: str, levels: Sequence[float], groups:
     n_groups = stats.limit(FEW_GROUPS + 1).count()
     hint = F.broadcast if n_groups <= FEW_GROUPS else (lambda x: x)
 
-    at = lambda i: F.col("mn") if cuts[i] == 0.0 else F.col("mx") if cuts[i] == 1.0 else F.col("cuts")[i]
     m = len(points)
+
+    def at(i: int) -> Column:
+        """End of a bracket; a group of few rows, whose ranks the slack does not span, is all inside."""
+        end = F.col("mn") if i < m else F.col("mx")
+        return end if cuts[i] in (0.0, 1.0) else F.when(F.col("n") <= accuracy, end).otherwise(F.col("cuts")[i])
+
     v = F.col("v")
     inside = reduce(lambda x, y: x | y, [(v >= at(i)) & (v <= at(m + i)) for i in range(m)])
     past = sum((F.when(v > at(m + i), 1).otherwise(0) for i in range(1, m)), F.when(v > at(m), 1).otherwise(0))
     counts = shared_table(
-        d.join(hint(stats.select(*gs, "mn", "mx", "cuts")), gs).select(*gs, past.alias("past"), F.when(inside, v).alias("v"), v.alias("o"))
+        d.join(hint(stats.select(*gs, "n", "mn", "mx", "cuts")), gs).select(*gs, past.alias("past"), F.when(inside, v).alias("v"), v.alias("o"))
         .groupBy(*gs, "past", "v").agg(F.count(F.lit(1)).alias("c"), F.min("o").alias("o")), "quantile-brackets")
     cum = ranked_prefix_sums(counts, gs, "o", ["c"], descending=False, buckets=buckets, few_groups=n_groups * buckets <= FEW_GROUPS)
     others = [c for c in stats.columns if c not in (*gs, "cuts")]
