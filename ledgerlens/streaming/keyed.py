@@ -1,8 +1,8 @@
 """Keyed state on streams.
 
-* ``case_status_stream``: an arbitrary-state processor per case. The state is the
-  latest status; a closed case gets an event-time timer and leaves the state a
-  retention period after its last update.
+* ``case_status_stream``: an arbitrary-state processor per bucket of cases. The state is
+  each case's latest status; an event-time timer stands at the first expiry, and a closed
+  case leaves the state a retention period after its last update.
 * ``failed_login_stream``: transactions and logins joined on the account within an
   interval of event time, both sides watermarked, then counted per transaction.
 * ``account_history_stream``: an arbitrary-state processor per account. The state is
@@ -89,51 +89,84 @@ def drain_to_end(stream: DataFrame, markers: Sequence[EndMarker], sink: str, che
 
 
 class CaseStatus(StatefulProcessor):
-    """Latest (updated_at, status) of a case, in this order; closed cases expire."""
+    """Latest (updated_at, status) of each case of a bucket, in this order; closed cases expire.
+    The state's arrays are by case, so a bucket takes a few calls to the store, not a few per case."""
 
     def __init__(self, closed: Sequence[str], keep_ms: int):
         self.closed, self.keep_ms = tuple(closed), keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.latest = handle.getValueState("latest", "updated_at timestamp, status string, timer long")
+        # timer: the first expiry among the closed cases
+        self.latest = handle.getValueState("latest", "case_ids array<string>, us array<long>, statuses array<string>, timer long")
+
+    def _held(self):
+        ids, us, statuses, timer = self.latest.get() or ((), (), (), None)
+        return dict(zip(ids, zip(us, statuses))), timer
+
+    def _expiry(self, us: int, status: str | None) -> int | None:
+        return us // 1000 + self.keep_ms if status in self.closed else None
+
+    def _hold(self, held: dict, timer: int | None) -> None:
+        """Write the bucket; ``timer`` is the one still registered."""
+        first = min((x for v in held.values() if (x := self._expiry(*v)) is not None), default=None)
+        if first != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if first is not None:
+                self.handle.registerTimer(first)
+        if held:
+            us, statuses = zip(*held.values())
+            self.latest.update((list(held), list(us), list(statuses), first))
+        else:
+            self.latest.clear()
 
     def handleInputRows(self, key, rows, timerValues):
-        new = max((r for pdf in rows for r in zip(pdf["updated_at"], pdf["status"])), default=None)
-        old = self.latest.get() if self.latest.exists() else None
-        if new is None or (old is not None and (pd.Timestamp(old[0]), old[1]) >= new):
+        rank = lambda v: (v[0], v[1] is not None, v[1] or "")  # noqa: E731  (a null status sorts first)
+        new = {}
+        for pdf in rows:
+            for case, us, status in zip(pdf["case_id"], pdf["us"].tolist(), pdf["status"]):
+                if case not in new or rank((us, status)) > rank(new[case]):
+                    new[case] = us, status
+        held, timer = self._held()
+        changed = {c: v for c, v in new.items() if c not in held or rank(v) > rank(held[c])}
+        if not changed:
             return
-        if old is not None and old[2] is not None:
-            self.handle.deleteTimer(old[2])
-        expiry = None
-        if new[1] in self.closed:
-            expiry = int(new[0].value // 1_000_000) + self.keep_ms
-            self.handle.registerTimer(expiry)
-        self.latest.update((new[0].to_pydatetime(), new[1], expiry))
-        yield pd.DataFrame({"case_id": [key[0]], "status": [new[1]], "updated_at": [new[0]]})
+        held.update(changed)
+        self._hold(held, timer)
+        us, statuses = zip(*changed.values())
+        yield pd.DataFrame({"case_id": list(changed), "status": list(statuses), "us": list(us)})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.latest.clear()
-        yield pd.DataFrame({"case_id": [], "status": [], "updated_at": []}).astype({"case_id": str, "status": str, "updated_at": "datetime64[ns]"})
+        """Drop every closed case whose time is up (the fired timer goes by itself)."""
+        mark = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+        held, _ = self._held()
+        self._hold({c: v for c, v in held.items() if (x := self._expiry(*v)) is None or x > mark}, None)
+        yield from ()
 
     def close(self) -> None:
         pass
 
 
 def case_status_stream(events: DataFrame, watermark: str = "1 day", keep_days: int = 30,
-                       closed: Sequence[str] = CLOSED_STATUSES) -> DataFrame:
+                       closed: Sequence[str] = CLOSED_STATUSES, buckets: int = 2048) -> DataFrame:
     """(case_id, status, updated_at timestamp) updates -> a row whenever a case's latest
-    status changes. Use update mode and :func:`rocksdb_state`."""
+    status changes. Use update mode and :func:`rocksdb_state`. Cases are kept by the hash of
+    their id in ``buckets`` (fixed for a checkpoint), each read and written whole when a batch
+    touches it: set so many that a bucket's live cases are some thousands."""
     e = event_time(events.select("case_id", "status", "updated_at"), "updated_at", watermark).where(F.col("case_id").isNotNull())
-    return e.groupBy("case_id").transformWithStateInPandas(
-        CaseStatus(closed, keep_days * 86_400_000), "case_id string, status string, updated_at timestamp", "Update", "EventTime")
+    e = e.select(F.pmod(F.xxhash64("case_id"), F.lit(buckets)).alias("bucket"), "case_id", "status", F.unix_micros("updated_at").alias("us"), "updated_at")
+    out = e.groupBy("bucket").transformWithStateInPandas(
+        CaseStatus(closed, keep_days * 86_400_000), "case_id string, status string, us long", "Update", "EventTime")
+    return out.select("case_id", "status", F.timestamp_micros("us").alias("updated_at"))
 
 
 def case_states(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The cases that a drained status stream still holds: case_id, updated_at, status."""
     with rocksdb_state(spark):
         state = spark.read.format("statestore").option("stateVarName", "latest").load(checkpoint)
-        return state.select("key.case_id", "value.updated_at", "value.status")
+        held = state.select(F.inline(F.arrays_zip(*[F.col(f"value.{c}").alias(c) for c in ("case_ids", "us", "statuses")])))
+        return held.select(F.col("case_ids").alias("case_id"), F.timestamp_micros("us").alias("updated_at"), F.col("statuses").alias("status"))
 
 
 def failed_login_stream(tx: DataFrame, logins: DataFrame, account: str = "account_id", ts: str = "timestamp", minutes: int = 60,

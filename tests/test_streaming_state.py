@@ -2,8 +2,11 @@
 and state that leaves (L2-L4, L8, L9)."""
 
 import datetime as dt
+import random
 import time
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +61,80 @@ def test_case_status_equals_batch_and_closed_cases_leave_the_state(spark, fed, t
     assert held == {"b": "ESCALATED", "c": "UNDER_REVIEW", "d": "ESCALATED", "e": "ESCALATED", "f": "UNDER_REVIEW"}
 
 
+class Store:
+    """A bucket's value state and timers in memory, counting the calls."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def _called(self):
+        self.calls += 1
+
+    def get(self):
+        return self._called() or self.value
+
+    def update(self, value):
+        self.value = self._called() or value
+
+    def clear(self):
+        self.value = self._called()
+
+    def registerTimer(self, at):  # noqa: N802
+        self._called() or self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self._called() or self.timers.remove(at)
+
+
+def test_cases_of_a_bucket_share_their_store_calls():
+    """Calls to the store do not grow with a bucket's cases, nor do results with its expired ones."""
+    store, p = Store(), K.CaseStatus(("DONE",), 1000)
+    p.init(store)
+    rows = pd.DataFrame({"case_id": [f"c{i % 500}" for i in range(1500)], "us": range(1500), "status": ["OPEN", "DONE"] * 750})
+    out = pd.concat(p.handleInputRows((3,), iter([rows[:700], rows[700:]]), None))
+    assert store.calls == 3 and store.timers == {1001}
+    assert dict(zip(out["case_id"], zip(out["us"], out["status"]))) == {f"c{i}": (1000 + i, ("OPEN", "DONE")[i % 2]) for i in range(500)}
+    assert not list(p.handleInputRows((3,), iter([rows]), None)) and store.calls == 4
+    again = pd.DataFrame({"case_id": ["c1", "c499", "new", "new"], "us": [5_000, 1_499, 7, 7], "status": ["OPEN", None, None, "OPEN"]})
+    assert sorted(pd.concat(p.handleInputRows((3,), iter([again]), None))["case_id"]) == ["c1", "new"]
+    store.timers.clear()  # the one that fires
+    fired = SimpleNamespace(getExpiryTimeInMs=lambda: 1001, getCurrentWatermarkInMs=lambda: 1002)
+    assert not list(p.handleExpiredTimer((3,), fired, fired))
+    # 1001 at once: closed at 1000 to 1499 us, all of them in millisecond 1 and due at 1001
+    held = dict(zip(store.value[0], store.value[2]))
+    assert set(held.values()) == {"OPEN"} and len(held) == 252 and not store.timers and store.value[3] is None
+
+
+def test_case_buckets_over_batches_against_a_plain_walk(spark, fed, tmp_path):
+    """Changes, latest statuses and the cases still held, of many cases in few buckets."""
+    rng = random.Random(7)
+    names = ["UNDER_REVIEW", "ESCALATED", "RESOLVED_FRAUD", "RESOLVED_GENUINE"]
+    batches = [[(f"case {rng.randrange(400)}", rng.choice(names), T0 + dt.timedelta(days=25 * b + rng.randrange(20), microseconds=rng.randrange(10**6)))
+                for _ in range(300)] for b in range(4)]
+    ck = str(tmp_path / "ck")
+    stream = K.case_status_stream(fed(batches, "case_id string, status string, updated_at timestamp"), "6 days", 10, buckets=5)
+    out = K.run_changes_table(stream, str(tmp_path / "out"), ck, "case_id", ("updated_at", "status"))
+    held, changes, latest, seen = {}, [], {}, T0
+    for batch in [*batches, []]:
+        mark = seen - dt.timedelta(days=6)  # no row of these is late
+        for c in {r[0] for r in batch}:
+            best = max((t, s) for k, s, t in batch if k == c)
+            if c not in held or best > held[c]:
+                held[c] = best
+                changes.append((c, best[1], best[0]))
+            latest[c] = max(latest.get(c, best), best)
+        held = {c: (t, s) for c, (t, s) in held.items() if s not in K.CLOSED_STATUSES or t + dt.timedelta(days=10) > mark}
+        seen = max([seen, *(r[2] for r in batch)])
+    assert sorted(map(tuple, spark.read.schema(stream.schema).parquet(str(tmp_path / "out")).select(stream.columns).collect())) == sorted(changes)
+    assert {r["case_id"]: (r["updated_at"], r["status"]) for r in out.collect()} == latest
+    assert {r["case_id"]: (r["updated_at"], r["status"]) for r in K.case_states(spark, ck).collect()} == held and len(held) < len(latest)
+    with K.rocksdb_state(spark):
+        assert spark.read.format("statestore").option("stateVarName", "latest").load(ck).count() == 5
+
+
 def test_failed_logins_of_two_streams(spark, fed, tmp_path):
     tx = [[(1, "x", at(100)), (2, "y", at(100)), (3, "x", at(130))], [(4, "x", at(101)), (5, "x", at(160)), (6, None, at(150))], [(7, "z", at(500))]]
     logins = [[("x", at(40)), ("x", at(39, 999_999)), ("x", at(100)), ("x", at(100, 1)), ("y", at(10))], [("x", at(99)), ("x", at(95)), ("w", at(120))], [("x", at(160)), ("x", at(160)), ("z", at(441))]]
