@@ -114,6 +114,7 @@ def test_case_buckets_over_batches_against_a_plain_walk(spark, fed, tmp_path):
     names = ["UNDER_REVIEW", "ESCALATED", "RESOLVED_FRAUD", "RESOLVED_GENUINE"]
     batches = [[(f"case {rng.randrange(400)}", rng.choice(names), T0 + dt.timedelta(days=25 * b + rng.randrange(20), microseconds=rng.randrange(10**6)))
                 for _ in range(300)] for b in range(4)]
+    batches[0].append(("no status", None, T0))
     ck = str(tmp_path / "ck")
     stream = K.case_status_stream(fed(batches, "case_id string, status string, updated_at timestamp"), "6 days", 10, buckets=5)
     out = K.run_changes_table(stream, str(tmp_path / "out"), ck, "case_id", ("updated_at", "status"))
@@ -135,6 +136,16 @@ def test_case_buckets_over_batches_against_a_plain_walk(spark, fed, tmp_path):
         assert spark.read.format("statestore").option("stateVarName", "latest").load(ck).count() == 5
 
 
+def test_state_rows_do_not_grow_with_the_cases(spark, fed, tmp_path):
+    """Each state row costs its calls to the Python worker and the store: fewer than cases."""
+    events = fed([[(f"case {i}", "ESCALATED", at(i)) for i in range(6000)]], "case_id string, status string, updated_at timestamp")
+    ck = str(tmp_path / "ck")
+    out = K.run_changes_table(K.case_status_stream(events), str(tmp_path / "out"), ck, "case_id", ("updated_at", "status"))
+    assert out.count() == 6000 and K.case_states(spark, ck).distinct().count() == 6000
+    with K.rocksdb_state(spark):
+        assert spark.read.format("statestore").option("stateVarName", "latest").load(ck).count() <= 2048
+
+
 def test_failed_logins_of_two_streams(spark, fed, tmp_path):
     tx = [[(1, "x", at(100)), (2, "y", at(100)), (3, "x", at(130))], [(4, "x", at(101)), (5, "x", at(160)), (6, None, at(150))], [(7, "z", at(500))]]
     logins = [[("x", at(40)), ("x", at(39, 999_999)), ("x", at(100)), ("x", at(100, 1)), ("y", at(10))], [("x", at(99)), ("x", at(95)), ("w", at(120))], [("x", at(160)), ("x", at(160)), ("z", at(441))]]
