@@ -94,3 +94,19 @@ def test_saved_model_scores_alike(spark, tmp_path):
     want = {r["transaction_id"]: r["logistic_regression_probability"] for r in scored.collect()}
     got = {r["transaction_id"]: r["p"] for r in again.select("transaction_id", vector_to_array("probability")[1].alias("p")).collect()}
     assert got == want and len(got) == 1500
+
+
+def test_score_table_query_holds_every_supervised_model(spark, monkeypatch):
+    """The fits themselves are left to the queries of each model."""
+    fitted = []
+
+    def constant(train, score_on, name, seed=42):
+        fitted.append(name)
+        s = M.slug(name)
+        return None, score_on.withColumns({f"{s}_probability": F.lit(0.5), f"{s}_score": F.lit(50)})
+
+    monkeypatch.setattr(M, "fit_and_score", constant)
+    got = Q.q_model_score_table(spark, "/root/testdata/sf0.001")
+    assert fitted == list(M.supervised_estimators()) and len(fitted) == 4
+    assert {f"{M.slug(n)}_{c}" for n in fitted for c in ("probability", "score")} <= set(got.columns)
+    assert got.count() == 1500
