@@ -56,3 +56,13 @@ def test_contexts_are_made_per_text(spark):
     plan = e._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("Relevance score")
     assert {r.retrieved_sources[0] for r in e.collect()} == {"7"} and "Source: 7\nRelevance score:" in e.first().explanation
+
+
+def test_query_texts_are_numbered(spark, monkeypatch):
+    """A long text is the key of one table only; its terms and scores carry a number."""
+    seen, plain = [], R.retrieve
+    monkeypatch.setattr(R, "retrieve", lambda questions, q_col, *a, **k: seen.append(questions.schema[q_col].dataType.simpleString()) or plain(questions, q_col, *a, **k))
+    chunks = R.chunk_documents(spark.createDataFrame([(1, "alpha beta"), (2, "gamma delta")], "doc_id int, text string"))
+    texts = spark.createDataFrame([("alpha asks",), ("gamma asks",), ("alpha asks",), (None,)], "t string")
+    got = {r.q: r.hits[0].source for r in A.hits_by_text(texts, chunks, 1).collect()}
+    assert seen == ["bigint"] and got == {"alpha asks": "1", "gamma asks": "2"}
