@@ -5,8 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import answers as A
+from ledgerlens.operators import forest as FO
 from ledgerlens.operators import guardrails as GR
+from ledgerlens.operators import models as M
 from ledgerlens.operators import retrieval as R
+from ledgerlens.plans import q_models as QM
 
 
 @pytest.mark.parametrize("many", [False, True])
@@ -66,3 +69,67 @@ def test_query_texts_are_numbered(spark, monkeypatch):
     texts = spark.createDataFrame([("alpha asks",), ("gamma asks",), ("alpha asks",), (None,)], "t string")
     got = {r.q: r.hits[0].source for r in A.hits_by_text(texts, chunks, 1).collect()}
     assert seen == ["bigint"] and got == {"alpha asks": "1", "gamma asks": "2"}
+
+
+def test_best_split_equals_all_cuts():
+    rng = np.random.default_rng(1)
+    for _ in range(30):
+        n = rng.integers(0, 6, (3, 8, 2)).astype(float)
+        n[1:] = np.stack([rng.permutation(n[0]) for _ in range(2)])
+        w = n * np.array([1.0, 2.5])
+        gini = lambda v: 1 - ((v / v.sum()) ** 2).sum() if v.sum() else 0.0
+        cuts = {}
+        for f in range(3):
+            for b in range(7):
+                left, right = w[f, :b + 1].sum(axis=0), w[f, b + 1:].sum(axis=0)
+                if min(n[f, :b + 1].sum(), n[f, b + 1:].sum()) >= 4:
+                    cuts[f, b] = gini(left + right) - (left.sum() * gini(left) + right.sum() * gini(right)) / w[f].sum()
+        gain, f, b = FO.best_split(n, w, 4)
+        assert abs(gain - max(cuts.values())) < 1e-12 and abs(cuts[f, b] - gain) < 1e-12
+
+
+def _rows(n, seed=4):
+    rng = np.random.default_rng(seed)
+    x = np.stack([rng.normal(size=n), rng.integers(0, 3, n), rng.normal(size=n)], axis=1)
+    return x, ((x[:, 0] > 0.3) & (x[:, 1] >= 1)).astype(int)
+
+
+def test_forest_grows_in_tasks_and_learns(spark):
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    x, y = _rows(1500)
+    d = spark.createDataFrame([(i, int(c), 1.0 + float(c), v.tolist()) for i, (c, v) in enumerate(zip(y, x))], "id int, y int, w double, a array<double>") \
+        .select("id", "y", "w", array_to_vector("a").alias("v")).repartition(5)
+    model = FO.HistogramForest("v", "y", "w", numTrees=24, maxDepth=4, minInstancesPerNode=4).fit(d)
+    got = {r.id: r.p for r in model.transform(d).select("id", vector_to_array("probability")[1].alias("p")).collect()}
+    assert len(model.trees) == 24 and np.mean([(got[i] > 0.5) == c for i, c in enumerate(y)]) > 0.97
+    imp = model.featureImportances.toArray()
+    assert abs(imp.sum() - 1) < 1e-12 and imp[0] > imp[2] and imp[1] > imp[2]
+
+
+def test_tree_rows_reach_their_leaves():
+    """Every leaf's share is that of the training rows which the walk sends to it."""
+    x, y = _rows(800)
+    y = y ^ (np.random.default_rng(9).random(800) < 0.2)
+    edges = [np.linspace(-2, 2, 15).tolist(), [0.5, 1.5], np.linspace(-2, 2, 15).tolist()]
+    codes = FO.codes_of(x, edges)
+    packed = np.ascontiguousarray((codes * np.uint8(2) + y.astype(np.uint8)).T)
+    f, c, s, g = FO.grow_tree(packed, None, np.array([1.0, 3.0]), np.arange(800, dtype=np.int32), np.random.default_rng(0), 16, 2, 5, 4)
+    p = FO.tree_means(f[None], c[None], s[None], codes)
+    assert abs(g.sum() - 1) < 1e-12 and len(set(p)) > 3
+    for leaf in set(p):
+        held = y[p == leaf]
+        assert abs(leaf - 3.0 * held.sum() / (3.0 * held.sum() + (1 - held).sum())) < 1e-6
+    w = np.where(y == 1, 3.0, 1.0).astype(np.float32)
+    assert np.array_equal(s, FO.grow_tree(packed, w, np.ones(2), np.arange(800, dtype=np.int32), np.random.default_rng(0), 16, 2, 5, 4)[2])
+
+
+def test_saved_forest_scores_alike(spark, tmp_path):
+    from pyspark.ml.functions import vector_to_array
+    train, full = QM._train_frames(spark, "/root/testdata/sf0.001")
+    model = FO.HistogramForest("features", "is_fraud", "weight", 12, 6, 4).fit(train)
+    score = lambda m: {r.transaction_id: r.p for r in m.transform(full).select("transaction_id", vector_to_array("probability")[1].alias("p")).collect()}
+    again = M.load_model(M.save_model(model, str(tmp_path / "forest")))
+    assert score(again) == score(model) and len(score(model)) == 1500
+    assert M.feature_importance(again, spark=spark).count() == 15
+    parts = FO.binned_rows(train, "features", "is_fraud", "weight", model.edges)
+    assert "Exchange" not in parts._jdf.queryExecution().executedPlan().toString()
