@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import answers as A
+from ledgerlens.operators import cases as CS
 from ledgerlens.operators import forest as FO
 from ledgerlens.operators import guardrails as GR
 from ledgerlens.operators import models as M
@@ -133,3 +134,18 @@ def test_saved_forest_scores_alike(spark, tmp_path):
     assert M.feature_importance(again, spark=spark).count() == 15
     parts = FO.binned_rows(train, "features", "is_fraud", "weight", model.edges)
     assert "Exchange" not in parts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_search_for_all_kinds_of_request(spark, monkeypatch):
+    calls, plain = [], R.retrieve
+    monkeypatch.setattr(R, "retrieve", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    chunks = R.chunk_documents(spark.createDataFrame([(1, "BLOCK policy"), (2, "audit trail")], "doc_id int, text string"))
+    records = spark.createDataFrame([("T1", "BLOCK", 0.9), ("T2", "ALLOW", 0.1)], "transaction_id string, decision string, risk_score double")
+    cases = CS.create_cases(records, "2026-01-01")
+    case_id = cases.where("transaction_id = 'T1'").first()["case_id"]
+    asked = spark.createDataFrame([("p", "What about audit?", None, None), ("t", "Why BLOCK?", "T2", None), ("c", "Why BLOCK?", "T1", case_id), ("x", "skip audit", None, None)],
+                                  "request_id string, text string, transaction_id string, case_id string")
+    got = {r.request_id: r for r in A.copilot_responses(asked, records, cases, chunks, 1).collect()}
+    assert len(calls) == 1
+    assert {k: r.response_type for k, r in got.items()} == {"p": "POLICY_ANSWER", "t": "TRANSACTION_EXPLANATION", "c": "CASE_INVESTIGATION", "x": "GUARDRAIL_REFUSAL"}
+    assert got["p"].retrieved_sources == ["2"] and got["x"].retrieved_sources == [] and len(got["c"].retrieved_sources) == 1
